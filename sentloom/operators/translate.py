@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 from sentloom.constants import FIRST_TOKEN_ID, HOT_ROWS, MAX_PAD
 from sentloom.functions.arrays import strip_special
@@ -123,7 +124,9 @@ def translate_batches(
             result = result.append_column("error", pa.array([error] * rows, pa.string()))
             yield from result.combine_chunks().to_batches()
 
-    schema = labelled.select(*names, "status").schema.add("output_ids", "array<int>").add("error", "string")
+    schema = labelled.select(*names, "status").schema.add("output_ids", ArrayType(IntegerType())).add(
+        "error", StringType()
+    )
     return labelled.sortWithinPartitions("shard", "batch_id", "pos").mapInArrow(run, schema)
 
 
