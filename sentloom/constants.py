@@ -40,10 +40,12 @@ ENTITY = (
     r"|[A-Za-z0-9_.+-]{1,64}@[A-Za-z0-9_-]{1,63}(?:\.[A-Za-z0-9_-]{1,63}){1,8}"
     r"|\p{Nd}+(?:[.,]\p{Nd}+){0,15}"
 )
+# Every entity holds one of these.
+ENTITY_HINT = r"[\p{Nd}@]|://|www\."
 
-# Documents summed in one in-order bucket by the ordinal computation. Equals the number of rows
-# a window keeps in memory before it spills.
-BUCKET_ROWS = 4_096
+# Documents summed in one in-order bucket by the ordinal computation. Small enough for a window to
+# hold a bucket in memory, large enough to leave few buckets per file.
+BUCKET_ROWS = 512
 
 # A lookup table is shipped to the tasks only up to these sizes; beyond them it is joined.
 BROADCAST_ROWS = 500_000

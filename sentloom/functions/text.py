@@ -10,7 +10,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from sentloom.constants import BULLET, DELIMITERS, ENTITY, PLACEHOLDER, SYMBOLS, WHITESPACE, WHITESPACE_CLASS
+from sentloom.constants import (
+    BULLET, DELIMITERS, ENTITY, ENTITY_HINT, PLACEHOLDER, SYMBOLS, WHITESPACE, WHITESPACE_CLASS,
+)
 from sentloom.functions.binding import bind
 
 # Blocks without characters that compose with a preceding one, other than combining marks.
@@ -119,17 +121,26 @@ def _placeholder(number: Column) -> Column:
     return F.concat(F.lit("<ID"), number.cast("string"), F.lit(">"))
 
 
+def _may_hold_entity(text: Column) -> Column:
+    """A cheap scan that every text with an entity passes; most texts do not."""
+    return F.rlike(text, F.lit(ENTITY_HINT))
+
+
 def mask_entities(text: Column | str) -> Column:
     """Replace the n-th entity by ``<IDn>``."""
-    gaps = F.split(_col(text), ENTITY, -1)
+    text = _col(text)
+    gaps = F.split(text, ENTITY, -1)
     numbered = F.transform(gaps, lambda gap, i: F.when(i == 0, gap).otherwise(F.concat(_placeholder(i), gap)))
-    return F.array_join(numbered, "")
+    return F.when(_may_hold_entity(text), F.array_join(numbered, "")).otherwise(text)
 
 
 def entity_map(text: Column | str) -> Column:
     """Map of placeholder to entity for the text before masking."""
+    text = _col(text)
     found = entities(text)
-    return F.map_from_arrays(F.transform(found, lambda _, i: _placeholder(i + 1)), found)
+    mapped = F.map_from_arrays(F.transform(found, lambda _, i: _placeholder(i + 1)), found)
+    none = F.create_map().cast("map<string,string>")
+    return F.when(_may_hold_entity(text), mapped).when(text.isNotNull(), none)
 
 
 def unmask_entities(text: Column | str, placeholders: Column | str) -> Column:
@@ -143,7 +154,7 @@ def unmask_entities(text: Column | str, placeholders: Column | str) -> Column:
         known=placeholders,
     )
     pairs = F.zip_with(gaps, values, lambda gap, value: F.concat(gap, F.coalesce(value, F.lit(""))))
-    return F.array_join(pairs, "")
+    return F.when(F.contains(text, F.lit("<ID")), F.array_join(pairs, "")).otherwise(text)
 
 
 def tag_language(text: Column | str, src_lang: str, tgt_lang: str) -> Column:

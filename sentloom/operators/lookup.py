@@ -39,7 +39,11 @@ def _shipped(entries: Broadcast, kind: T.DataType, default: object) -> Callable[
 
     @F.arrow_udf(T.ArrayType(kind))
     def replace(arrays: pa.Array) -> pa.Array:
-        table = entries.value
+        holder = entries.value
+        if len(holder) == 1:
+            # Built once per worker process, which keeps the broadcast value between tasks.
+            holder.append(dict(zip(*(column.to_pylist() for column in holder[0].columns), strict=True)))
+        table = holder[1]
         encoded = arrays.flatten().dictionary_encode()
         keys = encoded.dictionary.to_pylist()
         values = pa.array([table.get(k, k if default is None else default) for k in keys], arrow_type)
@@ -104,10 +108,7 @@ def replace_elements(
     is_hot = F.lit(False) if hot is None else hot
     entries = table.select(F.col(key).alias("key"), F.col(value).alias("value"), is_hot.alias("hot"))
     if fits_broadcast(table, key, value) if ship is None else ship:
-        columns = entries.select("key", "value").toArrow()
-        shipped = df.sparkSession.sparkContext.broadcast(
-            dict(zip(columns["key"].to_pylist(), columns["value"].to_pylist(), strict=True))
-        )
+        shipped = df.sparkSession.sparkContext.broadcast([entries.select("key", "value").toArrow()])
         return df.withColumn(target, _shipped(shipped, kind, default)(F.col(source)))
     fallback = F.col("key") if default is None else F.lit(default)
     near, far = entries.where("hot").drop("hot"), entries.where("not hot").drop("hot")

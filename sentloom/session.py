@@ -30,7 +30,7 @@ def build_session(app: str = "sentloom", master: str | None = None, **conf: str)
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``; a local one only where it is unset."""
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     app = spark.sparkContext.applicationId
