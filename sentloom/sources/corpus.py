@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sentloom.functions.names import file_number
@@ -34,12 +34,10 @@ def read_corpus(spark: SparkSession, path: str, streaming: bool = False, max_fil
         if max_files is not None:
             reader = reader.option("maxFilesPerTrigger", max_files)
         return _numbered(reader.parquet(path)).withColumn("file_path_read", F.col("_metadata.file_path"))
-    corpus = spark.read.schema(CORPUS).parquet(path)
-    # One entry per file; Spark holds the same list to plan the scan.
-    files = spark.createDataFrame(
-        list(enumerate(sorted(corpus.select("id").inputFiles()))), "file_no bigint, scanned string"
-    )
-    scanned = _numbered(corpus).withColumn("scanned", F.col("_metadata.file_path"))
+    scanned = _numbered(spark.read.schema(CORPUS).parquet(path)).withColumn("scanned", F.col("_metadata.file_path"))
+    # One row per file, ordered in one task; the scan behind it reads no columns.
+    files = scanned.select("scanned").distinct()
+    files = files.withColumn("file_no", F.row_number().over(Window.orderBy("scanned")).cast("long") - 1)
     return scanned.join(files, "scanned").drop("scanned")
 
 
