@@ -3,7 +3,7 @@
 The ordinal of a sentence is the number of sentences before it. It is computed on three levels, so
 that no task ever holds more than a bucket of documents: totals of buckets of consecutive rows,
 summed in order inside each file; totals of files, summed in order over the files; and documents,
-summed in order inside their bucket.
+summed in order inside their bucket. The tables of the first two levels hold a few numbers per bucket.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from sentloom.constants import BUCKET_ROWS, SHARD_SIZE, SHARDS_PER_FILE
 from sentloom.functions.names import shard_base
 from sentloom.operators.sentences import doc_meta
+from sentloom.session import stage
 
 NUMBERINGS = ("corpus", "file2500", "file_dense")
 TAILS = ("flush", "drop")
@@ -27,22 +28,26 @@ def _before(window: Window, column: str) -> F.Column:
 
 def _bucket_offsets(counts: DataFrame, shard_size: int, numbering: str, tail: str) -> DataFrame:
     """Per bucket: sentences and documents before it, the total of its scope and its first shard."""
-    in_file = Window.partitionBy("file_no").orderBy("bucket")
-    buckets = (
-        counts.groupBy("file_no", "bucket")
-        .agg(
+    totals = stage(
+        counts.groupBy("file_no", "bucket").agg(
             F.sum("n_sentences").alias("bucket_sentences"),
             F.count("*").alias("bucket_docs"),
             F.max("row").alias("bucket_last"),
-        )
-        .withColumn("sentences_before", _before(in_file, "bucket_sentences"))
-        .withColumn("docs_before", _before(in_file, "bucket_docs"))
+        ),
+        "bucket-totals",
+    )
+    in_file = Window.partitionBy("file_no").orderBy("bucket")
+    buckets = totals.withColumns(
+        {
+            "sentences_before": _before(in_file, "bucket_sentences"),
+            "docs_before": _before(in_file, "bucket_docs"),
+        }
     )
     # One row per corpus file from here on.
     over_files = Window.orderBy("file_no")
     everywhere = over_files.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     files = (
-        buckets.groupBy("file_no")
+        totals.groupBy("file_no")
         .agg(
             F.sum("bucket_sentences").alias("file_sentences"),
             F.sum("bucket_docs").alias("file_docs"),
@@ -97,18 +102,19 @@ def locate(
 ) -> DataFrame:
     """Add to each document its ordinal, the ordinal of its first sentence and its shard scope.
 
-    ``split`` is read twice: once for its counts, once for its rows. Stage it first when the split is
-    expensive. The documents move once, to their bucket. ``earlier`` holds the sentences and documents
-    that came before this table, when a corpus arrives in pieces.
+    ``split`` is read for its counts at once, and for its rows when the result is used; stage it first
+    when the split is expensive. The offsets, a few numbers per bucket, are staged, so that every use
+    shares them and a file with too many shards is an error here. The documents move once, to their
+    bucket. ``earlier`` holds the sentences and documents that came before this table, when a corpus
+    arrives in pieces.
     """
     if numbering not in NUMBERINGS:
         raise ValueError(f"numbering must be one of {NUMBERINGS}, not {numbering!r}")
     if tail not in TAILS:
         raise ValueError(f"tail must be one of {TAILS}, not {tail!r}")
     bucketed = split.withColumn("bucket", F.floor(F.col("row") / bucket_rows).cast("long"))
-    offsets = _bucket_offsets(
-        bucketed.select("file_no", "bucket", "row", "n_sentences"), shard_size, numbering, tail
-    )
+    counts = bucketed.select("file_no", "bucket", "row", "n_sentences")
+    offsets = stage(_bucket_offsets(counts, shard_size, numbering, tail), "offsets")
     in_bucket = Window.partitionBy("file_no", "bucket").orderBy("row")
     rounding = F.ceil if tail == "flush" else F.floor
     earlier_sentences, earlier_docs = earlier

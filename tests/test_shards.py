@@ -94,7 +94,7 @@ def test_pieces_of_a_corpus_continue(spark):
 def test_too_many_shards_for_a_file(spark):
     docs = corpus(spark, [[2501]])
     with pytest.raises(Exception, match="only 2500 numbers"):
-        assign_shards(docs, 1, "file2500").select("shard").collect()
+        locate(docs, 1, "file2500")
     assert assign_shards(docs, 1, "file_dense").agg(F.max("shard")).first()[0] == 2501
 
 
