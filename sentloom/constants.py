@@ -50,6 +50,7 @@ BUCKET_ROWS = 512
 # A lookup table is shipped to the tasks only up to these sizes; beyond them it is joined.
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_FILES = 100_000
 # Most frequent entries shipped when the whole table is too large, and the longest key among them.
 HOT_ROWS = 50_000
 HOT_KEY_BYTES = 64

@@ -1,8 +1,9 @@
 """Replace the elements of an array column through a lookup table.
 
 A table of checked, bounded size is shipped to the tasks and applied to whole Arrow batches, so rows
-are neither exploded nor shuffled. A larger table is joined: its hot part, bounded by construction,
-by broadcast, and what remains by a shuffle join. Both ways give the same result.
+are neither exploded nor shuffled. Of a larger table, the hot part, bounded by construction, is shipped
+in the same way; only the elements it lacks are exploded and joined with the rest of the table. Both
+ways give the same result.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sentloom.constants import BROADCAST_BYTES, BROADCAST_ROWS
+from sentloom.functions.binding import bind
+from sentloom.session import stage
 
 _ARROW_TYPES = {T.StringType(): pa.string(), T.IntegerType(): pa.int32(), T.LongType(): pa.int64()}
 
@@ -34,7 +37,15 @@ def fits_broadcast(table: DataFrame, key: str, value: str) -> bool:
     return rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
 
 
-def _shipped(entries: Broadcast, kind: T.DataType, default: object) -> Callable[[Column], Column]:
+def _ship(table: DataFrame) -> Broadcast:
+    return table.sparkSession.sparkContext.broadcast([table.select("key", "value").toArrow()])
+
+
+def _shipped(entries: Broadcast, kind: T.DataType, missing: str, default: object = None) -> Callable[[Column], Column]:
+    """A function that replaces the elements of an array column.
+
+    ``missing`` is ``default``, ``copy`` or ``null``: what becomes of an element without an entry.
+    """
     arrow_type = _ARROW_TYPES[kind]
 
     @F.arrow_udf(T.ArrayType(kind))
@@ -46,7 +57,7 @@ def _shipped(entries: Broadcast, kind: T.DataType, default: object) -> Callable[
         table = holder[1]
         encoded = arrays.flatten().dictionary_encode()
         keys = encoded.dictionary.to_pylist()
-        values = pa.array([table.get(k, k if default is None else default) for k in keys], arrow_type)
+        values = pa.array([table.get(k, k if missing == "copy" else default) for k in keys], arrow_type)
         lengths = pc.fill_null(pc.list_value_length(arrays), 0).to_numpy(zero_copy_only=False)
         offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
         mask = arrays.is_null() if arrays.null_count else None
@@ -59,30 +70,44 @@ def _joined(
     df: DataFrame, source: str, target: str, hot: DataFrame, cold: DataFrame, kind: T.DataType,
     default: Column, row_key: tuple[str, ...],
 ) -> DataFrame:
-    # The other columns travel with the first element only.
-    others = [c for c in df.columns if c not in row_key]
-    exploded = df.select(
+    others = [c for c in df.columns if c not in row_key and c != target]
+    # Staged, because the rows are split in two below.
+    begun = stage(df.withColumn(target, _shipped(_ship(hot), kind, "null")(F.col(source))), "lookup")
+    numbered = F.transform(
+        F.arrays_zip(F.col(source).alias("key"), F.col(target).alias("value")),
+        lambda e, i: F.struct(i.alias("place"), e["key"].alias("key"), e["value"].alias("value")),
+    )
+    misses = F.filter(numbered, lambda e: e["value"].isNull() & e["key"].isNotNull())
+    opened = begun.withColumn("misses", misses)
+    settled = F.coalesce(F.size("misses"), F.lit(0)) <= 0
+    # The row travels with its first miss only.
+    exploded = opened.where(~settled).select(
+        *row_key, F.struct(*others, target).alias("rest"), F.posexplode("misses").alias("nth", "miss")
+    ).select(
         *row_key,
-        F.struct(*others).alias("rest"),
-        F.posexplode_outer(F.col(source)).alias("at", "key"),
-    ).withColumn("rest", F.when(F.coalesce(F.col("at"), F.lit(0)) == 0, F.col("rest")))
-    near = exploded.join(F.broadcast(hot), "key", "left")
-    settled = F.col("value").isNotNull() | F.col("key").isNull()
-    far = near.where(~settled).drop("value").join(cold, "key", "left")
-    element = F.when(
-        F.col("at").isNotNull(), F.struct("at", F.coalesce("value", default).cast(kind).alias("value"))
+        F.when(F.col("nth") == 0, F.col("rest")).alias("rest"),
+        F.col("miss.place").alias("place"),
+        F.col("miss.key").alias("key"),
     )
-    grouped = (
-        near.where(settled)
-        .unionByName(far)
+    found = (
+        exploded.join(cold, "key", "left")
         .groupBy(*row_key)
-        .agg(F.first("rest", ignorenulls=True).alias("rest"), F.array_sort(F.collect_list(element)).alias("found"))
+        .agg(
+            F.first("rest", ignorenulls=True).alias("rest"),
+            F.map_from_entries(
+                F.collect_list(F.struct("place", F.coalesce("value", default).cast(kind).alias("value")))
+            ).alias("patches"),
+        )
     )
-    found = F.transform("found", lambda e: e["value"])
-    return grouped.select(
-        *row_key,
-        *[F.col("rest")[c].alias(c) for c in others if c != target],
-        F.when(F.col("rest")[source].isNotNull(), found).alias(target),
+    patched = bind(
+        lambda values, patches: F.transform(
+            values, lambda value, i: F.coalesce(value, F.try_element_at(patches, i))
+        ),
+        values=F.col("rest")[target],
+        patches=F.col("patches"),
+    )
+    return opened.where(settled).select(*row_key, *others, target).unionByName(
+        found.select(*row_key, *[F.col("rest")[c].alias(c) for c in others], patched.alias(target))
     )
 
 
@@ -108,8 +133,8 @@ def replace_elements(
     is_hot = F.lit(False) if hot is None else hot
     entries = table.select(F.col(key).alias("key"), F.col(value).alias("value"), is_hot.alias("hot"))
     if fits_broadcast(table, key, value) if ship is None else ship:
-        shipped = df.sparkSession.sparkContext.broadcast([entries.select("key", "value").toArrow()])
-        return df.withColumn(target, _shipped(shipped, kind, default)(F.col(source)))
+        shipped = _shipped(_ship(entries), kind, "copy" if default is None else "default", default)
+        return df.withColumn(target, shipped(F.col(source)))
     fallback = F.col("key") if default is None else F.lit(default)
     near, far = entries.where("hot").drop("hot"), entries.where("not hot").drop("hot")
     return _joined(df, source, target, near, far, kind, fallback, row_key)

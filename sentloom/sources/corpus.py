@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sentloom.constants import BROADCAST_FILES
 from sentloom.functions.names import file_number
 from sentloom.sources.schemas import CORPUS
 
@@ -34,10 +35,14 @@ def read_corpus(spark: SparkSession, path: str, streaming: bool = False, max_fil
         if max_files is not None:
             reader = reader.option("maxFilesPerTrigger", max_files)
         return _numbered(reader.parquet(path)).withColumn("file_path_read", F.col("_metadata.file_path"))
-    scanned = _numbered(spark.read.schema(CORPUS).parquet(path)).withColumn("scanned", F.col("_metadata.file_path"))
+    corpus = spark.read.schema(CORPUS).parquet(path)
+    scanned = _numbered(corpus).withColumn("scanned", F.col("_metadata.file_path"))
     # One row per file, ordered in one task; the scan behind it reads no columns.
     files = scanned.select("scanned").distinct()
     files = files.withColumn("file_no", F.row_number().over(Window.orderBy("scanned")).cast("long") - 1)
+    # Broadcast while the number of files is small, so that the documents stay where they are.
+    if len(corpus.inputFiles()) <= BROADCAST_FILES:
+        files = F.broadcast(files)
     return scanned.join(files, "scanned").drop("scanned")
 
 

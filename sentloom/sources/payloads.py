@@ -55,7 +55,8 @@ def nest_tokens(batched: DataFrame, meta: DataFrame, watermarks: DataFrame, part
         ).alias(field)
 
     batches = (
-        batched.groupBy("shard", "batch_id")
+        batched.repartition("shard")
+        .groupBy("shard", "batch_id")
         .agg(F.collect_list(F.struct("pos", "id", "input_ids", "attention_mask", "entities")).alias("rows"))
         .withColumn("rows", _sort_by("rows", "pos"))
         .select(
@@ -72,14 +73,17 @@ def nest_tokens(batched: DataFrame, meta: DataFrame, watermarks: DataFrame, part
         .withColumn("batches", _sort_by("batches", "batch_id"))
         .select(
             "shard",
-            F.lit(0).cast("long").alias("part"),
             _pluck("batches", "inputs").alias("tokenized_inputs"),
             _pluck("batches", "batch_ids").alias("ids"),
         )
     )
+    parts = _meta_parts(meta, part_size)
+    # Every join is on the shard alone, as the batches are already placed.
+    whole = batches.join(parts.where("part = 0").drop("part"), "shard", "left")
+    further = parts.where("part > 0").select("shard", "meta_data")
     types = {name: kind for name, kind in (field.split(" ", 1) for field in TOKENIZED.split(", "))}
     return (
-        batches.join(_meta_parts(meta, part_size), ["shard", "part"], "full")
+        whole.unionByName(further, allowMissingColumns=True)
         .join(watermarks, "shard", "left")
         .select(
             *[
@@ -96,6 +100,7 @@ def nest_outputs(translated: DataFrame) -> DataFrame:
     """Nested translated shards from the rows that succeeded, without metadata."""
     batches = (
         translated.where(F.col("status") == "ok")
+        .repartition("shard")
         .groupBy("shard", "batch_id")
         .agg(F.collect_list(F.struct("pos", "id", "output_ids", "entities")).alias("rows"))
         .withColumn("rows", _sort_by("rows", "pos"))

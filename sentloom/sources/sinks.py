@@ -20,9 +20,9 @@ def write_rows(df: DataFrame, path: str, total_nodes: int, mode: str = "errorife
 
 
 def write_payloads(df: DataFrame, root: str, kind: str, total_nodes: int, mode: str = "errorifexists") -> None:
-    """Nested shards as JSON, one directory per node and shard."""
+    """Nested shards as JSON, one directory per node and shard. A row is a whole shard and stays where it is."""
     routed = df.withColumn("node", node_of("shard", total_nodes))
-    routed.repartition("shard").write.mode(mode).partitionBy("node", "shard").json(f"{root}/{kind}")
+    routed.write.mode(mode).partitionBy("node", "shard").json(f"{root}/{kind}")
 
 
 def publish_rows(
