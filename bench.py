@@ -14,11 +14,11 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sentloom.operators.batches import assign_batches
 from sentloom.operators.sentences import split_documents
 from sentloom.operators.shards import assign_shards
 from sentloom.operators.tokens import VocabTokenizer
 from sentloom.operators.translate import translate
-from sentloom.operators.batches import assign_batches
 from sentloom.operators.vocab import build_vocab
 from sentloom.plans import jobs, work
 from sentloom.plans.fixtures import corpus, lexicon_of, load_reversing
@@ -57,7 +57,7 @@ def run(df: DataFrame) -> None:
 def main() -> None:
     spark = session()
     # Start the JVM code paths and the Python workers before the clock runs.
-    run(split_documents(corpus(spark, "/root/testdata/sf0.001")))
+    run(split_documents(corpus(spark, SF_DIR)).select(F.explode("sentences")))
     times: dict[str, float] = {}
 
     def timed(name: str, work_unit: Callable[[], object]) -> object:

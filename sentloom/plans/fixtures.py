@@ -25,6 +25,7 @@ from sentloom.session import new_path, stage
 from sentloom.sources.corpus import documents_as_corpus, spread
 from sentloom.sources.payloads import nest_documents, nest_outputs, nest_tokens
 from sentloom.sources.sinks import write_payloads, write_rows
+from sentloom.streaming.prepare import prepare_stream
 
 SHARD_SIZE = 1_000
 BATCH_SIZE = 256
@@ -150,6 +151,14 @@ class Fixtures:
         write_rows(self.tokens, path, NODES)
         return path
 
+    @cached_property
+    def streamed_root(self) -> str:
+        """Output of a streamed prepare over a corpus of four files, two per micro-batch."""
+        source, out, checkpoint = (new_path(self.spark, name) for name in ("corpus", "prepared", "checkpoint"))
+        corpus(self.spark, self.sf_dir).drop("file_no", "row").coalesce(4).write.parquet(source)
+        prepare_stream(self.spark, source, out, checkpoint, SHARD_SIZE, max_files=2)
+        return out
+
     def done_shards(self) -> DataFrame:
         """Shards with a finished output in the planning queries: all up to 7, then every third."""
         return self.sentences.select("shard").distinct().where("shard <= 7 or shard % 3 = 0")

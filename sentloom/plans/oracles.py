@@ -229,6 +229,17 @@ ORACLES: dict[str, str] = {
         f'CASE WHEN count(*) = {SHARD_SIZE} THEN max(row_no) + 1 ELSE (SELECT count(*) FROM docs) END AS "row" '
         'FROM shards GROUP BY shard) USING (shard) GROUP BY shard, "row"', "regrouped",
     ),
+    "s6_progress": _sql(
+        'SELECT (SELECT count(*) FROM docs) AS "row", count(*) AS sentences, '
+        f"count(*) // {SHARD_SIZE} + 1 AS shard FROM sent", "docs", "sent",
+    ),
+    "k4_retire_inputs": _sql(
+        f"SELECT DISTINCT shard % {NODES} AS node, shard FROM shards WHERE shard NOT IN (SELECT shard FROM done)",
+        "shards", "done",
+    ),
+    "p7_rows_in_all_lists": _sql(
+        f"SELECT uuid, text, {META} FROM pieces_out WHERE shard % 2 = 0", "pieces_out"
+    ),
     "k5_publish": _sql(f"SELECT uuid, text, {META} FROM pieces_out", "pieces_out"),
     "p1_metadata": _sql(f"SELECT id, {META} FROM docs", "docs"),
     "p2_drop_empty": _sql(

@@ -30,9 +30,9 @@ from sentloom.session import new_path, stage
 from sentloom.sources import payloads as pl
 from sentloom.sources import shards as rd
 from sentloom.sources.schemas import TOKENIZED
-from sentloom.sources.sinks import publish_rows
+from sentloom.sources.sinks import publish_rows, retire_inputs, write_payloads
 from sentloom.streaming.drain import drain, drained
-from sentloom.streaming.prepare import filled_sentences, prepare_stream
+from sentloom.streaming.prepare import filled_sentences
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -100,6 +100,13 @@ def s7_read_documents(spark, sf_dir):
     return rows.select("uuid", lines("text"), *flat_meta("meta_data"))
 
 
+@query
+def s6_progress(spark, sf_dir):
+    """Counts that the last micro-batch of a streamed prepare has recorded."""
+    counts = ("row", "sentences", "shard")
+    return rd.progress(spark, fixtures(spark, sf_dir).streamed_root).agg(*[F.max(c).alias(c) for c in counts])
+
+
 # Sinks, read back
 
 
@@ -125,6 +132,17 @@ def k2_write_documents(spark, sf_dir):
     return merged.select("node", "shard", "row", F.size("uuid").cast("long").alias("documents"))
 
 
+@query
+def k4_retire_inputs(spark, sf_dir):
+    """Shards that remain after those with a finished output are deleted."""
+    fx = fixtures(spark, sf_dir)
+    root = new_path(spark, "retired")
+    write_payloads(rd.read_tokens(spark, fx.tokenized_root).drop("node"), root, "tokenized", NODES)
+    finished = fx.done_shards().withColumn("node", nm.node_of("shard", NODES))
+    retire_inputs(spark, root, "tokenized", finished)
+    return rd.list_shards(spark, root)
+
+
 @query
 def k5_publish(spark, sf_dir):
     rows = jobs.published_rows(fixtures(spark, sf_dir).documents)
@@ -176,6 +194,15 @@ def p6_ragged(spark, sf_dir):
     return labelled.select("shard", "pos", "batch_id", "id", "status")
 
 
+@query
+def p7_rows_in_all_lists(spark, sf_dir):
+    """Published rows by the compatible rule, with the metadata of odd shards taken away."""
+    merged = rd.read_payloads(spark, fixtures(spark, sf_dir).merged_root, "output")
+    kept = F.when(F.col("shard") % 2 == 0, F.col("meta_data"))
+    rows = pl.document_rows(merged.withColumn("meta_data", kept), compat=True)
+    return rows.select("uuid", lines("text"), *flat_meta("meta_data"))
+
+
 @query
 def p8_skip_empty_outputs(spark, sf_dir):
     translated = fixtures(spark, sf_dir).translated
@@ -668,10 +695,7 @@ def x5_prepare_stream(spark, sf_dir):
 
     Files are numbered as they arrive, so the whole is checked per document.
     """
-    source, out, checkpoint = (new_path(spark, name) for name in ("corpus", "prepared", "checkpoint"))
-    corpus(spark, sf_dir).drop("file_no", "row").coalesce(4).write.parquet(source)
-    prepare_stream(spark, source, out, checkpoint, SHARD_SIZE, max_files=2)
-    rows = filled_sentences(spark, out, finished=True)
+    rows = filled_sentences(spark, fixtures(spark, sf_dir).streamed_root, finished=True)
     shards = rows.groupBy("shard").agg(F.count("*").alias("rows"), F.max("pos").alias("last"))
     full = shards.agg(
         F.count("*").alias("shards"), F.sum("rows").alias("sentences"),
@@ -682,10 +706,7 @@ def x5_prepare_stream(spark, sf_dir):
 
 @query
 def x5_streamed_sentences(spark, sf_dir):
-    source, out, checkpoint = (new_path(spark, name) for name in ("corpus", "prepared", "checkpoint"))
-    corpus(spark, sf_dir).drop("file_no", "row").coalesce(4).write.parquet(source)
-    prepare_stream(spark, source, out, checkpoint, SHARD_SIZE, max_files=2)
-    return filled_sentences(spark, out, finished=True).select("id", "sent_idx", "sentence")
+    return filled_sentences(spark, fixtures(spark, sf_dir).streamed_root, finished=True).select("id", "sent_idx", "sentence")
 
 
 # Jobs
