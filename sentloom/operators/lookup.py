@@ -125,9 +125,9 @@ def replace_elements(
 ) -> DataFrame:
     """Add ``target``: the array ``source`` with each element looked up in ``table``.
 
-    An element without an entry becomes ``default``, or stays as it is when that is ``None``. ``hot``
-    selects a bounded part of the table with its most frequent keys; ``row_key`` names a row.
-    ``ship`` overrides the size check in tests.
+    The keys of ``table`` are unique. An element without an entry becomes ``default``, or stays as it is
+    when that is ``None``. ``hot`` selects a bounded part of the table with its most frequent keys;
+    ``row_key`` names a row. ``ship`` overrides the size check in tests.
     """
     kind = table.schema[value].dataType
     is_hot = F.lit(False) if hot is None else hot

@@ -46,20 +46,36 @@ def attach_meta(documents: DataFrame, meta: DataFrame, strict: bool = True) -> D
     return found.join(described, "shard", "left").withColumn("meta", checked).drop("described")
 
 
+def _source_documents(sentences: DataFrame, meta: DataFrame, strict: bool) -> DataFrame:
+    """The document of each source row with the metadata of that row.
+
+    Both sides are keyed by the source row, so the join keeps the placement of the grouping.
+    """
+    key = ["file_no", "row"]
+    grouped = sentences.groupBy(*key).agg(
+        F.first("id").alias("uuid"), F.min("shard").alias("shard"), _ordered("sent_idx")
+    )
+    # A document cut by a boundary is listed once per shard, with the same metadata.
+    found = grouped.join(meta.groupBy(*key).agg(F.max_by("meta", "shard").alias("meta")), key, "left")
+    if not strict:
+        return found
+    message = F.concat(F.lit("no metadata for row "), F.col("row"), F.lit(" of file "), F.col("file_no"))
+    missing = F.raise_error(message).cast(found.schema["meta"].dataType)
+    return found.withColumn("meta", F.coalesce("meta", missing))
+
+
 def regroup(sentences: DataFrame, meta: DataFrame, scope: str = "corpus", strict: bool = True) -> DataFrame:
     """Documents from sentences in shards.
 
-    ``shard`` groups runs of equal ids inside a shard, so a document cut by a boundary comes in parts:
-    ``shard, island, uuid, text, meta``. ``corpus`` joins the parts of each source row again, whatever
-    its id: ``file_no, row, shard, uuid, text, meta``, with the first of its shards.
+    ``shard`` groups runs of equal ids inside a shard and looks the metadata up by id, so a document cut
+    by a boundary comes in parts: ``shard, island, uuid, text, meta``. ``corpus`` joins the parts of each
+    source row again, whatever its id, and takes the metadata of that row:
+    ``file_no, row, shard, uuid, text, meta``, with the first of its shards.
     """
     if scope == "shard":
         return attach_meta(group_islands(find_islands(sentences)), meta, strict).select(
             "shard", "island", "uuid", "text", "meta"
         )
     if scope == "corpus":
-        grouped = sentences.groupBy("file_no", "row", F.col("id").alias("uuid")).agg(
-            F.min("shard").alias("shard"), _ordered("sent_idx")
-        )
-        return attach_meta(grouped, meta, strict).select("file_no", "row", "shard", "uuid", "text", "meta")
+        return _source_documents(sentences, meta, strict).select("file_no", "row", "shard", "uuid", "text", "meta")
     raise ValueError(f"scope must be 'corpus' or 'shard', not {scope!r}")

@@ -182,14 +182,14 @@ def _doc_shards(located: DataFrame, *columns: str) -> DataFrame:
 
 
 def shard_meta(located: DataFrame) -> DataFrame:
-    """Metadata rows of each shard, in document order: ``shard, ord, id, has_text, meta``.
+    """Metadata rows of each shard, in document order: ``shard, ord, file_no, row, id, has_text, meta``.
 
     A document cut by a boundary is listed in both shards; one without sentences in the shard that
     was open at its row.
     """
     return _doc_shards(
         located.withColumn("meta", doc_meta()).withColumn("has_text", F.col("n_sentences") > 0),
-        "ord", "id", "has_text", "meta",
+        "ord", "file_no", "row", "id", "has_text", "meta",
     ).drop("local_shard")
 
 

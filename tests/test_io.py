@@ -1,4 +1,5 @@
 import json
+import time
 from datetime import datetime
 from pathlib import Path
 
@@ -193,3 +194,23 @@ def test_streamed_shards_span_batches(spark, folder):
     listed = spark.read.parquet(f"{out}/meta").select("ord").distinct().count()
     assert listed == 6
     assert rd.progress(spark, folder + "/nowhere").count() == 0
+
+
+def test_drain_can_delete_what_it_has_read(spark, folder):
+    source, out, checkpoint = (f"{folder}/{n}" for n in ("in", "out", "checkpoint"))
+    rows = spark.range(6).select((F.col("id") % 3).alias("shard"))
+
+    def files():
+        return {p.name for p in Path(source).glob("*.parquet")}
+
+    rows.where("shard = 0").coalesce(1).write.parquet(source)
+    first = files()
+    drain(spark, source, out, checkpoint, lambda b: b, rows.schema, clean="delete")
+    rows.where("shard = 1").coalesce(1).write.mode("append").parquet(source)
+    drain(spark, source, out, checkpoint, lambda b: b, rows.schema, clean="delete")
+    # The cleaner works behind the stream, so the files of the last run may still be there.
+    deadline = time.time() + 20
+    while first & files() and time.time() < deadline:
+        time.sleep(0.5)
+    assert not first & files()
+    assert drained(spark, out).count() == 4

@@ -139,8 +139,12 @@ def test_corpus_scope_joins_the_parts(spark):
     rows = [(1, 0, 0, 0, "a", 0, "x"), (1, 1, 0, 1, "b", 0, "y"), (2, 0, 0, 1, "b", 1, "z"), (3, 0, 0, 1, "b", 2, "w")]
     sents = spark.createDataFrame(rows, SENT)
     m = meta(spark, [(1, 0, "a", "x"), (1, 1, "b", "y"), (2, 1, "b", "y"), (3, 1, "b", "y")])
-    got = {r["uuid"]: r["text"] for r in regroup(sents, m).collect()}
-    assert got == {"a": ["x"], "b": ["y", "z", "w"]}
+    m = m.withColumns({"file_no": F.lit(0).cast("long"), "row": F.col("ord")})
+    got = {r["uuid"]: (r["text"], r["meta"]["dump"], r["shard"]) for r in regroup(sents, m).collect()}
+    assert got == {"a": (["x"], "x", 1), "b": (["y", "z", "w"], "y", 1)}
     assert regroup(sents, m, "shard").count() == 4
+    with pytest.raises(Exception, match="no metadata for row 1 of file 0"):
+        regroup(sents, m.where("row = 0")).collect()
+    assert regroup(sents, m.where("row = 0"), strict=False).where("meta is null").count() == 1
     with pytest.raises(ValueError):
         regroup(sents, m, "node")
