@@ -31,10 +31,12 @@ def split_documents(docs: DataFrame, method: str = "regex", dedup: bool = False)
 
 
 def explode_sentences(split: DataFrame) -> DataFrame:
-    """One row per sentence, numbered from zero inside its document."""
-    return split.select("file_no", "row", "id", F.posexplode("sentences").alias("sent_idx", "sentence")).withColumn(
-        "sent_idx", F.col("sent_idx").cast("long")
-    )
+    """One row per sentence, numbered from zero inside its document.
+
+    The outer form keeps Spark from testing the array first, which would split each text twice.
+    """
+    exploded = split.select("file_no", "row", "id", F.posexplode_outer("sentences").alias("sent_idx", "sentence"))
+    return exploded.where(F.col("sentence").isNotNull()).withColumn("sent_idx", F.col("sent_idx").cast("long"))
 
 
 def sentences(docs: DataFrame, method: str = "regex", dedup: bool = False) -> DataFrame:

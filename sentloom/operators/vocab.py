@@ -12,7 +12,9 @@ from sentloom.session import stage
 
 def token_counts(sentences: DataFrame, column: str = "sentence") -> DataFrame:
     return (
-        sentences.select(F.explode(whitespace_tokens(column)).alias("token"))
+        # The outer form keeps Spark from testing the array first, which would split each text twice.
+        sentences.select(F.explode_outer(whitespace_tokens(column)).alias("token"))
+        .where(F.col("token").isNotNull())
         .groupBy("token")
         .agg(F.count("*").alias("n"))
     )
