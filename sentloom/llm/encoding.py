@@ -13,31 +13,52 @@ import sys
 import types
 
 import numpy as np
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 #: Pieces kept by a worker in each of two generations. It bounds memory and never changes a result.
-MEMORY = 300_000
+MEMORY = 600_000
 
 #: White space and separators other than the blank and the line feed.
 _RARE = re.compile(r"[\t\v\f\r\x1c-\x1f\x85\xa0 ᠎ -‏    ⁠　﻿]")
 _BLANK_JOINED = re.compile(r" ?[^ \n]+|[ \n]+(?![^ \n])|[ \n]")
 
+#: A word of letters whose lower case and composition are plain, and the signs behind it.
+_PLAIN = re.compile(r"( ?)([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-&(-/:-@\[-`{-~]*)")
+
 
 class _Ids(dict):
     """Piece -> its ids as little-endian unsigned 32-bit integers; the pieces not met for long are forgotten."""
 
-    def __init__(self, tokenizer):
-        self.tokenizer = tokenizer
+    def __init__(self, tokenizer, blank_joins: bool):
+        self.tokenizer, self.blank_joins = tokenizer, blank_joins
         self.old: dict[str, bytes] = {}
+        # Byte-level models name each byte by a letter; what the pre-tokenizer makes of the byte is its name.
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        names = {b: level.pre_tokenize_str(chr(b))[0][0] for b in range(128)}
+        for high in range(0xC0, 0x100):
+            lead, tail = level.pre_tokenize_str(chr(high))[0][0]
+            names[0xC3], names[high - 0x40] = lead, tail
+        self.names = names
 
     def encode(self, piece: str) -> bytes:
         ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
         return np.asarray(ids, dtype="<u4").tobytes()
 
+    def encode_word(self, word: str) -> bytes:
+        """Ids of a plain word, by the merges alone: nothing else in the tokenizer changes or cuts it."""
+        named = (word if self.blank_joins else word.lower()).encode().decode("latin-1").translate(self.names)
+        return np.array([t.id for t in self.tokenizer.model.tokenize(named)], "<u4").tobytes()
+
     def __missing__(self, piece: str) -> bytes:
         out = self.old.get(piece)
         if out is None:
-            out = self.encode(piece)
+            plain = _PLAIN.fullmatch(piece)
+            if plain is None or plain[1] and not self.blank_joins:
+                out = self.encode(piece)
+            elif plain[3]:
+                out = self[plain[1] + plain[2]] + self[plain[3]]
+            else:
+                out = self.encode_word(piece)
         if len(piece) <= 64:
             if len(self) >= MEMORY:
                 self.old = dict(self)
@@ -55,7 +76,7 @@ class Encoder:
         self.blank_joins = self.tokenizer.encode(" a", add_special_tokens=False).ids != (
             self.tokenizer.encode("a", add_special_tokens=False).ids
         )
-        self.ids = _Ids(self.tokenizer)
+        self.ids = _Ids(self.tokenizer, self.blank_joins)
 
     def encode_bytes(self, text: str) -> bytes:
         if not text:
