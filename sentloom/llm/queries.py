@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sentloom.llm.jaccard_join import jaccard_components
+from sentloom.llm.secret_scan import scan_secrets
 from sentloom.llm.token_codes import token_codes
+from sentloom.llm.toxicity import fit, held_out, labelled_texts, score
 from sentloom.llm.window_packing import pack
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -27,11 +30,28 @@ def op4_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(_table(spark, sf_dir, "documents"), n=3, num=90, den=100)
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = fit(labelled_texts(docs, _table(spark, sf_dir, "labels")))
+    return score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted", "weight", "words")
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_codes,
         op4_window_packing,
+        op6_jaccard_join,
+        op7_toxicity,
+        op10_secret_scan,
     )
 }
 

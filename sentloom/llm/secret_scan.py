@@ -42,7 +42,7 @@ BASE = (
 )
 # Public formats of further credentials.
 ADDED = (
-    Rule("private_key", r"-----BEGIN (RSA |EC |DSA |OPENSSH |PGP )?PRIVATE KEY( BLOCK)?-----"),
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY( BLOCK)?-----"),
     Rule("github", r"gh[opsur]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35,}"),
@@ -51,6 +51,8 @@ ADDED = (
 )
 RULES = BASE + ADDED
 
+#: Trigrams asked of a document for one alternative; any part of a set that all matches hold is such a set.
+MOST_TERMS = 4
 #: Alternatives kept while a query is derived; beyond it, literals stop being combined.
 MOST_ALTERNATIVES = 64
 
@@ -73,7 +75,7 @@ def trigram_query(pattern: str) -> list[frozenset[str]] | None:
             elif name in ("MAX_REPEAT", "MIN_REPEAT", "POSSESSIVE_REPEAT"):
                 low, high, inner = arg
                 once = extend(state, inner)
-                if (low, high) == (0, 1):
+                if (low, high) == (0, 1) and str(inner[0][0]) != "IN":
                     state = state | once
                 elif low == 0:
                     state = {(done, "") for done, _ in state}
@@ -94,6 +96,8 @@ def trigram_query(pattern: str) -> list[frozenset[str]] | None:
     sets = {done for done, _ in extend({(frozenset(), "")}, parser.parse(pattern))}
     if frozenset() in sets:
         return None
+    # Those with the fewest common letters are the most selective.
+    sets = {frozenset(sorted(s, key=lambda t: (sum(c in "etaoinsrh -" for c in t), t))[:MOST_TERMS]) for s in sets}
     return sorted((s for s in sets if not any(t < s for t in sets)), key=sorted)
 
 
@@ -102,8 +106,10 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn("key", F.xxhash64("text"))
 
 
-def _same(a: DataFrame, b: DataFrame) -> Column:
-    return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["key"] == b["key"])
+def _beside(df: DataFrame) -> tuple[DataFrame, Column]:
+    """``df`` with its row names out of the way, and the condition that joins it by them."""
+    renamed = df.withColumnsRenamed({"doc_id": "_doc", "key": "_key"})
+    return renamed, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("key") == F.col("_key"))
 
 
 def postings(keyed: DataFrame, trigrams: list[str]) -> DataFrame:
@@ -157,8 +163,7 @@ def secret_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         parts = F.array_compact(F.array(*(F.when(F.col("text").rlike(rules[k].pattern), _pieces(rules[k], k)) for k in full)))
         found.append(keyed.select("doc_id", "key", F.explode(parts).alias("part")))
     if queries:
-        chosen = candidates(keyed, queries)
-        texts = keyed.join(chosen, _same(keyed, chosen)).select(keyed["doc_id"], keyed["key"], "text", "rules")
+        texts = keyed.join(*_beside(candidates(keyed, queries)))
         parts = F.array_compact(
             F.array(
                 *(
@@ -195,9 +200,8 @@ def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base: int = l
         joined(F.col("kind") < base).alias("base_spans"),
         joined(F.lit(True)).alias("spans"),
     )
-    keyed = _keyed(docs).select("doc_id", "key")
-    return keyed.join(each, _same(keyed, each), "left").select(
-        keyed["doc_id"],
+    return _keyed(docs).select("doc_id", "key").join(*_beside(each), "left").select(
+        "doc_id",
         *(F.coalesce(f"n_{rules[k].kind}", F.lit(0).cast("long")).alias(f"n_{rules[k].kind}") for k in range(base)),
         F.sha2(F.coalesce("base_spans", F.lit("")), 256).alias("base_sha256"),
         F.coalesce("spans", F.lit("")).alias("spans"),
@@ -206,6 +210,6 @@ def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base: int = l
 
 def without_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of ``docs`` without a span, all columns kept."""
-    spans = secret_spans(docs, rules).select(F.col("doc_id").alias("_doc"), F.col("key").alias("_key")).distinct()
+    spans = _beside(secret_spans(docs, rules).select("doc_id", "key").distinct())[0]
     key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
     return docs.join(spans, F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (key == F.col("_key")), "left_anti")
