@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentloom.llm.jaccard_join import jaccard_components
+from sentloom.llm.multiprobe import nearest
+from sentloom.llm.pivot_search import top_k
 from sentloom.llm.secret_scan import scan_secrets
 from sentloom.llm.token_codes import token_codes
 from sentloom.llm.toxicity import fit, held_out, labelled_texts, score
@@ -30,6 +32,10 @@ def op4_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op5_multiprobe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(_table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"), n=3, num=90, den=100)
 
@@ -40,6 +46,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted", "weight", "words")
 
 
+def op8_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(_table(spark, sf_dir, "embeddings"), k=5, every=50, scale=256.0)
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(_table(spark, sf_dir, "documents"))
 
@@ -49,8 +59,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_token_codes,
         op4_window_packing,
+        op5_multiprobe,
         op6_jaccard_join,
         op7_toxicity,
+        op8_pivot_search,
         op10_secret_scan,
     )
 }

@@ -130,11 +130,12 @@ def fit(
     max_rows: int = 20_000,
     max_entries: int = 20_000,
     least_texts: int = 5,
+    least_share: float = 0.015,
     least_ratio: float = 8.0,
 ) -> Model:
     """Learn from ``labelled(text, toxic)``.
 
-    An entry occurs in ``least_texts`` toxic texts or more, and ``least_ratio`` times as often in a toxic text as in
+    An entry occurs in ``least_texts`` toxic texts and in ``least_share`` of them or more, and ``least_ratio`` times as often in a toxic text as in
     another; its weight is the logarithm of that ratio. A phrase of an entry and the word beside it is an exception if
     clean texts hold it and toxic ones don't.
     """
@@ -157,13 +158,14 @@ def fit(
 
     sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
+    least = max(least_texts, math.ceil(least_share * n_toxic))
     toxic = {
         r["term"]: r["n"]
         for r in rows.filter("toxic = 1")
         .mapInArrow(count_terms, "term string, n long")
         .groupBy("term")
         .agg(F.sum("n").alias("n"))
-        .filter(F.col("n") >= least_texts)
+        .filter(F.col("n") >= least)
         .orderBy(F.desc("n"), "term")
         .limit(10 * max_entries)
         .collect()
