@@ -8,8 +8,8 @@ model on the size histogram of all sets picks for each band how many segments ar
 extra segments pay for leaving empty ones out of the index (``allocate``). Candidates are verified on the shingles.
 
 Equal sets are one node, whatever the number of their documents. Within a list of the index the members are compared
-with the first one; only members that this leaves in different components are compared with each other, so groups of
-near copies never expand into all pairs. Nodes are 64-bit hashes of shingle hashes of 64 bits.
+with the one that shares most lists; only members that this leaves in different components are compared with each other, so groups of
+near copies never expand into all pairs: chunk by chunk, their bucket prints rule out those that differ too much. Nodes are 64-bit hashes of shingle hashes of 64 bits.
 
 Defined results: a null text, an empty one and one without words have an empty set, no link and their own ``doc_id``
 as component; repeated rows are copies; a null ``doc_id`` is kept, and takes part as the largest one; an empty table
@@ -29,7 +29,11 @@ from pyspark.sql import functions as F
 
 from sentloom.session import stage
 
-BAND_RATIO = 1.5
+BAND_RATIO = 1.2
+#: Members of a list compared at once.
+CHUNK = 1024
+#: Buckets of a set's print for each difference that a pair may have.
+PRINT = 8
 #: Cost of verifying a pair, in index rows.
 PAIR_COST = 20
 #: Text bytes hashed at once.
@@ -169,6 +173,56 @@ def _signatures(h: np.ndarray, firsts: np.ndarray, use: np.ndarray, band: int, p
     return np.concatenate(sig).view(np.int64), np.concatenate(owner)
 
 
+def set_print(shingles: np.ndarray, buckets: int) -> bytes:
+    """One byte for each bucket of shingles. Sets differ in as many shingles as their prints in bytes, or more."""
+    at = ((_mix(shingles + np.uint64(13)) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    sums = np.zeros(buckets, np.uint64)
+    np.add.at(sums, at, _mix(shingles + np.uint64(17)))
+    return (sums >> np.uint64(56)).astype(np.uint8).tobytes()
+
+
+def close_pairs(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of different components within the sorted groups ``sig, i, j`` whose prints leave the threshold open.
+
+    A group has at most two chunks of a list: its first one alone, or each member of side 0 with each of side 1.
+    """
+
+    def pairs(rows: pa.Table) -> pa.RecordBatch:
+        node, size, component, side = (rows[c].to_numpy() for c in ("node", "size", "component", "side"))
+        shown = np.frombuffer(b"".join(rows["print"].to_pylist()), np.uint8).reshape(len(node), -1)
+        left = np.flatnonzero(side == 0)
+        right = np.flatnonzero(side == 1) if side.any() else left
+        out_a, out_b = [], []
+        for x in left.tolist():
+            # Within one chunk each pair once.
+            y = right if right is not left else right[right > x]
+            total = size[x] + size[y]
+            least = -(-num * total // (num + den))
+            fits = (component[y] != component[x]) & (den * np.minimum(size[y], size[x]) >= num * np.maximum(size[y], size[x]))
+            y, allowed = y[fits], (total - 2 * least)[fits]
+            if len(y):
+                y = y[(shown[y] != shown[x]).sum(axis=1) <= allowed]
+                out_a.append(np.full(len(y), node[x]))
+                out_b.append(node[y])
+        a = np.concatenate([np.zeros(0, np.int64), *out_a])
+        b = np.concatenate([np.zeros(0, np.int64), *out_b])
+        return pa.record_batch({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        table = pa.Table.from_batches(held)
+        key = [table[c].to_numpy() for c in ("sig", "i", "j")]
+        cuts = [0, *(np.flatnonzero(np.any([k[1:] != k[:-1] for k in key], axis=0)) + 1).tolist()]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            yield pairs(table.slice(a, b - a))
+        held = table.slice(cuts[-1]).to_batches()
+    if held:
+        yield pairs(pa.Table.from_batches(held))
+
+
 def links_of(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs ``(a, b)`` whose sets reach the threshold."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
@@ -291,11 +345,8 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, num: int = 80, den: int =
         "shared-lists",
     )
 
-    def fitting(a: str, b: str):
-        return den * F.least(a, b) >= num * F.greatest(a, b)
-
-    members = postings.select("node").union(postings.select("head")).distinct()
-    origins = measured.join(members, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    members = stage(postings.select("sig", "node", "size").union(postings.select("sig", F.col("head"), "head_size")).distinct(), "list-members")
+    origins = measured.join(members.select("node").distinct(), "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
 
     def list_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -307,25 +358,53 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, num: int = 80, den: int =
     taken = docs.join(origins.select(F.col("doc_id").alias("origin")), F.col("doc_id").eqNullSafe(F.col("origin")), "left_semi")
     sets = stage(taken.mapInArrow(list_sets, "node long, shingles array<long>").dropDuplicates(["node"]), "shingle-sets")
 
-    first = stage(postings.filter(fitting("head_size", "size")).select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
+    # The member that shares most lists with others stands in the middle of its near copies.
+    lists_ = stage(members.groupBy("sig").agg(F.count("*").alias("n"), F.min("size").alias("least")), "lists")
+    weights = members.join(lists_, "sig").groupBy("node").agg(F.sum("n").alias("weight"))
+    heads = (
+        members.join(weights, "node")
+        .groupBy("sig")
+        .agg(F.max_by(F.struct("node", "size"), F.struct("weight", "node")).alias("head"))
+        .select("sig", F.col("head.node").alias("a"), F.col("head.size").alias("a_size"))
+    )
+    fitting = den * F.least("a_size", "size") >= num * F.greatest("a_size", "size")
+    first = members.join(heads, "sig").filter(fitting & (F.col("a") != F.col("node"))).select("a", F.col("node").alias("b")).distinct()
     links = stage(links_of(first, sets, num, den), "links")
     joined = connect(links)
 
-    # Members of a list that are still apart.
-    everyone = postings.select("sig", "node", "size").union(postings.select("sig", "head", "head_size")).distinct()
-    everyone = everyone.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    apart = everyone.groupBy("sig").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least <> most")
-    everyone = stage(everyone.join(apart.select("sig"), "sig", "left_semi"), "lists-apart")
-    one, other = everyone.alias("one"), everyone.alias("other")
-    rest = (
-        one.join(other, F.expr("one.sig = other.sig AND one.component < other.component"))
-        .filter(fitting("one.size", "other.size"))
-        .select(F.col("one.node").alias("a"), F.col("other.node").alias("b"))
+    # Lists whose members are still apart.
+    placed = members.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    apart = (
+        placed.groupBy("sig")
+        .agg(F.count("*").alias("n"), F.min("size").alias("least"), F.min("component").alias("low"), F.max("component").alias("high"))
+        .filter("low <> high AND n > 2")
+        .select("sig", "n", "least")
+    )
+
+    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            buckets = [max(1, PRINT * (2 * x) * (den - num) // (den + num)) for x in batch["least"].to_pylist()]
+            made = [set_print(t.values.to_numpy().view(np.uint64), m) for t, m in zip(batch["shingles"], buckets, strict=True)]
+            kept = [c for c in batch.schema.names if c not in ("least", "shingles")]
+            yield pa.record_batch([batch[c] for c in kept] + [pa.array(made, pa.binary())], names=[*kept, "print"])
+
+    chunks = F.ceil(F.col("n") / CHUNK).cast("int")
+    compared = (
+        placed.join(apart, "sig")
+        .withColumn("mine", F.pmod(F.hash("node"), chunks))
+        .select("sig", "node", "size", "component", "least", "mine", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("other"))
+        .join(sets, "node")
+        .select(
+            "sig", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
+            F.when(F.col("mine") > F.col("other"), 1).otherwise(0).alias("side"), "node", "size", "component", "least", "shingles",
+        )
+        .mapInArrow(prints, "sig long, i int, j int, side int, node long, size long, component long, print binary")
+        .repartition("sig", "i", "j")
+        .sortWithinPartitions("sig", "i", "j", "side")
+        .mapInArrow(lambda batches: close_pairs(batches, num, den), "a long, b long")
         .distinct()
-        .join(first, ["a", "b"], "left_anti")
-        .join(first.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
     )
-    more = stage(links_of(rest, sets, num, den), "links")
+    more = stage(links_of(compared, sets, num, den), "links")
     if not more.isEmpty():
         joined = connect(links.union(more))
 

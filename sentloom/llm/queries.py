@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentloom.llm.jaccard_join import jaccard_components
+from sentloom.llm.main_text import extract
 from sentloom.llm.multiprobe import nearest
 from sentloom.llm.pivot_search import top_k
 from sentloom.llm.secret_scan import scan_secrets
@@ -28,6 +29,10 @@ def op1_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_codes(_table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(_table(spark, sf_dir, "pages"))
+
+
 def op4_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), BYTE_BPE)
 
@@ -58,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_codes,
+        op2_main_text,
         op4_window_packing,
         op5_multiprobe,
         op6_jaccard_join,
