@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sentloom.llm.jaccard_join import jaccard_components
 from sentloom.llm.main_text import extract
 from sentloom.llm.multiprobe import nearest
+from sentloom.llm.piece_sampling import sample_segmentations
 from sentloom.llm.pivot_search import top_k
 from sentloom.llm.secret_scan import scan_secrets
 from sentloom.llm.token_codes import token_codes
@@ -18,6 +19,7 @@ from sentloom.llm.toxicity import fit, held_out, labelled_texts, score
 from sentloom.llm.window_packing import pack
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -33,6 +35,10 @@ def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(_table(spark, sf_dir, "pages"))
 
 
+def op3_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sample_segmentations(_table(spark, sf_dir, "documents"), PIECE_BPE, k=2, keep_ids=False)
+
+
 def op4_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), BYTE_BPE)
 
@@ -64,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_token_codes,
         op2_main_text,
+        op3_piece_sampling,
         op4_window_packing,
         op5_multiprobe,
         op6_jaccard_join,
