@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentloom.llm.jaccard_join import jaccard_components
+from sentloom.llm.license_scan import scan_licenses
 from sentloom.llm.main_text import extract
 from sentloom.llm.multiprobe import nearest
 from sentloom.llm.piece_sampling import sample_segmentations
@@ -61,6 +62,12 @@ def op8_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(_table(spark, sf_dir, "embeddings"), k=5, every=50, scale=256.0)
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files ``source/lang/doc_id``."""
+    path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+    return scan_licenses(_table(spark, sf_dir, "documents").withColumn("path", path))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(_table(spark, sf_dir, "documents"))
 
@@ -76,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_jaccard_join,
         op7_toxicity,
         op8_pivot_search,
+        op9_license_scan,
         op10_secret_scan,
     )
 }
