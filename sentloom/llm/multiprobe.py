@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from sentloom.llm.vectors import BLOCK_COLUMNS, best_of_pairs, by_length, distinct_vectors, matrix, pack_blocks, query_vectors, ranked, valid
 from sentloom.session import stage
 
-TABLES, HASHES, WIDTH = 2, 4, 2.0
+TABLES, HASHES, WIDTH = 2, 4, 3.0
 RECALL = 0.95
 SAMPLE = 2000
 STEPS = (-1, 0, 1)
