@@ -88,4 +88,85 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+_OP6 = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+  FROM words),
+items AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b ON a.x = b.x AND a.doc_id < b.doc_id
+  GROUP BY ALL HAVING 100 * count(*) >= 90 * (any_value(a.n) + any_value(b.n) - count(*))),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT a, b FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a),
+least AS (SELECT a, min(b) AS m FROM reach GROUP BY a)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, CAST(coalesce(least(m, doc_id), doc_id) AS BIGINT) AS component_id
+FROM sets LEFT JOIN least ON a = doc_id
+"""
+
+_OP8 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
+"""
+
+# Stated on its own: kind, pattern, group that counts, its least length.
+_OP10_RULES = r"""
+  (0, 'assign', '(?i:(password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 6),
+  (1, 'access', '(AKIA[A-Z0-9]+)()', 1, 20),
+  (2, 'hex', '([0-9a-f]+)()', 1, 24),
+  (3, 'private_key', '(-----BEGIN [A-Z ]*PRIVATE KEY( BLOCK)?-----)', 1, 0),
+  (4, 'github', '(gh[opsur]_[A-Za-z0-9]{36,})()', 1, 0),
+  (5, 'slack', '(xox[abprs]-[A-Za-z0-9-]{10,})()', 1, 0),
+  (6, 'google', '(AIza[A-Za-z0-9_-]{35,})()', 1, 0),
+  (7, 'stripe', '([sr]k_live_[A-Za-z0-9]{24,})()', 1, 0),
+  (8, 'jwt', '(eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,})()', 1, 0)
+"""
+
+
+def _op10() -> str:
+    per_rule = " UNION ALL ".join(
+        f"SELECT doc_id, {k} AS k, '{kind}' AS kind, {least} AS least, string_split_regex(t, {pattern}) AS gaps, "
+        f"regexp_extract_all(t, {pattern}, 0) AS hits, regexp_extract_all(t, {pattern}, {group}) AS vals "
+        f"FROM texts WHERE regexp_matches(t, {pattern})"
+        for k, kind, pattern, group, least in _rules()
+    )
+    return f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+parts AS ({per_rule}),
+each AS (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM parts),
+spans AS (
+  SELECT doc_id, k, kind, length(hits[i]) AS n,
+    CAST(list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS a
+  FROM each WHERE length(vals[i]) >= least),
+said AS (
+  SELECT doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+    coalesce(string_agg(kind || ':' || a || ':' || (a + n), ',' ORDER BY a, k) FILTER (k < 3), '') AS base,
+    string_agg(kind || ':' || a || ':' || (a + n), ',' ORDER BY a, k) AS spans
+  FROM spans GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN said USING (doc_id)
+"""
+
+
+def _rules() -> list[tuple[int, str, str, int, int]]:
+    """The rules above as SQL literals."""
+    out = []
+    for line in _OP10_RULES.strip().splitlines():
+        k, kind, rest = line.strip().rstrip(",")[1:-1].split(", ", 2)
+        pattern, group, least = rest.rsplit(", ", 2)
+        out.append((int(k), kind.strip("'"), pattern, int(group), int(least)))
+    return out
+
+
+ORACLES: dict[str, str] = {"op6_jaccard_join": _OP6, "op8_pivot_search": _OP8, "op10_secret_scan": _op10()}
