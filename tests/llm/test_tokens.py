@@ -1,0 +1,141 @@
+"""Token code files, packing and sampled segmentations against the tokenizers themselves."""
+
+import collections
+import math
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from sentloom.llm.encoding import encoder
+from sentloom.llm.piece_sampling import Vocabulary, decode_ids, decode_pieces, sample_segmentations, sample_texts
+from sentloom.llm.queries import BYTE_BPE, PIECE_BPE, WORD_BPE
+from sentloom.llm.token_codes import CodeFile, encode_levels, read_token_codes, token_codes, write_token_codes
+from sentloom.llm.window_packing import pack, sequences
+
+
+def ids_of(path, text):
+    t = Tokenizer.from_file(path)
+    t.encode_special_tokens = True
+    return t.encode(text or "", add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("path", [WORD_BPE, BYTE_BPE])
+def test_memoised_encoding_is_the_tokenizers(path):
+    texts = ["", " ", "\n\n a", "don't  it's 'll", "a\tb c", "<|endoftext|> x", "é é Å", "x y​z", "ab,***  12a3\r\n", "İS ΣΑΣ ß"]
+    for text in texts:
+        assert np.frombuffer(encoder(path).encode_bytes(text), "<u4").tolist() == ids_of(path, text), text
+
+
+def test_random_access_needs_no_decode():
+    rng = np.random.default_rng(1)
+    ids = np.concatenate([rng.integers(0, 300, 3000), rng.integers(0, 2**32, 500), [0, 2**32 - 1]])
+    rng.shuffle(ids)
+    file = CodeFile(CodeFile.pack(0, 0, [7, None], [0, 10, len(ids)], ids.astype(np.uint32)))
+    assert len(encode_levels(ids.astype(np.uint32))) == 4
+    assert [file[i] for i in range(len(ids))] == ids.tolist() == file.decode().tolist()
+    assert file.known.tolist() == [1, 0]
+    with pytest.raises(IndexError):
+        file[len(ids)]
+
+
+def test_token_codes_of_odd_rows(spark, odd_documents, folder):
+    write_token_codes(odd_documents, f"{folder}/codes", WORD_BPE, segment_tokens=5)
+    got = read_token_codes(spark, f"{folder}/codes").orderBy("start").collect()
+    rows = sorted(((r["doc_id"], r["text"]) for r in odd_documents.collect()), key=lambda r: (r[0] is not None, r[0] or 0))
+    start = 0
+    for row, (doc, text) in zip(got, rows, strict=True):
+        ids = [*ids_of(WORD_BPE, text), 1]
+        assert (row["doc_id"], row["start"], row["n_tokens"]) == (doc, start, len(ids))
+        assert row["ids_crc32"] == zlib.crc32(np.array(ids, "<u4").tobytes())
+        start += len(ids)
+
+
+def test_empty_tables(spark, no_documents):
+    assert token_codes(no_documents, WORD_BPE).count() == 0
+    assert pack(no_documents, BYTE_BPE).count() == 0
+    assert sample_segmentations(no_documents, PIECE_BPE).count() == 0
+
+
+@pytest.mark.parametrize("size", [64, 2048])
+def test_packing_places_each_id_once(spark, odd_documents, size):
+    docs = odd_documents.repartition(3)
+    pieces = pack(docs, BYTE_BPE, size=size, open_windows=2, keep_ids=True)
+    rows = pieces.collect()
+    by_document, by_sequence = collections.defaultdict(list), collections.defaultdict(list)
+    for r in rows:
+        by_document[r["doc_id"], r["doc_tokens"]].append(r)
+        by_sequence[r["sequence_id"]].append(r)
+        assert zlib.crc32(bytes(r["ids"])) == r["ids_crc32"] and len(r["ids"]) == 4 * r["length"]
+    want = collections.Counter((r["doc_id"], tuple(ids_of(BYTE_BPE, r["text"])) + (1,)) for r in docs.collect())
+    for (doc, ids), copies in want.items():
+        mine = by_document[doc, len(ids)]
+        for start in {p["start"] for p in mine}:
+            assert all(list(np.frombuffer(p["ids"], "<u4")) == list(ids[start : start + p["length"]]) for p in mine if p["start"] == start)
+        assert sum(p["length"] for p in mine) == copies * len(ids)
+    for parts in by_sequence.values():
+        at = 0
+        for p in sorted(parts, key=lambda p: p["offset"]):
+            assert p["offset"] == at
+            at += p["length"]
+        assert at <= size
+    filled = sum(r["length"] for r in rows) / (size * len(by_sequence))
+    assert filled > (0.95 if size == 64 else 0.5)
+    built = {r["sequence_id"]: r for r in sequences(pieces, size=size).collect()}
+    assert {s: sum(x > 0 for x in r["piece"]) for s, r in built.items()} == {s: sum(p["length"] for p in v) for s, v in by_sequence.items()}
+
+
+def segmentations(text, words, model):
+    ids = {model.IdToPiece(i): i for i in range(model.GetPieceSize()) if not (model.IsByte(i) or model.IsControl(i) or model.IsUnknown(i))}
+    text = "▁" + text.replace(" ", "▁")
+    out = {}
+
+    def go(at, path, log):
+        if at == len(text):
+            out[tuple(path)] = log
+        elif text[at] not in ids:
+            part = text[at].encode()
+            go(at + 1, path + [int(words.bytes[b]) for b in part], log + words.byte_log * len(part))
+        for end in range(at + 1, len(text) + 1 if at < len(text) else 0):
+            if text[at:end] in ids:
+                go(end, [*path, ids[text[at:end]]], log + words.log[ids[text[at:end]]])
+
+    go(0, [], 0.0)
+    whole = np.logaddexp.reduce(list(out.values()))
+    return {p: math.exp(x - whole) for p, x in out.items()}
+
+
+@pytest.mark.parametrize("text", ["the", "a b", "é日☃", "  q"])
+def test_samples_follow_the_lattice(text):
+    from sentencepiece import SentencePieceProcessor
+
+    words = Vocabulary(PIECE_BPE, 0.3)
+    chance = segmentations(text, words, SentencePieceProcessor(model_file=PIECE_BPE))
+    n, first, found = 4000, collections.Counter(), collections.defaultdict(list)
+    for at, rank, ids, log, value, kept in sample_texts([text] * n, list(range(n)), words, 3, 1):
+        path = tuple(ids.tolist())
+        assert decode_ids(ids, words) == text
+        assert math.isclose(math.exp(log), chance[path], rel_tol=1e-9)
+        assert kept <= 1e-12 and (not found[at] or found[at][-1][1] >= value)
+        found[at].append((path, value))
+        first[path] += rank == 1
+    assert all(len({p for p, _ in f}) == len(f) == min(3, len(chance)) for f in found.values())
+    for path, p in chance.items():
+        assert abs(first[path] / n - p) < 5 * math.sqrt(p * (1 - p) / n) + 1e-3
+
+
+def test_segmentations_round_trip_and_repeat(spark, odd_documents):
+    docs = odd_documents.repartition(3)
+    got = sample_segmentations(docs, PIECE_BPE, k=2)
+    again = sample_segmentations(docs.repartition(2), PIECE_BPE, k=2)
+    key = lambda df: sorted((str(r["doc_id"]), r["rank"], r["ids_crc32"], r["log_prob"], r["log_inclusion"]) for r in df.collect())
+    assert key(got) == key(again)
+    texts = collections.Counter((r["doc_id"], r["text"] or "") for r in docs.collect())
+    decoded = collections.Counter((r["doc_id"], r["text"]) for r in decode_pieces(got.filter("rank = 1"), PIECE_BPE).collect())
+    assert decoded == texts
+
+
+def test_tokenizer_files_exist():
+    assert all(public_tokenizers.path(x) for x in ("word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"))
