@@ -4,7 +4,8 @@ Each of ``TABLES`` tables hashes a vector by ``HASHES`` projections on Gaussian
 ``WIDTH``. Inner products become distances on the sphere first: a vector is divided by the largest norm and gets one
 more component that completes it to length 1, a query is normalised. A query visits the buckets around its own in
 the order of the estimated probability that a neighbour at distance ``r`` lies there, until that probability adds up
-so that all tables together reach ``RECALL``. The distance ``r`` of the k-th neighbour is estimated from the inner
+so that all tables together reach ``RECALL``. The most likely bucket of each table gives a score that the k-th neighbour
+has at least, and the other buckets only hand over what reaches it. The distance ``r`` of the k-th neighbour is estimated from the inner
 products of at most ``SAMPLE`` rows; every row is indexed. Candidates of all tables are ranked by exact inner products.
 
 Buckets are cut into blocks of up to 1024 vectors and probes into blocks of queries, so a crowded bucket is many
@@ -23,7 +24,7 @@ from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sentloom.llm.vectors import BLOCK_COLUMNS, best_of_pairs, by_length, distinct_vectors, matrix, pack_blocks, query_vectors, ranked, valid
@@ -55,8 +56,8 @@ def _normal_cdf(x: np.ndarray) -> np.ndarray:
     return np.interp(x, grid, table)
 
 
-def probes(inside: np.ndarray, width: float, r: float, mass: float) -> tuple[np.ndarray, np.ndarray]:
-    """Perturbations in the order of success for queries ``inside`` their slots: query numbers and steps per hash."""
+def probes(inside: np.ndarray, width: float, r: float, mass: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Perturbations for queries ``inside`` their slots: query numbers, places in the order of success, steps per hash."""
     n, hashes = inside.shape
     chance, steps = np.ones((n, 1)), np.zeros((1, 0), np.int64)
     for i in range(hashes):
@@ -70,7 +71,7 @@ def probes(inside: np.ndarray, width: float, r: float, mass: float) -> tuple[np.
     count = np.minimum((reached < mass).sum(axis=1) + 1, order.shape[1])
     query = np.repeat(np.arange(n), count)
     place = np.arange(len(query)) - np.repeat(np.concatenate([[0], np.cumsum(count)[:-1]]), count)
-    return query, steps[order[query, place]]
+    return query, place, steps[order[query, place]]
 
 
 def neighbour_distance(vectors: DataFrame, k: int, largest: float, total: int, sample: int = SAMPLE) -> float:
@@ -125,38 +126,62 @@ def nearest(
                     ids = pa.array(bucket_ids(np.floor(h), x.shape[1]))
                     yield pa.record_batch({"table": pa.array(np.full(len(x), t, np.int32)), "bucket": ids, "vector": batch["vector"], "ids": batch["ids"]})
 
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in by_length(whole) if whole.num_rows else ():
-                x = matrix(batch["vector"])
-                x = x / np.linalg.norm(x, axis=1)[:, None]
-                for cut in range(0, len(x), 2000):
-                    part = batch.slice(cut, 2000)
-                    for t, h in hashed(x[cut : cut + 2000], np.zeros(part.num_rows)):
-                        slot = np.floor(h)
-                        query, steps = probes((h - slot) * width, width, r, mass)
-                        ids = pa.array(bucket_ids(slot[query] + steps, x.shape[1]))
-                        of = part.take(pa.array(query))
-                        yield pa.record_batch({"table": pa.array(np.full(len(query), t, np.int32)), "bucket": ids, "vector": of["vector"], "ids": of["ids"]})
+    def probe(first: bool):
+        """Entries for the most likely bucket of each table, or for the others, with the score to reach."""
+
+        def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for batch in by_length(whole) if whole.num_rows else ():
+                    x = matrix(batch["vector"])
+                    x = x / np.linalg.norm(x, axis=1)[:, None]
+                    for cut in range(0, len(x), 2000):
+                        part = batch.slice(cut, 2000)
+                        for t, h in hashed(x[cut : cut + 2000], np.zeros(part.num_rows)):
+                            slot = np.floor(h)
+                            query, place, steps = probes((h - slot) * width, width, r, mass)
+                            use = (place == 0) == first
+                            query, steps = query[use], steps[use]
+                            ids = pa.array(bucket_ids(slot[query] + steps, x.shape[1]))
+                            of = part.take(pa.array(query))
+                            yield pa.record_batch(
+                                {"table": pa.array(np.full(len(query), t, np.int32)), "bucket": ids, "vector": of["vector"], "ids": of["ids"], "q_floor": of["q_floor"]}
+                            )
+
+        return enter
 
     hashed_columns = "table int, bucket long, vector array<double>, ids array<long>"
 
-    def blocks(entries: DataFrame) -> DataFrame:
+    def blocks(entries: DataFrame, *carried: str) -> DataFrame:
         return (
             entries.withColumn("first", F.element_at("ids", 1))
             .repartitionByRange("table", "bucket", "first")
             .sortWithinPartitions("table", "bucket", "first")
-            .select("table", "bucket", "vector", "ids")
-            .mapInArrow(pack_blocks(["table", "bucket"]), f"table int, bucket long, {BLOCK_COLUMNS}")
+            .select("table", "bucket", "vector", "ids", *carried)
+            .mapInArrow(
+                pack_blocks(["table", "bucket"], carried=carried[0] if carried else None),
+                f"table int, bucket long, {'q_floor array<double>, ' if carried else ''}{BLOCK_COLUMNS}",
+            )
         )
 
     queries, asked = query_vectors(rows, every)
     indexed = stage(blocks(distinct_vectors(rows, k).mapInArrow(index, hashed_columns)), "buckets")
-    asking = stage(blocks(queries.select("vector", F.array("query").alias("ids")).mapInArrow(probe, hashed_columns)), "probes")
-    asking = asking.select("table", "bucket", F.col("firsts").alias("q_firsts"), F.col("matrix").alias("q_matrix"))
-    found = (
-        indexed.join(asking, ["table", "bucket"])
-        .select("dim", "firsts", "ids", "matrix", "q_firsts", "q_matrix")
-        .mapInArrow(best_of_pairs(k), "query long, score double, first long, ids array<long>")
+
+    def visit(asking: DataFrame, first: bool) -> DataFrame:
+        entries = asking.select("vector", F.array("query").alias("ids"), "q_floor").mapInArrow(probe(first), f"{hashed_columns}, q_floor double")
+        asked_blocks = blocks(entries, "q_floor").select("table", "bucket", F.col("firsts").alias("q_firsts"), F.col("matrix").alias("q_matrix"), "q_floor")
+        return (
+            indexed.join(asked_blocks, ["table", "bucket"])
+            .select("dim", "firsts", "ids", "matrix", "q_firsts", "q_matrix", "q_floor")
+            .mapInArrow(best_of_pairs(k), "query long, score double, first long, ids array<long>")
+        )
+
+    likely = stage(visit(queries.withColumn("q_floor", F.lit(float("-inf"))), True), "found")
+    order = Window.partitionBy("query").orderBy(F.desc("score"))
+    floors = (
+        likely.select("query", "score", "first").distinct()
+        .withColumn("place", F.row_number().over(order)).filter(F.col("place") == k + 1)
+        .select("query", F.col("score").alias("q_floor"))
     )
+    others = queries.join(floors, "query", "left").withColumn("q_floor", F.coalesce("q_floor", F.lit(float("-inf"))))
+    found = likely.unionByName(visit(others, False))
     return ranked(found, asked.join(queries, "vector").select("query_id", "query"), k)

@@ -50,10 +50,10 @@ def by_length(batch: pa.RecordBatch, column: str = "vector") -> Iterator[pa.Reco
         yield batch if (lengths == n).all() else batch.filter(pa.array(lengths == n))
 
 
-def pack_blocks(keys: list[str], measures: list[str] | None = None, block: int = BLOCK):
+def pack_blocks(keys: list[str], measures: list[str] | None = None, block: int = BLOCK, carried: str | None = None):
     """A function for ``mapInArrow`` over sorted rows ``*keys, *measures, vector, ids``: blocks of rows with equal keys.
 
-    For each measure, a block has the least and the largest value.
+    For each measure, a block has the least and the largest value, and of the column ``carried`` all values.
     """
     measures = measures or []
 
@@ -67,6 +67,8 @@ def pack_blocks(keys: list[str], measures: list[str] | None = None, block: int =
             for m in measures:
                 x = rows[m].to_numpy()
                 out |= {f"{m}_least": pa.array([x.min()]), f"{m}_most": pa.array([x.max()])}
+            if carried:
+                out |= {carried: pa.array([rows[carried].to_pylist()], pa.list_(pa.float64()))}
             ids = rows["ids"]
             return pa.record_batch(
                 out

@@ -73,9 +73,10 @@ def test_multiprobe_recall_and_scores(spark):
 
 
 def test_probes_come_in_order_of_success():
-    query, steps = probes(np.array([[0.1, 2.9], [1.5, 1.5]]), 3.0, 1.0, 0.9)
+    query, place, steps = probes(np.array([[0.1, 2.9], [1.5, 1.5]]), 3.0, 1.0, 0.9)
     assert steps[query == 0][0].tolist() == [-1, 0] or steps[query == 0][0].tolist() == [0, 0]
     assert steps[query == 1][0].tolist() == [0, 0]
+    assert place[query == 1].tolist() == list(range((query == 1).sum()))
 
 
 def test_no_vectors(spark):
