@@ -29,11 +29,13 @@ from pyspark.sql import functions as F
 
 from sentloom.session import stage
 
-BAND_RATIO = 1.2
+BAND_RATIO = 1.5
 #: Members of a list compared at once.
 CHUNK = 1024
 #: Buckets of a set's print for each difference that a pair may have.
-PRINT = 8
+PRINT = 2
+#: Ids of documents whose sets are compared that are sent to the tasks; more are joined by a shuffle of the texts.
+SENT_IDS = 1_000_000
 #: Cost of verifying a pair, in index rows.
 PAIR_COST = 20
 #: Text bytes hashed at once.
@@ -233,6 +235,7 @@ def links_of(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
         .join(right, "b")
         .filter(shared * (num + den) >= num * (F.size("sa") + F.size("sb")))
         .select("a", "b")
+        .distinct()
     )
 
 
@@ -349,14 +352,20 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, num: int = 80, den: int =
     origins = measured.join(members.select("node").distinct(), "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
 
     def list_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sets of the chosen documents. Rows that repeat an id can give a set twice, which changes no link."""
+        seen: set[int] = set()
         for batch in batches:
             for _, h, firsts in shingle_sets(batch["text"], n):
-                yield pa.record_batch(
-                    {"node": pa.array(set_nodes(h, firsts)), "shingles": pa.LargeListArray.from_arrays(pa.array(firsts), pa.array(h.view(np.int64))).cast(pa.list_(pa.int64()))}
-                )
+                nodes = set_nodes(h, firsts)
+                new = np.array([i for i, x in enumerate(nodes.tolist()) if not (x in seen or seen.add(x))], np.int64)
+                lists = pa.LargeListArray.from_arrays(pa.array(firsts), pa.array(h.view(np.int64))).cast(pa.list_(pa.int64()))
+                yield pa.record_batch({"node": pa.array(nodes[new]), "shingles": lists.take(pa.array(new))})
 
-    taken = docs.join(origins.select(F.col("doc_id").alias("origin")), F.col("doc_id").eqNullSafe(F.col("origin")), "left_semi")
-    sets = stage(taken.mapInArrow(list_sets, "node long, shingles array<long>").dropDuplicates(["node"]), "shingle-sets")
+    origins = stage(origins.select(F.col("doc_id").alias("origin")), "origins")
+    if origins.count() <= SENT_IDS:
+        origins = F.broadcast(origins)
+    taken = docs.join(origins, F.col("doc_id").eqNullSafe(F.col("origin")), "left_semi")
+    sets = stage(taken.mapInArrow(list_sets, "node long, shingles array<long>"), "shingle-sets")
 
     # The member that shares most lists with others stands in the middle of its near copies.
     lists_ = stage(members.groupBy("sig").agg(F.count("*").alias("n"), F.min("size").alias("least")), "lists")
@@ -368,7 +377,13 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, num: int = 80, den: int =
         .select("sig", F.col("head.node").alias("a"), F.col("head.size").alias("a_size"))
     )
     fitting = den * F.least("a_size", "size") >= num * F.greatest("a_size", "size")
-    first = members.join(heads, "sig").filter(fitting & (F.col("a") != F.col("node"))).select("a", F.col("node").alias("b")).distinct()
+    # Each member meets the heaviest of the heads of its lists.
+    first = (
+        members.join(heads.join(weights.withColumnRenamed("node", "a"), "a"), "sig")
+        .filter(fitting & (F.col("a") != F.col("node")))
+        .groupBy(F.col("node").alias("b"))
+        .agg(F.max_by("a", F.struct("weight", "a")).alias("a"))
+    )
     links = stage(links_of(first, sets, num, den), "links")
     joined = connect(links)
 
