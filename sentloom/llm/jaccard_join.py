@@ -322,8 +322,9 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, num: int = 80, den: int =
                             )
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The rows of the signatures that several sets have, each set once."""
         head = None  # signature, node and size of the first member of the list that is being read
-        node = None
+        node, shown = None, False  # the last node, and whether the first member has been handed on
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -336,19 +337,23 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, num: int = 80, den: int =
             if head is not None and len(s) > 1 and s[1] == s[0] and v[1] == node:
                 again[1] = True
             member = np.flatnonzero(~starts & ~again & (v != v[first]))
+            heads = np.unique(first[member])
+            rows = np.concatenate([heads[1:] if shown and len(heads) and heads[0] == 0 else heads, member])
+            shown = bool(len(heads) and heads[-1] == first[-1]) or shown and first[-1] == 0
             head, node = (s[first[-1]], v[first[-1]], c[first[-1]]), v[-1]
-            f = first[member]
-            yield pa.record_batch([pa.array(x) for x in (s[member], v[f], c[f], v[member], c[member])], names=["sig", "head", "head_size", "node", "size"])
+            yield pa.record_batch([pa.array(x[rows]) for x in (s, v, c)], names=["sig", "node", "size"])
 
-    postings = stage(
+    shared = stage(
         docs.mapInArrow(index, "sig long, node long, size long")
         .repartition("sig")
         .sortWithinPartitions("sig", "node")
-        .mapInArrow(lists, "sig long, head long, head_size long, node long, size long"),
+        .mapInArrow(lists, "sig long, node long, size long"),
         "shared-lists",
     )
-
-    members = stage(postings.select("sig", "node", "size").union(postings.select("sig", F.col("head"), "head_size")).distinct(), "list-members")
+    # Near copies share many signatures: of the lists with the same members, one is enough.
+    every = shared.groupBy("sig").agg(F.count("*").alias("n"), F.min("size").alias("least"), F.bit_xor(F.xxhash64("node")).alias("whole"))
+    single = every.groupBy("n", "whole", "least").agg(F.min("sig").alias("sig")).select("sig", "n", "least")
+    members = stage(shared.join(single, "sig"), "list-members")
     origins = measured.join(members.select("node").distinct(), "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
 
     def list_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -368,8 +373,7 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, num: int = 80, den: int =
     sets = stage(taken.mapInArrow(list_sets, "node long, shingles array<long>"), "shingle-sets")
 
     # The member that shares most lists with others stands in the middle of its near copies.
-    lists_ = stage(members.groupBy("sig").agg(F.count("*").alias("n"), F.min("size").alias("least")), "lists")
-    weights = members.join(lists_, "sig").groupBy("node").agg(F.sum("n").alias("weight"))
+    weights = members.groupBy("node").agg(F.sum("n").alias("weight"))
     heads = (
         members.join(weights, "node")
         .groupBy("sig")
@@ -391,9 +395,9 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, num: int = 80, den: int =
     placed = members.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     apart = (
         placed.groupBy("sig")
-        .agg(F.count("*").alias("n"), F.min("size").alias("least"), F.min("component").alias("low"), F.max("component").alias("high"))
-        .filter("low <> high AND n > 2")
-        .select("sig", "n", "least")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .filter("low <> high")
+        .select("sig")
     )
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -405,7 +409,7 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, num: int = 80, den: int =
 
     chunks = F.ceil(F.col("n") / CHUNK).cast("int")
     compared = (
-        placed.join(apart, "sig")
+        placed.join(apart, "sig", "left_semi")
         .withColumn("mine", F.pmod(F.hash("node"), chunks))
         .select("sig", "node", "size", "component", "least", "mine", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("other"))
         .join(sets, "node")

@@ -34,7 +34,7 @@ from sentencepiece import SentencePieceProcessor
 
 BLANK = 0x2581
 #: Code points of texts whose words are handled as arrays at once.
-BLOCK = 6_000_000
+BLOCK = 2_000_000
 _BASE = 0x9E3779B97F4A7C15
 _SLOTS = 22
 
