@@ -37,8 +37,8 @@ def node_of_path(path: Column | str) -> Column:
 
 
 def file_number(name: Column | str) -> Column:
-    """Number of a corpus file named ``train-00017-of-00099.parquet``; null if there is none."""
-    digits = F.regexp_extract(_col(name), r"train-([0-9]+)-of-[0-9]+\.parquet$", 1)
+    """Number of a corpus file named ``train-00017-of-00099.parquet``, or of a file in a folder of that name; null if there is none."""
+    digits = F.regexp_extract(_col(name), r"train-([0-9]+)-of-[0-9]+\.parquet(?:/[^/]*)?$", 1)
     return F.nullif(digits, F.lit("")).cast("long")
 
 

@@ -55,7 +55,7 @@ def read_corpus_files(
         for number in range(start, total_files if stop is None else stop)
     ]
     corpus = spark.read.schema(CORPUS).parquet(*paths)
-    return _numbered(corpus).withColumn("file_no", file_number("_metadata.file_name"))
+    return _numbered(corpus).withColumn("file_no", file_number("_metadata.file_path"))
 
 
 def documents_as_corpus(documents: DataFrame, files: int = 1) -> DataFrame:

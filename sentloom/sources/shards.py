@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from sentloom.functions.names import node_of_path, shard_of_path
@@ -19,12 +19,25 @@ KINDS = {"tokenized": TOKENIZED, "translated": OUTPUTS, "output": MERGED}
 LAYOUTS = ("hive", "plain")
 
 
-def _globs(root: str, kind: str, nodes: Iterable[int] | None, layout: str) -> str:
-    """Paths of the shard files; the node choice is part of the path, so other nodes are not listed."""
+def _load(reader: DataFrameReader, root: str, kind: str, nodes: Iterable[int] | None, layout: str) -> DataFrame:
+    """Shard files with ``node`` and ``shard``; of the layout written here both are partition columns, so a filter on
+    them keeps files from being read."""
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}, not {layout!r}")
-    chosen = "*" if nodes is None else "{" + ",".join(str(n) for n in nodes) + "}"
-    return f"{root}/{kind}/node={chosen}/shard=*/*" if layout == "hive" else f"{root}/{chosen}/{kind}/*.json"
+    chosen = None if nodes is None else list(nodes)
+    if layout == "hive":
+        files = reader.load(f"{root}/{kind}")
+        if not {"node", "shard"} <= set(files.columns):  # nothing was written
+            return files.withColumns({"node": F.lit(None).cast("long"), "shard": F.lit(None).cast("long")}).where("false")
+        return files if chosen is None else files.where(F.col("node").isin(chosen))
+    # The node choice is part of the path, so other nodes are not listed.
+    some = "*" if chosen is None else "{" + ",".join(map(str, chosen)) + "}"
+    files = reader.option("recursiveFileLookup", "true").load(f"{root}/{some}/{kind}/*.json")
+    path = F.col("_metadata.file_path")
+    named = shard_of_path(path)
+    return files.select("*", node_of_path(path).alias("node"), named.alias("named")).withColumn(
+        "shard", F.coalesce("shard", "named") if "shard" in files.columns else F.col("named")
+    ).drop("named")
 
 
 def _absent(error: AnalysisException) -> bool:
@@ -36,21 +49,14 @@ def read_payloads(
 ) -> DataFrame:
     """Nested shards of some nodes, with ``node``. Nodes without a directory give no rows."""
     schema = KINDS[kind]
+    read = f"{schema}, node bigint" if layout == "hive" else schema
+    reader = spark.read.format("json").schema(read).option("ignoreMissingFiles", "true")
     try:
-        files = (
-            spark.read.schema(schema)
-            .option("ignoreMissingFiles", "true")
-            .option("recursiveFileLookup", "true")
-            .json(_globs(root, kind, nodes, layout))
-        )
+        return _load(reader, root, kind, nodes, layout)
     except AnalysisException as error:
         if not _absent(error):
             raise
         return spark.createDataFrame([], f"{schema}, node bigint")
-    path = F.col("_metadata.file_path")
-    return files.select("*", node_of_path(path).alias("node"), shard_of_path(path).alias("named")).withColumn(
-        "shard", F.coalesce("shard", "named")
-    ).drop("named")
 
 
 def read_tokens(spark: SparkSession, root: str, node: int | None = None, layout: str = "hive") -> DataFrame:
@@ -63,17 +69,13 @@ def list_shards(
 ) -> DataFrame:
     """``node, shard`` of the shard files, in numeric order, from their names alone."""
     try:
-        files = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .load(_globs(root, kind, None if node is None else [node], layout))
-        )
+        files = _load(spark.read.format("binaryFile"), root, kind, None if node is None else [node], layout)
     except AnalysisException as error:
         if not _absent(error):
             raise
         return spark.createDataFrame([], "node bigint, shard bigint")
     return (
-        files.select(node_of_path("path").alias("node"), shard_of_path("path").alias("shard"))
+        files.select(F.col("node").cast("long").alias("node"), F.col("shard").cast("long").alias("shard"))
         .where(F.col("shard").isNotNull())
         .distinct()
         .orderBy("shard")
@@ -83,15 +85,12 @@ def list_shards(
 def read_outputs(
     spark: SparkSession, root: str, start: int, end: int | None = None, layout: str = "hive"
 ) -> DataFrame:
-    """Nested translated shards ``start`` to ``end``; empty ones are skipped.
+    """Nested translated shards ``start`` to ``end`` or to the last; empty ones are skipped.
 
-    ``end`` is clamped to the number of shards.
+    Shard numbers may have gaps and exceed the number of shards.
     """
-    total = list_shards(spark, root, kind="translated", layout=layout).count()
-    last = total if end is None else min(end, total)
-    return read_payloads(spark, root, "translated", layout=layout).where(
-        F.col("shard").between(start, last) & (F.size("outputs") > 0)
-    )
+    chosen = F.col("shard") >= start if end is None else F.col("shard").between(start, end)
+    return read_payloads(spark, root, "translated", layout=layout).where(chosen & (F.size("outputs") > 0))
 
 
 def read_documents(

@@ -52,6 +52,19 @@ def retire_inputs(spark: SparkSession, root: str, kind: str, committed: DataFram
     return removed
 
 
-def committed_shards(spark: SparkSession, path: str) -> DataFrame:
-    """``node, shard`` of a finished flat output."""
-    return spark.read.parquet(path).select(F.col("node").cast("long").alias("node"), "shard").distinct()
+def committed_shards(spark: SparkSession, path: str, kept: bool = False) -> DataFrame:
+    """``node, shard`` of a finished flat output without unresolved rows.
+
+    A row is resolved when its ``status`` is ``ok``, or, with ``kept``, when the output holds its ``input_ids`` too, so
+    that it can be translated later. An output without ``status`` has no unresolved rows.
+    """
+    rows = spark.read.parquet(path)
+    resolved = F.col("status") == "ok" if "status" in rows.columns else F.lit(True)
+    if kept and "input_ids" in rows.columns:
+        resolved = resolved | F.col("input_ids").isNotNull()
+    return (
+        rows.groupBy(F.col("node").cast("long").alias("node"), "shard")
+        .agg(F.bool_and(F.coalesce(resolved, F.lit(False))).alias("resolved"))
+        .where("resolved")
+        .select("node", "shard")
+    )

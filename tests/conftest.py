@@ -1,21 +1,23 @@
+import sys
 import tempfile
+from pathlib import Path
 
 import pytest
-from pyspark.sql import SparkSession
+
+sys.path.insert(0, str(Path(__file__).parent.parent))
+
+from sentloom.session import build_session
 
 
 @pytest.fixture(scope="session")
 def spark():
-    session = (
-        SparkSession.builder.master("local[8]")
-        .appName("sentloom-tests")
-        .config("spark.sql.shuffle.partitions", "4")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "6g")
-        .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
-    )
+    conf = {
+        "spark.sql.shuffle.partitions": "4",
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.driver.memory": "6g",
+    }
+    session = build_session("sentloom-tests", "local[8]", **conf)
     session.sparkContext.setLogLevel("ERROR")
     return session
 
