@@ -31,14 +31,14 @@ WHITESPACE_CLASS = r"[\s\x1c-\x1f\x85\p{Z}]"
 DELIMITERS = r"(?<!\p{Nd})\.(?!\p{Nd})|[?!।|॥؟۔\n]\n*"
 BULLET = rf"\A{WHITESPACE_CLASS}*+(?:•|○|\*|-|[0-9]++\.){WHITESPACE_CLASS}*+"
 PLACEHOLDER = r"<ID[0-9]+>"
-# Spans kept out of translation. Repetitions are bounded so that matching stays linear and
-# never recurses deeply, whatever the sentence holds.
+# Spans kept out of translation. Runs are matched possessively and not begun inside, so matching stays
+# linear and never recurses deeply, whatever the sentence holds.
 ENTITY = (
     r"<ID[0-9]+>"
     r"|https?://[^ \t\n\r<>]+"
     r"|www\.[^ \t\n\r<>]+"
-    r"|[A-Za-z0-9_.+-]{1,64}@[A-Za-z0-9_-]{1,63}(?:\.[A-Za-z0-9_-]{1,63}){1,8}"
-    r"|\p{Nd}+(?:[.,]\p{Nd}+){0,15}"
+    r"|(?:(?<![A-Za-z0-9_.+-])|\G)[A-Za-z0-9_.+-]++@[A-Za-z0-9_-]++(?:\.[A-Za-z0-9_-]++)++"
+    r"|\p{Nd}++(?:[.,]\p{Nd}++)*+"
 )
 # Every entity holds one of these.
 ENTITY_HINT = r"[\p{Nd}@]|://|www\."
@@ -51,6 +51,8 @@ BUCKET_ROWS = 512
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 BROADCAST_FILES = 100_000
+# Default bound of a vocabulary that a job builds itself.
+VOCAB_SIZE = 250_000
 # Most frequent entries shipped when the whole table is too large, and the longest key among them.
 HOT_ROWS = 50_000
 HOT_KEY_BYTES = 64

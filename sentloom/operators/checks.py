@@ -22,8 +22,18 @@ def audit_alignment(tokens: DataFrame) -> DataFrame:
 
 
 def run_report(translated: DataFrame) -> DataFrame:
-    """Rows and batches of each shard by outcome."""
-    per_batch = translated.groupBy("shard", "status", "batch_id").agg(F.count("*").alias("rows"))
+    """Rows, batches and, where they are marked, cut sentences of each shard by outcome."""
+    cut = F.count_if("truncated") if "truncated" in translated.columns else F.lit(None).cast("long")
+    per_batch = translated.groupBy("shard", "status", "batch_id").agg(F.count("*").alias("rows"), cut.alias("truncated"))
     return per_batch.groupBy("shard", "status").agg(
-        F.sum("rows").alias("rows"), F.count("*").alias("batches")
+        F.sum("rows").alias("rows"), F.count("*").alias("batches"), F.sum("truncated").alias("truncated")
+    )
+
+
+def loss_report(documents: DataFrame) -> DataFrame:
+    """One row: documents, those that lack sentences, and how many sentences they lack."""
+    return documents.agg(
+        F.count("*").alias("documents"),
+        F.count_if(~F.col("complete")).alias("incomplete"),
+        F.coalesce(F.sum("missing_sentences"), F.lit(0)).alias("missing_sentences"),
     )

@@ -2,8 +2,9 @@
 
 A table of checked, bounded size is shipped to the tasks and applied to whole Arrow batches, so rows
 are neither exploded nor shuffled. Of a larger table, the hot part, bounded by construction, is shipped
-in the same way; only the elements it lacks are exploded and joined with the rest of the table. Both
-ways give the same result.
+in the same way. Of the elements it lacks, each different one is joined with the rest of the table once; what is found
+is shipped as well if it is within the bound, and only beyond that are the elements themselves exploded and joined.
+Rows are known by a number they get when they are staged, so all ways give the same result for any rows.
 """
 
 from __future__ import annotations
@@ -22,6 +23,11 @@ from sentloom.constants import BROADCAST_BYTES, BROADCAST_ROWS
 from sentloom.functions.binding import bind
 from sentloom.session import stage
 
+#: Number of a row while its elements are looked up.
+ROW = "_lookup_row"
+#: Tasks that a frequent key is dealt over in the join of last resort.
+SALTS = 16
+
 _ARROW_TYPES = {T.StringType(): pa.string(), T.IntegerType(): pa.int32(), T.LongType(): pa.int64()}
 
 
@@ -67,38 +73,43 @@ def _shipped(entries: Broadcast, kind: T.DataType, missing: str, default: object
 
 
 def _joined(
-    df: DataFrame, source: str, target: str, hot: DataFrame, cold: DataFrame, kind: T.DataType,
-    default: Column, row_key: tuple[str, ...],
+    df: DataFrame, source: str, target: str, hot: DataFrame, cold: DataFrame, kind: T.DataType, default: Column,
+    missing: str, missing_value: object, ship_found: bool | None,
 ) -> DataFrame:
-    others = [c for c in df.columns if c not in row_key and c != target]
-    # Staged, because the rows are split in two below.
-    begun = stage(df.withColumn(target, _shipped(_ship(hot), kind, "null")(F.col(source))), "lookup")
+    # Staged, because the rows are read several times below and their numbers must not change.
+    begun = stage(
+        df.withColumn(target, _shipped(_ship(hot), kind, "null")(F.col(source))).withColumn(
+            ROW, F.monotonically_increasing_id()
+        ),
+        "lookup",
+    )
+    others = [c for c in df.columns if c != target]
     numbered = F.transform(
         F.arrays_zip(F.col(source).alias("key"), F.col(target).alias("value")),
         lambda e, i: F.struct(i.alias("place"), e["key"].alias("key"), e["value"].alias("value")),
     )
-    misses = F.filter(numbered, lambda e: e["value"].isNull() & e["key"].isNotNull())
+    misses = F.filter(numbered, lambda e: e["value"].isNull())
     opened = begun.withColumn("misses", misses)
+    # A frequent key is one row of each task here.
+    wanted = opened.select(F.explode("misses.key").alias("key")).distinct()
+    found = stage(wanted.join(cold, "key"), "found")
+    if fits_broadcast(found, "key", "value") if ship_found is None else ship_found:
+        second = _shipped(_ship(found), kind, missing, missing_value)(F.col(source))
+        merged = bind(
+            lambda near, far: F.transform(near, lambda value, i: F.coalesce(value, F.get(far, i))),
+            near=F.col(target), far=F.col("far"),
+        )
+        return begun.withColumn("far", second).select(*others, merged.alias(target))
     settled = F.coalesce(F.size("misses"), F.lit(0)) <= 0
     # The row travels with its first miss only.
     exploded = opened.where(~settled).select(
-        *row_key, F.struct(*others, target).alias("rest"), F.posexplode("misses").alias("nth", "miss")
+        ROW, F.struct(*others, target).alias("rest"), F.posexplode("misses").alias("nth", "miss")
     ).select(
-        *row_key,
+        ROW,
         F.when(F.col("nth") == 0, F.col("rest")).alias("rest"),
         F.col("miss.place").alias("place"),
         F.col("miss.key").alias("key"),
     )
-    found = (
-        exploded.join(cold, "key", "left")
-        .groupBy(*row_key)
-        .agg(
-            F.first("rest", ignorenulls=True).alias("rest"),
-            F.map_from_entries(
-                F.collect_list(F.struct("place", F.coalesce("value", default).cast(kind).alias("value")))
-            ).alias("patches"),
-        )
-    )
     patched = bind(
         lambda values, patches: F.transform(
             values, lambda value, i: F.coalesce(value, F.try_element_at(patches, i))
@@ -106,8 +117,21 @@ def _joined(
         values=F.col("rest")[target],
         patches=F.col("patches"),
     )
-    return opened.where(settled).select(*row_key, *others, target).unionByName(
-        found.select(*row_key, *[F.col("rest")[c].alias(c) for c in others], patched.alias(target))
+    # A frequent key is dealt over SALTS tasks; the found entries, which have none twice, are there that often.
+    salted = exploded.withColumn("salt", F.pmod(F.hash(ROW, "place"), F.lit(SALTS)))
+    entries = found.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    completed = (
+        salted.join(entries, ["key", "salt"], "left")
+        .groupBy(ROW)
+        .agg(
+            F.first("rest", ignorenulls=True).alias("rest"),
+            F.map_from_entries(
+                F.collect_list(F.struct("place", F.coalesce("value", default).cast(kind).alias("value")))
+            ).alias("patches"),
+        )
+    )
+    return opened.where(settled).select(*others, target).unionByName(
+        completed.select(*[F.col("rest")[c].alias(c) for c in others], patched.alias(target))
     )
 
 
@@ -120,14 +144,14 @@ def replace_elements(
     value: str,
     default: object = None,
     hot: Column | None = None,
-    row_key: tuple[str, ...] = ("shard", "pos"),
     ship: bool | None = None,
+    ship_found: bool | None = None,
 ) -> DataFrame:
     """Add ``target``: the array ``source`` with each element looked up in ``table``.
 
     The keys of ``table`` are unique. An element without an entry becomes ``default``, or stays as it is
-    when that is ``None``. ``hot`` selects a bounded part of the table with its most frequent keys;
-    ``row_key`` names a row. ``ship`` overrides the size check in tests.
+    when that is ``None``. ``hot`` selects a bounded part of the table with its most frequent keys.
+    ``ship`` and ``ship_found`` override the checks of the size of the table and of its part that was looked up.
     """
     kind = table.schema[value].dataType
     is_hot = F.lit(False) if hot is None else hot
@@ -137,4 +161,5 @@ def replace_elements(
         return df.withColumn(target, shipped(F.col(source)))
     fallback = F.col("key") if default is None else F.lit(default)
     near, far = entries.where("hot").drop("hot"), entries.where("not hot").drop("hot")
-    return _joined(df, source, target, near, far, kind, fallback, row_key)
+    missing = "copy" if default is None else "default"
+    return _joined(df, source, target, near, far, kind, fallback, missing, default, ship_found)

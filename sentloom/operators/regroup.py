@@ -15,14 +15,19 @@ def find_islands(sentences: DataFrame) -> DataFrame:
     ).drop("starts")
 
 
-def _ordered(order: str) -> F.Column:
-    items = F.array_sort(F.collect_list(F.struct(order, "sentence")))
-    return F.transform(items, lambda item: item["sentence"]).alias("text")
+def _ordered(order: str) -> list[F.Column]:
+    """The sentences that are there, in order, and how many are missing."""
+    there = F.col("sentence").isNotNull()
+    items = F.array_sort(F.collect_list(F.when(there, F.struct(order, "sentence"))))
+    return [
+        F.transform(items, lambda item: item["sentence"]).alias("text"),
+        F.count_if(~there).alias("missing_sentences"),
+    ]
 
 
 def group_islands(islands: DataFrame) -> DataFrame:
-    """One row per run: ``shard, island, uuid, text array<string>``."""
-    return islands.groupBy("shard", "island", F.col("id").alias("uuid")).agg(_ordered("pos"))
+    """One row per run: ``shard, island, uuid, text array<string>, missing_sentences``."""
+    return islands.groupBy("shard", "island", F.col("id").alias("uuid")).agg(*_ordered("pos"))
 
 
 def last_meta(meta: DataFrame) -> DataFrame:
@@ -53,7 +58,7 @@ def _source_documents(sentences: DataFrame, meta: DataFrame, strict: bool) -> Da
     """
     key = ["file_no", "row"]
     grouped = sentences.groupBy(*key).agg(
-        F.first("id").alias("uuid"), F.min("shard").alias("shard"), _ordered("sent_idx")
+        F.first("id").alias("uuid"), F.min("shard").alias("shard"), *_ordered("sent_idx")
     )
     # A document cut by a boundary is listed once per shard, with the same metadata.
     found = grouped.join(meta.groupBy(*key).agg(F.max_by("meta", "shard").alias("meta")), key, "left")
@@ -71,11 +76,15 @@ def regroup(sentences: DataFrame, meta: DataFrame, scope: str = "corpus", strict
     by a boundary comes in parts: ``shard, island, uuid, text, meta``. ``corpus`` joins the parts of each
     source row again, whatever its id, and takes the metadata of that row:
     ``file_no, row, shard, uuid, text, meta``, with the first of its shards.
+
+    A row with a null ``sentence`` is a sentence that did not arrive: its document is listed, with
+    ``missing_sentences`` and ``complete``.
     """
+    kept = ["uuid", "text", "meta", "missing_sentences", (F.col("missing_sentences") == 0).alias("complete")]
     if scope == "shard":
         return attach_meta(group_islands(find_islands(sentences)), meta, strict).select(
-            "shard", "island", "uuid", "text", "meta"
+            "shard", "island", *kept
         )
     if scope == "corpus":
-        return _source_documents(sentences, meta, strict).select("file_no", "row", "shard", "uuid", "text", "meta")
+        return _source_documents(sentences, meta, strict).select("file_no", "row", "shard", *kept)
     raise ValueError(f"scope must be 'corpus' or 'shard', not {scope!r}")

@@ -36,12 +36,15 @@ def untag_language(df: DataFrame, src_lang: str, tgt_lang: str) -> DataFrame:
 def encode(df: DataFrame, vocab: DataFrame, max_length: int | None = MAX_TOKENS, ship: bool | None = None) -> DataFrame:
     """Replace ``sentence`` by ``input_ids`` and ``attention_mask``.
 
-    Truncation comes before the lookup; tokens the vocabulary lacks get the unknown id.
+    Truncation comes before the lookup and sets ``truncated``; tokens the vocabulary lacks get the unknown id.
     """
-    tokens = tx.whitespace_tokens("sentence")
-    if max_length is not None:
-        tokens = F.slice(tokens, 1, max_length)
-    words = df.withColumn("tokens", tokens).drop("sentence")
+    words = df.withColumn("tokens", tx.whitespace_tokens("sentence")).drop("sentence")
+    if max_length is None:
+        words = words.withColumn("truncated", F.lit(False))
+    else:
+        # Both are read off one array, as the split is dear.
+        cut = F.struct(F.slice("tokens", 1, max_length).alias("tokens"), (F.size("tokens") > max_length).alias("truncated"))
+        words = words.withColumn("cut", cut).drop("tokens").select("*", "cut.*").drop("cut")
     ids = replace_elements(
         words, "tokens", "input_ids", vocab, "token", "token_id", default=UNK_ID, hot=hot_tokens(), ship=ship
     )
@@ -76,8 +79,8 @@ class VocabTokenizer:
         self.max_length = max_length
 
     @classmethod
-    def fit(cls, sentences: DataFrame, **options: int) -> VocabTokenizer:
-        return cls(build_vocab(sentences, **options))
+    def fit(cls, sentences: DataFrame, max_length: int | None = MAX_TOKENS, **options: int | None) -> VocabTokenizer:
+        return cls(build_vocab(sentences, **options), max_length=max_length)
 
     def encode(self, df: DataFrame) -> DataFrame:
         return encode(df, self.vocab, self.max_length)

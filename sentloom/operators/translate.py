@@ -27,10 +27,12 @@ OUTPUT_TYPE = pa.list_(pa.int32())
 def translate_lexicon(labelled: DataFrame, lexicon: DataFrame, ship: bool | None = None) -> DataFrame:
     """Token-by-token translation through ``lexicon(src_id, tgt_id)``; unknown ids are copied.
 
-    Rows whose ``status`` is not ``ok`` get no output.
+    Rows whose ``status`` is not ``ok`` get no output and keep their ``input_ids``.
     """
-    source = F.when(F.col("status") == "ok", strip_special("input_ids"))
-    kept = labelled.withColumn("source_ids", source).drop("input_ids", "attention_mask")
+    ok = F.col("status") == "ok"
+    kept = labelled.withColumns(
+        {"source_ids": F.when(ok, strip_special("input_ids")), "input_ids": F.when(~ok, F.col("input_ids"))}
+    ).drop("attention_mask")
     done = replace_elements(
         kept, "source_ids", "output_ids", lexicon, "src_id", "tgt_id",
         hot=F.col("src_id") < FIRST_TOKEN_ID + HOT_ROWS, ship=ship,
@@ -41,9 +43,11 @@ def translate_lexicon(labelled: DataFrame, lexicon: DataFrame, ship: bool | None
 @contextmanager
 def _deadline(seconds: float | None) -> Iterator[None]:
     """Raise ``TimeoutError`` in the block after ``seconds``; needs the main thread of the worker."""
-    if not seconds or threading.current_thread() is not threading.main_thread():
+    if not seconds:
         yield
         return
+    if threading.current_thread() is not threading.main_thread():
+        raise RuntimeError("a deadline needs the main thread of the worker")
 
     def expire(signum: int, frame: object) -> None:
         raise TimeoutError(f"batch exceeded {seconds} s")
@@ -70,6 +74,22 @@ def _translate_one(model: Translator, batch: pa.Table, deadline_s: float | None)
     return pa.array(outputs, OUTPUT_TYPE)
 
 
+def _kept_ids(batch: pa.Table, status: str) -> pa.Array:
+    """The ids of the rows of a batch that was set aside, without padding; nulls where it succeeded."""
+    if status == "ok":
+        return pa.nulls(batch.num_rows, OUTPUT_TYPE)
+    ids, mask = (batch[name].combine_chunks().to_pylist() for name in ("input_ids", "attention_mask"))
+    kept = [None if i is None else i if m is None else [x for x, on in zip(i, m, strict=True) if on] for i, m in zip(ids, mask, strict=True)]
+    return pa.array(kept, OUTPUT_TYPE)
+
+
+def replayable(translated: DataFrame) -> DataFrame:
+    """The rows that were set aside as token rows, ready to be batched and translated again."""
+    aside = translated.where((F.col("status") != "ok") & F.col("input_ids").isNotNull())
+    mask = F.transform("input_ids", lambda _: F.lit(1))
+    return aside.drop("status", "output_ids", "error", "batch_id").withColumn("attention_mask", mask)
+
+
 def _whole_batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """Cut a sorted stream of record batches into one table per ``(shard, batch_id)``."""
     carried: pa.Table | None = None
@@ -96,7 +116,8 @@ def translate_batches(
 
     ``load`` runs once per task and returns the translator. A batch that raises, returns the wrong
     number of sequences or exceeds ``deadline_s`` gets ``status`` ``failed`` or ``timeout`` with the
-    error text, or ends the job with ``on_error='fail'``. The frame must come straight from
+    error text, or ends the job with ``on_error='fail'``. Rows that are not ``ok`` keep their unpadded
+    ``input_ids``, so that :func:`replayable` can send them again. The frame must come straight from
     ``pad_batches``, whose window keeps each batch whole in one partition; only a local sort is added.
     """
     if on_error not in ("quarantine", "fail"):
@@ -118,15 +139,14 @@ def translate_batches(
                         raise
                     status = "timeout" if isinstance(reason, TimeoutError) else "failed"
                     error = f"{type(reason).__name__}: {reason}"
-            result = batch.select(names)
+            result = batch.select(names).append_column("input_ids", _kept_ids(batch, status))
             result = result.append_column("status", pa.array([status] * rows, pa.string()))
             result = result.append_column("output_ids", outputs)
             result = result.append_column("error", pa.array([error] * rows, pa.string()))
             yield from result.combine_chunks().to_batches()
 
-    schema = labelled.select(*names, "status").schema.add("output_ids", ArrayType(IntegerType())).add(
-        "error", StringType()
-    )
+    schema = labelled.select(*names).schema.add("input_ids", ArrayType(IntegerType())).add("status", StringType())
+    schema = schema.add("output_ids", ArrayType(IntegerType())).add("error", StringType())
     return labelled.sortWithinPartitions("shard", "batch_id", "pos").mapInArrow(run, schema)
 
 

@@ -25,14 +25,21 @@ def build_vocab(
 ) -> DataFrame:
     """``token, n, token_id``: the most frequent token first, ties by token, ids after the special ones.
 
-    The counts are sorted over all tasks and staged with their place in their sorted partition; the
-    id is that place plus the size of the partitions before it. Only one row per partition is summed
-    in one task.
+    With ``max_size``, the number of tokens of each count, a small table, tells from which count on all fit; only
+    those and the tokens of the next count are sorted. The sorted rows are staged with their place in their
+    partition; the id is that place plus the size of the partitions before it. Only one row per partition or per
+    count is summed in one task.
     """
     counts = token_counts(sentences, column).where(F.col("n") >= min_count)
-    ranked = counts.orderBy(F.desc("n"), "token")
     if max_size is not None:
-        ranked = ranked.limit(max_size)
+        counts = stage(counts, "token-counts")
+        classes = counts.groupBy("n").agg(F.count("*").alias("tokens"))
+        above = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
+        reached = classes.withColumn("before", F.coalesce(F.sum("tokens").over(above), F.lit(0)))
+        # The lowest count of which some token is among the first max_size.
+        lowest = reached.where(F.col("before") < max_size).agg(F.min("n")).first()[0]
+        counts = counts.where(F.col("n") >= (lowest or 0))
+    ranked = counts.orderBy(F.desc("n"), "token")
     # The id generator puts the partition number above bit 33 and the row in the partition below.
     placed = stage(ranked.withColumn("slot", F.monotonically_increasing_id()), "vocab").withColumns(
         {"part": F.shiftright("slot", 33), "place": F.col("slot").bitwiseAND((1 << 33) - 1)}
@@ -42,7 +49,8 @@ def build_vocab(
         "part", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before")
     )
     token_id = (F.col("before") + F.col("place") + FIRST_TOKEN_ID).cast("int")
-    return placed.join(parts, "part").select("token", "n", token_id.alias("token_id"))
+    vocab = placed.join(parts, "part").select("token", "n", token_id.alias("token_id"))
+    return vocab if max_size is None else vocab.where(F.col("token_id") < FIRST_TOKEN_ID + max_size)
 
 
 def hot_tokens() -> Column:

@@ -116,8 +116,15 @@ class Fixtures:
 
     @cached_property
     def translated(self) -> DataFrame:
+        """Every sentence, as one device divides every batch."""
         batched = assign_batches(self.tokens, BATCH_SIZE)
-        return stage(translate(batched, self.lexicon, max_pad=None, devices=DEVICES), "translated")
+        return stage(translate(batched, self.lexicon, max_pad=None), "translated")
+
+    @cached_property
+    def uneven(self) -> DataFrame:
+        """The same on several devices, with the batches that do not divide among them set aside."""
+        batched = assign_batches(self.tokens, BATCH_SIZE)
+        return stage(translate(batched, self.lexicon, max_pad=None, devices=DEVICES), "uneven")
 
     @cached_property
     def decoded(self) -> DataFrame:
@@ -145,6 +152,16 @@ class Fixtures:
         write_payloads(nest_documents(self.documents, self.watermarks), root, "output", NODES)
         return root
 
+    @cached_property
+    def corpus_root(self) -> str:
+        """The documents as numbered Parquet files of a subset."""
+        root = new_path(self.spark, "files")
+        docs = corpus(self.spark, self.sf_dir, FILES)
+        for number in range(FILES):
+            name = f"{root}/data/whole/train-{number:05d}-of-{FILES:05d}.parquet"
+            docs.where(F.col("file_no") == number).orderBy("row").drop("file_no", "row").coalesce(1).write.parquet(name)
+        return root
+
     @cached_property
     def token_rows(self) -> str:
         path = new_path(self.spark, "token-rows")

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from sentloom.constants import ENTITY, MAX_PAD, MAX_TOKENS
+from sentloom.constants import MAX_PAD, MAX_TOKENS
 from sentloom.plans.fixtures import BATCH_SIZE, DEVICES, NODES, SHARD_SIZE, SMALL_PAD, TOKENIZE_BATCH
 from sentloom.plans.queries import SRC_LANG, TGT_LANG
 
+# What stays out of translation, stated on its own.
+ENTITY = (
+    r"<ID[0-9]+>|https?://[^ \t\n\r<>]+|www\.[^ \t\n\r<>]+"
+    r"|[A-Za-z0-9_.+-]+@[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]+)+|\p{Nd}+(?:[.,]\p{Nd}+)*"
+)
 PREFIX = f"{SRC_LANG} {TGT_LANG}"
 SYMBOLS = "'@#$^&*-_+=[]{}|\\<>/'||chr(10)"
 SPACES = "' '||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||chr(28)||chr(29)||chr(30)||chr(31)||chr(133)||chr(160)"
@@ -146,10 +151,11 @@ STEPS: dict[str, tuple[tuple[str, ...], str]] = {
         ("labelled",),
         f"SELECT *, CASE WHEN status = 'ok' THEN list_transform(ids, lambda x: {NEIGHBOUR}) END AS out FROM labelled",
     ),
+    "whole": (("encoded",), f"SELECT *, list_transform(ids, lambda x: {NEIGHBOUR}) AS out FROM encoded"),
     "decoded": (
-        ("translated", "vocab"),
+        ("whole", "vocab"),
         "SELECT shard, pos, id, string_agg(coalesce(token, '<unk>'), ' ' ORDER BY place) AS sentence FROM "
-        "(SELECT shard, pos, id, unnest(out) AS token_id, generate_subscripts(out, 1) AS place FROM translated WHERE status = 'ok') "
+        "(SELECT shard, pos, id, unnest(out) AS token_id, generate_subscripts(out, 1) AS place FROM whole) "
         "LEFT JOIN vocab USING (token_id) GROUP BY shard, pos, id",
     ),
     # Ids are unique in the fixture, so a run is a document inside a shard.
@@ -199,7 +205,7 @@ ONES = "list_transform(ids, lambda x: 1)"
 ORACLES: dict[str, str] = {
     "s1_scan_corpus": _sql(f"SELECT id, text, {META} FROM docs", "docs"),
     "s2_numbered_files": _sql(
-        'SELECT file_no, row_no AS "row", id, printf(\'train-%05d-of-00004.parquet\', file_no) AS name, '
+        'SELECT row_no AS "row", id, printf(\'train-%05d-of-00004.parquet\', file_no) AS name, '
         "file_no AS parsed FROM docs4", "docs4",
     ),
     "s3_read_tokens": _sql(
@@ -210,8 +216,11 @@ ORACLES: dict[str, str] = {
     "s4_list_shards": _sql(f"SELECT DISTINCT shard % {NODES} AS node, shard FROM shards", "shards"),
     "s5_shard_range": _sql(
         f"SELECT shard, row_number() OVER (PARTITION BY shard ORDER BY pos) - 1 AS pos, id, {_text('out', 'output_ids')} "
-        "FROM translated WHERE status = 'ok' AND shard >= 3 AND shard <= (SELECT count(DISTINCT shard) FROM translated "
-        "WHERE status = 'ok')", "translated",
+        "FROM whole WHERE shard >= 3", "whole",
+    ),
+    "s5_shard_range_sparse": _sql(
+        "SELECT shard * 2500 + 1 AS shard, row_number() OVER (PARTITION BY shard ORDER BY pos) - 1 AS pos, id, "
+        f"{_text('out', 'output_ids')} FROM whole WHERE shard >= 2", "whole",
     ),
     "s7_read_documents": _sql(
         f"SELECT uuid, text, {META} FROM pieces_out WHERE shard % {NODES} BETWEEN 1 AND 2", "pieces_out"
@@ -237,6 +246,9 @@ ORACLES: dict[str, str] = {
         f"SELECT DISTINCT shard % {NODES} AS node, shard FROM shards WHERE shard NOT IN (SELECT shard FROM done)",
         "shards", "done",
     ),
+    "k4_retire_keeps_unresolved": _sql(
+        f"SELECT DISTINCT shard % {NODES} AS node, shard FROM labelled WHERE status <> 'ok'", "labelled"
+    ),
     "p7_rows_in_all_lists": _sql(
         f"SELECT uuid, text, {META} FROM pieces_out WHERE shard % 2 = 0", "pieces_out"
     ),
@@ -303,6 +315,7 @@ ORACLES: dict[str, str] = {
     ),
     "a4_shard_bounds": _sql("SELECT min(shard) AS lowest, max(shard) AS highest FROM shards", "shards"),
     "a5_vocabulary": _sql("SELECT token, n, token_id FROM vocab", "vocab"),
+    "a5_vocabulary_top": _sql("SELECT token, n, token_id FROM vocab WHERE token_id < 1004", "vocab"),
     "a5_vocabulary_of_pages": _vocab(
         f"(SELECT trim(lower(html), {SPACES}) AS html FROM pages)", "html", "HAVING count(*) >= 3"
     ),
@@ -311,7 +324,9 @@ ORACLES: dict[str, str] = {
         "0 AS uneven, true AS ok FROM shards GROUP BY shard", "shards",
     ),
     "a7_run_report": _sql(
-        "SELECT shard, status, count(*) AS rows, count(DISTINCT batch_id) AS batches FROM labelled GROUP BY shard, status",
+        "SELECT shard, status, count(*) AS rows, count(DISTINCT batch_id) AS batches, CAST(sum(CASE WHEN "
+        f"len({_tokens('sentence')}) > {MAX_TOKENS} THEN 1 ELSE 0 END) AS BIGINT) AS truncated "
+        "FROM labelled JOIN (SELECT shard, pos, sentence FROM shards) USING (shard, pos) GROUP BY shard, status",
         "labelled",
     ),
     "a8_total_shards": _sql("SELECT count(DISTINCT shard) AS shards FROM shards", "shards"),
@@ -358,6 +373,7 @@ ORACLES: dict[str, str] = {
         "SELECT uuid, count(*) AS parts, CAST(sum(n) AS BIGINT) AS sentences FROM regrouped GROUP BY uuid", "regrouped"
     ),
     "f1_normalize": _sql("SELECT id, lower(text) AS text FROM docs", "docs"),
+    "f1_normalize_wide": _sql("SELECT id, lower(text) AS text FROM docs", "docs"),
     "f2_split_pieces": _sql("SELECT id, row_number() OVER (PARTITION BY id ORDER BY place) - 1 AS place, piece FROM pieces", "pieces"),
     "f3_strip_symbols": f"SELECT page_id, trim(html, {SYMBOLS}) AS html FROM pages",
     "f4_strip_whitespace": _sql(
@@ -463,9 +479,14 @@ ORACLES: dict[str, str] = {
     "c3_regroup": _sql(
         "SELECT id AS uuid, string_agg(s, chr(10) ORDER BY sent_idx) AS text, any_value(dump) AS dump, any_value(url) AS url, "
         "any_value(file_path) AS file_path FROM (SELECT shards.id, sent_idx, dump, url, file_path, array_to_string("
-        f"regexp_split_to_array(sentence, '\\s+')[1:{MAX_TOKENS - 2}], ' ') AS s FROM shards JOIN docs "
+        "regexp_split_to_array(sentence, '\\s+'), ' ') AS s FROM shards JOIN docs "
         "USING (file_no, row_no, id)) GROUP BY id", "shards",
     ),
+    "c3_regroup_incomplete": _sql(
+        "SELECT id AS uuid, count_if(status <> 'ok') = 0 AS complete, count_if(status <> 'ok') AS missing_sentences, "
+        "count_if(status = 'ok') AS sentences FROM labelled GROUP BY id", "labelled",
+    ),
+    "u2_quarantine_replayed": _sql(f"SELECT shard, pos, id, {_text('out', 'output_ids')} FROM whole", "whole"),
     "c3_regroup_shard_scope": _sql(f"SELECT shard, island, uuid, text, {META} FROM pieces_out", "pieces_out"),
     "c4_publish": _sql(f"SELECT uuid, text, {META} FROM pieces_out WHERE shard % {NODES} <= 1", "pieces_out"),
 }

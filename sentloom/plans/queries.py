@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentloom.constants import MAX_PAD
+from sentloom.constants import MAX_PAD, MAX_TOKENS, UNK_ID
 from sentloom.functions import arrays as ar
 from sentloom.functions import names as nm
 from sentloom.functions import text as tx
@@ -20,6 +21,7 @@ from sentloom.operators import shards as sh
 from sentloom.operators import tokens as tk
 from sentloom.operators import translate as tr
 from sentloom.operators import vocab as vo
+from sentloom.operators.lookup import replace_elements
 from sentloom.operators.rows import zip_shortest
 from sentloom.plans import jobs, work
 from sentloom.plans.fixtures import (
@@ -27,10 +29,11 @@ from sentloom.plans.fixtures import (
     load_faltering, load_reversing,
 )
 from sentloom.session import new_path, stage
+from sentloom.sources import corpus as co
 from sentloom.sources import payloads as pl
 from sentloom.sources import shards as rd
 from sentloom.sources.schemas import TOKENIZED
-from sentloom.sources.sinks import publish_rows, retire_inputs, write_payloads
+from sentloom.sources.sinks import committed_shards, publish_rows, retire_inputs, write_payloads, write_rows
 from sentloom.streaming.drain import drain, drained
 from sentloom.streaming.prepare import filled_sentences
 
@@ -63,14 +66,15 @@ def flat_meta(meta: str = "meta") -> list[Column]:
 
 @query
 def s1_scan_corpus(spark, sf_dir):
-    return corpus(spark, sf_dir).select("id", "text", "dump", "url", "file_path")
+    root = fixtures(spark, sf_dir).corpus_root
+    return co.read_corpus(spark, f"{root}/data/whole/*").select("id", "text", "dump", "url", "file_path")
 
 
 @query
 def s2_numbered_files(spark, sf_dir):
-    docs = corpus(spark, sf_dir, FILES).select("file_no", "row", "id")
-    named = docs.withColumn("name", nm.file_name("file_no", FILES))
-    return named.withColumn("parsed", nm.file_number("name"))
+    """Read from numbered files; the name is made from the number again."""
+    docs = co.read_corpus_files(spark, fixtures(spark, sf_dir).corpus_root, "whole", FILES)
+    return docs.select("row", "id", nm.file_name("file_no", FILES).alias("name"), F.col("file_no").alias("parsed"))
 
 
 @query
@@ -93,6 +97,15 @@ def s5_shard_range(spark, sf_dir):
     return pl.flatten_outputs(outputs).select("shard", "pos", "id", joined("output_ids"))
 
 
+@query
+def s5_shard_range_sparse(spark, sf_dir):
+    """From the second shard to the last, whose numbers have gaps and exceed the number of shards."""
+    root = new_path(spark, "sparse")
+    sparse = fixtures(spark, sf_dir).translated.withColumn("shard", F.col("shard") * 2500 + 1)
+    write_payloads(pl.nest_outputs(sparse), root, "translated", NODES)
+    return pl.flatten_outputs(rd.read_outputs(spark, root, 5000)).select("shard", "pos", "id", joined("output_ids"))
+
+
 @query
 def s7_read_documents(spark, sf_dir):
     merged = rd.read_documents(spark, fixtures(spark, sf_dir).merged_root, 1, 2)
@@ -143,6 +156,17 @@ def k4_retire_inputs(spark, sf_dir):
     return rd.list_shards(spark, root)
 
 
+@query
+def k4_retire_keeps_unresolved(spark, sf_dir):
+    """Shards with rows that were set aside are not retired."""
+    fx = fixtures(spark, sf_dir)
+    root, done = new_path(spark, "retired"), new_path(spark, "done")
+    write_payloads(rd.read_tokens(spark, fx.tokenized_root).drop("node"), root, "tokenized", NODES)
+    write_rows(fx.uneven.drop("node"), done, NODES)
+    retire_inputs(spark, root, "tokenized", committed_shards(spark, done))
+    return rd.list_shards(spark, root)
+
+
 @query
 def k5_publish(spark, sf_dir):
     rows = jobs.published_rows(fixtures(spark, sf_dir).documents)
@@ -205,8 +229,7 @@ def p7_rows_in_all_lists(spark, sf_dir):
 
 @query
 def p8_skip_empty_outputs(spark, sf_dir):
-    translated = fixtures(spark, sf_dir).translated
-    return ba.accepted(translated).select("shard", "pos", "id")
+    return ba.accepted(fixtures(spark, sf_dir).uneven).select("shard", "pos", "id")
 
 
 # Joins
@@ -265,16 +288,20 @@ def j4_zip_shortest(spark, sf_dir):
 
 @query
 def j5_token_ids(spark, sf_dir):
+    """Looked up without any hot part and with the join that the largest tables take."""
     fx = fixtures(spark, sf_dir)
-    tokens = fx.sentences.select("shard", "pos", F.posexplode(tx.whitespace_tokens("sentence")).alias("place", "token"))
-    return tokens.join(fx.vocab, "token", "left").select(
+    words = fx.sentences.select("shard", "pos", tx.whitespace_tokens("sentence").alias("tokens"))
+    ids = replace_elements(
+        words, "tokens", "ids", fx.vocab, "token", "token_id", default=UNK_ID, ship=False, ship_found=False
+    )
+    return ids.select("shard", "pos", F.posexplode("ids").alias("place", "token_id")).select(
         "shard", "pos", F.col("place").cast("long").alias("place"), F.col("token_id").cast("long").alias("token_id")
     )
 
 
 @query
 def j6_lexicon_translation(spark, sf_dir):
-    return fixtures(spark, sf_dir).translated.select("shard", "pos", "status", joined("output_ids"))
+    return fixtures(spark, sf_dir).uneven.select("shard", "pos", "status", joined("output_ids"))
 
 
 @query
@@ -318,6 +345,12 @@ def a5_vocabulary(spark, sf_dir):
     return vocab.withColumn("token_id", F.col("token_id").cast("long"))
 
 
+@query
+def a5_vocabulary_top(spark, sf_dir):
+    vocab = vo.build_vocab(se.sentences(corpus(spark, sf_dir)), max_size=1000)
+    return vocab.withColumn("token_id", F.col("token_id").cast("long"))
+
+
 @query
 def a5_vocabulary_of_pages(spark, sf_dir):
     """Whitespace tokens that occur at least three times in the raw pages."""
@@ -333,7 +366,7 @@ def a6_alignment_audit(spark, sf_dir):
 
 @query
 def a7_run_report(spark, sf_dir):
-    return ck.run_report(fixtures(spark, sf_dir).translated)
+    return ck.run_report(fixtures(spark, sf_dir).uneven)
 
 
 @query
@@ -453,6 +486,13 @@ def f1_normalize(spark, sf_dir):
     return corpus(spark, sf_dir).select("id", tx.normalize_text("text").alias("text"))
 
 
+@query
+def f1_normalize_wide(spark, sf_dir):
+    """Texts whose letters are written in full width are the plain texts in lower case."""
+    wide = F.translate("text", string.ascii_letters, "".join(chr(ord(c) + 0xFEE0) for c in string.ascii_letters))
+    return corpus(spark, sf_dir).select("id", tx.normalize_text(wide).alias("text"))
+
+
 @query
 def f2_split_pieces(spark, sf_dir):
     pieces = tx.split_pieces(tx.normalize_text("text"))
@@ -712,9 +752,10 @@ def x5_streamed_sentences(spark, sf_dir):
 # Jobs
 
 
-def _prepared(spark: SparkSession, sf_dir: str) -> jobs.Prepared:
+def _prepared(spark: SparkSession, sf_dir: str, max_length: int | None = MAX_TOKENS) -> jobs.Prepared:
     return jobs.prepare(
-        corpus(spark, sf_dir), SRC_LANG, TGT_LANG, SHARD_SIZE, TOKENIZE_BATCH, NODES, bucket_rows=128
+        corpus(spark, sf_dir), SRC_LANG, TGT_LANG, SHARD_SIZE, TOKENIZE_BATCH, NODES, bucket_rows=128,
+        max_length=max_length, max_size=None,
     )
 
 
@@ -736,12 +777,30 @@ def c2_translate(spark, sf_dir):
 @query
 def c3_regroup(spark, sf_dir):
     """All the way back to whole documents through a lexicon that knows nothing."""
-    prepared = _prepared(spark, sf_dir)
+    return _returned(spark, sf_dir, 1).select("uuid", lines("text"), *flat_meta())
+
+
+def _returned(spark: SparkSession, sf_dir: str, devices: int) -> DataFrame:
+    prepared = _prepared(spark, sf_dir, max_length=None)
     tokens = stage(prepared.tokens, "tokens")
     silent = lexicon_of(prepared.tokenizer.vocab).where("src_id < 0")
-    translated = jobs.translate_shards(tokens, silent, BATCH_SIZE)
-    documents = jobs.regroup_shards(translated, prepared.meta, prepared.tokenizer, SRC_LANG, TGT_LANG)
-    return documents.select("uuid", lines("text"), *flat_meta())
+    translated = jobs.translate_shards(tokens, silent, BATCH_SIZE, None, devices)
+    return jobs.regroup_shards(translated, prepared.meta, prepared.tokenizer, SRC_LANG, TGT_LANG)
+
+
+@query
+def c3_regroup_incomplete(spark, sf_dir):
+    """Every document, with the sentences that were set aside counted."""
+    return _returned(spark, sf_dir, DEVICES).select("uuid", "complete", "missing_sentences", F.size("text").alias("sentences"))
+
+
+@query
+def u2_quarantine_replayed(spark, sf_dir):
+    """Rows that were set aside are translated later, and nothing is lost."""
+    fx = fixtures(spark, sf_dir)
+    again = jobs.translate_shards(tr.replayable(fx.uneven), fx.lexicon, BATCH_SIZE, None)
+    kept = ["shard", "pos", "id", joined("output_ids")]
+    return ba.accepted(fx.uneven).select(*kept).unionByName(ba.accepted(again).select(*kept))
 
 
 @query
