@@ -27,6 +27,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +36,8 @@ from sentencepiece import SentencePieceProcessor
 BLANK = 0x2581
 #: Code points of texts whose words are handled as arrays at once.
 BLOCK = 2_000_000
+#: Words after a branch that are looked at first, and the log of the share below which a region is never opened.
+LEADING, LEAST_SHARE = 96, -60.0
 _BASE = 0x9E3779B97F4A7C15
 _SLOTS = 22
 
@@ -51,10 +54,9 @@ def _keyed(h: np.ndarray, *keys) -> np.ndarray:
     return h
 
 
-def _uniform(*keys) -> np.ndarray:
-    """Numbers in (0, 1) from whole-number keys."""
-    h = _keyed(np.zeros(1, np.uint64), *keys)
-    return ((h >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
+def _uniform(h: np.ndarray, *keys) -> np.ndarray:
+    """Numbers in (0, 1) from a state and whole-number keys."""
+    return ((_keyed(h, *keys) >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
 
 
 def _hashes(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -92,11 +94,15 @@ class Vocabulary:
         self.longest = max(len(text[i]) for i in plain)
         # Two tables by different bits of the hash; what both have taken already is looked up in a third by search.
         self.hash, self.slots = np.zeros(n, np.uint64), [np.full(1 << _SLOTS, -1, np.int32) for _ in range(2)]
+        # Bits of the beginnings of pieces: a place where none goes on needs no longer look.
+        self.begun = np.zeros(1 << _SLOTS, bool)
         left = []
         for i in plain:
             codes = np.frombuffer(text[i].encode("utf-32-le"), "<u4")
             sums, _ = _hashes(codes)
-            h = _mix(np.array([sums[-1] + np.uint64(len(codes))]))[0]
+            begun = _mix(sums[1:] + np.arange(1, len(codes) + 1, dtype=np.uint64))
+            self.begun[(begun & np.uint64((1 << _SLOTS) - 1)).astype(np.int64)] = True
+            h = begun[-1]
             self.hash[i] = h
             for table, at in zip(self.slots, (int(h) & (1 << _SLOTS) - 1, int(h) >> (64 - _SLOTS)), strict=True):
                 if table[at] < 0:
@@ -136,9 +142,12 @@ class Lattices:
         end = np.repeat(self.stop, size)
         sums, back = _hashes(codes)
         starts, stops, pieces = [], [], []
-        for length in range(words.longest, 0, -1):
-            at = node[node + length <= end]
-            piece = words.find(_mix((sums[at + length] - sums[at]) * back[at] + np.uint64(length)))
+        at, stops_at = node, end
+        for length in range(1, words.longest + 1):
+            fits = at + length <= stops_at
+            at, stops_at = at[fits], stops_at[fits]
+            h = _mix((sums[at + length] - sums[at]) * back[at] + np.uint64(length))
+            piece = words.find(h)
             known = piece >= 0
             if length == 1:
                 code = codes[at].astype(np.int64)
@@ -147,6 +156,9 @@ class Lattices:
             starts.append(at[known])
             stops.append(at[known] + length)
             pieces.append(piece[known])
+            goes_on = words.begun[(h & np.uint64((1 << _SLOTS) - 1)).astype(np.int64)]
+            at, stops_at = at[goes_on], stops_at[goes_on]
+        starts, stops, pieces = starts[::-1], stops[::-1], pieces[::-1]
         start, stop, piece = (np.concatenate(x) for x in (starts, stops, pieces))
         # Runs in order, so a stable sort merges them; long pieces, mostly the likely ones, come first.
         order = np.argsort(start, kind="stable")
@@ -173,19 +185,18 @@ class Lattices:
         self.piece, self.next, self.last = piece, stop, last
         self.log = cost + np.where(last, 0.0, total[stop]) - total[start]
         sums = np.concatenate([[0.0], np.cumsum(np.exp(self.log))])
-        self.edge = np.searchsorted(start, np.arange(len(codes) + 2))
+        self.edge = np.concatenate([[0], np.cumsum(np.bincount(start, minlength=len(codes) + 1))])
         self.reach = sums[1:] - sums[self.edge[start]]
         final = np.concatenate([start[1:] != start[:-1], [True]]) if len(start) else np.zeros(0, bool)
         self.reach[final] = 2.0
 
-    def draw(self, word: np.ndarray, keys: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def draw(self, word: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each of ``word`` a segmentation: edges word by word, how many, and the log-probability."""
         n = len(word)
         at, active, step = self.first[word], np.arange(n), 0
         count, log, taken = np.zeros(n, np.int64), np.zeros(n), []
-        h = np.broadcast_to(_keyed(np.zeros(1, np.uint64), *keys), (n,))
         while len(active):
-            u = ((_keyed(h[active], step) >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
+            u = _uniform(h[active], step)
             e = self.edge[at]
             more = np.flatnonzero(u > self.reach[e])
             while len(more):
@@ -202,7 +213,7 @@ class Lattices:
             edges[begin[who] + k] = e
         return edges, begin, log
 
-    def draw_other(self, word: int, excluded: list[np.ndarray], keys: tuple) -> tuple[np.ndarray, float] | None:
+    def draw_other(self, word: int, excluded: list[np.ndarray], h: np.ndarray) -> tuple[np.ndarray, float] | None:
         """A segmentation of one word that is none of ``excluded``, or None if there is no other."""
         node, path, log, step = self.first[word], [], 0.0, 0
         others = [(e.tolist(), float(np.exp(self.log[e].sum()))) for e in excluded]
@@ -213,7 +224,7 @@ class Lattices:
             weight[weight < 1e-12 * p] = 0.0
             if not weight.sum() > 0:
                 return None
-            u = float(_uniform(*keys, step)[0]) * weight.sum()
+            u = float(_uniform(h, step)[0]) * weight.sum()
             k = int(min(np.searchsorted(np.cumsum(weight), u), np.flatnonzero(weight)[-1]))
             x = int(edges[k])
             path.append(x)
@@ -238,7 +249,7 @@ class _Path:
         self.draw, self.own, self.log = draw, own, log
 
 
-def sample_document(lattices: Lattices, word: np.ndarray, draws: list[tuple], row: int, seed: int, k: int):
+def sample_document(lattices: Lattices, word: np.ndarray, draws: list[tuple], state: np.ndarray, k: int):
     """Up to ``k`` paths with their perturbed values, and the value of the region that would be next."""
     n = len(word)
 
@@ -248,7 +259,7 @@ def sample_document(lattices: Lattices, word: np.ndarray, draws: list[tuple], ro
         edges, begin, _ = draws[path.draw[i]]
         return edges[begin[i] : begin[i + 1]]
 
-    top = float(_gumbel(np.zeros(1), np.inf, _uniform(seed, row, -1, np.zeros(1, np.int64)))[0])
+    top = float(_gumbel(np.zeros(1), np.inf, _uniform(state, -1))[0])
     # A region: perturbed value, path it leaves, word where it leaves, edges excluded there.
     regions: list[tuple[float, _Path | None, int, list[np.ndarray]]] = [(top, None, -1, [])]
     out: list[tuple[_Path, float]] = []
@@ -261,7 +272,7 @@ def sample_document(lattices: Lattices, word: np.ndarray, draws: list[tuple], ro
         if parent is None:
             path = _Path(np.zeros(n, np.int64), {}, draws[0][2].copy())
         else:
-            other = lattices.draw_other(int(word[at]), excluded, (seed, row, 1000 + opened, at))
+            other = lattices.draw_other(int(word[at]), excluded, _keyed(state, 1000 + opened, at))
             if other is None:
                 continue
             draw, log = parent.draw.copy(), parent.log.copy()
@@ -269,12 +280,15 @@ def sample_document(lattices: Lattices, word: np.ndarray, draws: list[tuple], ro
             log[at] = other[1]
             path = _Path(draw, {i: x for i, x in parent.own.items() if i < at} | {at: other}, log)
         out.append((path, value))
-        ahead = np.concatenate([[0.0], np.cumsum(path.log)])[:-1]
-        first = at + 1
-        rest = -np.expm1(path.log[first:])
+        # Regions below this share of all segmentations are never opened; they are left out.
+        ahead = np.concatenate([[0.0], np.cumsum(path.log[: at + 1 + LEADING])])
+        first, stop = at + 1, min(n, at + 1 + LEADING)
+        if stop < n and ahead[stop] > LEAST_SHARE:
+            ahead, stop = np.concatenate([[0.0], np.cumsum(path.log)]), n
+        rest = -np.expm1(path.log[first:stop])
         with np.errstate(divide="ignore"):
-            mass = ahead[first:] + np.log(np.where(rest > 1e-12, rest, 0.0))
-        perturbed = _gumbel(mass, value, _uniform(seed, row, 2000 + opened, np.arange(first, n)))
+            mass = ahead[first:stop] + np.log(np.where(rest > 1e-12, rest, 0.0))
+        perturbed = _gumbel(mass, value, _uniform(state, 2000 + opened, np.arange(first, stop)))
         for i in np.argsort(-perturbed)[: k + 1 - turn].tolist():
             if mass[i] > -np.inf:
                 regions.append((float(perturbed[i]), path, first + i, [edges_of(path, first + i)]))
@@ -283,7 +297,7 @@ def sample_document(lattices: Lattices, word: np.ndarray, draws: list[tuple], ro
             rest = 1 - sum(float(np.exp(lattices.log[e].sum())) for e in gone)
             if rest > 1e-12:
                 mass = np.array([ahead[at] + np.log(rest)])
-                u = _uniform(seed, row, 3000 + opened, np.array([at]))
+                u = _uniform(state, 3000 + opened, at)
                 regions.append((float(_gumbel(mass, value, u)[0]), path, at, gone))
     following = max((r[0] for r in regions), default=-np.inf)
     return out, following, edges_of
@@ -329,13 +343,9 @@ def sample_texts(texts: list[str], rows: list[int], words: Vocabulary, k: int, s
         first = np.flatnonzero(begins)
         size_of = np.diff(np.concatenate([first, [len(codes)]]))
         sums, back = _hashes(codes)
-        _, one, word = np.unique(
-            _mix((sums[first + size_of] - sums[first]) * back[first] + size_of.astype(np.uint64)), return_index=True, return_inverse=True
-        )
-        place_of = np.argsort(one)
-        rank_of = np.empty(len(one), np.int64)
-        rank_of[place_of] = np.arange(len(one))
-        one, word = one[place_of], rank_of[word]
+        # Numbers in the order in which the words come first.
+        word, _ = pd.factorize(_mix((sums[first + size_of] - sums[first]) * back[first] + size_of.astype(np.uint64)))
+        one = np.flatnonzero(np.diff(np.maximum.accumulate(word), prepend=-1))
         # The different words, one after another.
         sizes = size_of[one]
         begin = np.cumsum(sizes) - sizes
@@ -343,13 +353,14 @@ def sample_texts(texts: list[str], rows: list[int], words: Vocabulary, k: int, s
         lattices = Lattices(codes, begin, sizes, words)
         firsts = np.searchsorted(first, bounds)
         of = np.repeat(np.arange(end - at), np.diff(firsts))
-        seeds = np.array(rows[at:end], np.int64)
+        states = _keyed(np.zeros(1, np.uint64), seed, np.array(rows[at:end], np.int64))
         place = np.arange(len(word)) - firsts[:-1][of]
-        passes = [lattices.draw(word, (seed, seeds[of], turn, place)) for turn in range(k)]
+        places = _keyed(states[of], place)
+        passes = [lattices.draw(word, _keyed(places, turn)) for turn in range(k)]
         for d in range(end - at):
             a, b = int(firsts[d]), int(firsts[d + 1])
             mine = [(e, begin[a : b + 1], log[a:b]) for e, begin, log in passes]
-            paths, following, edges_of = sample_document(lattices, word[a:b], mine, rows[at + d], seed, k)
+            paths, following, edges_of = sample_document(lattices, word[a:b], mine, states[d : d + 1], k)
             for rank, (path, value) in enumerate(paths, 1):
                 # Stretches of words from one draw are one slice of its edges.
                 cuts = sorted({0, b - a, *path.own, *(i + 1 for i in path.own), *(np.flatnonzero(np.diff(path.draw)) + 1).tolist()})
