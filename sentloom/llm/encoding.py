@@ -9,14 +9,14 @@ blanks and line feeds are encoded in one call instead. ``encode_bytes`` therefor
 from __future__ import annotations
 
 import re
-import sys
-import types
 
 import numpy as np
 from tokenizers import Tokenizer, pre_tokenizers
 
+from sentloom.llm.worker import kept
+
 #: Pieces kept by a worker in each of two generations. It bounds memory and never changes a result.
-MEMORY = 600_000
+MEMORY = 500_000
 
 #: White space and separators other than the blank and the line feed.
 _RARE = re.compile(r"[\t\v\f\r\x1c-\x1f\x85\xa0 ᠎ -‏    ⁠　﻿]")
@@ -91,8 +91,8 @@ class Encoder:
 
 
 def encoder(path: str) -> Encoder:
-    """One encoder per worker and file. Functions travel to workers by value, so it is kept in a module of its own."""
-    kept = sys.modules.setdefault("sentloom_kept", types.ModuleType("sentloom_kept"))
-    if getattr(kept, "path", None) != path:
-        kept.path, kept.encoder = path, Encoder(path)
-    return kept.encoder
+    """One encoder per worker and file."""
+    state = kept("encoding")
+    if getattr(state, "path", None) != path:
+        state.path, state.encoder = path, Encoder(path)
+    return state.encoder

@@ -18,15 +18,17 @@ gives no row; other columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sentloom.llm.worker import kept
 from sentloom.session import stage
 
 BAND_RATIO = 1.5
@@ -39,7 +41,7 @@ SENT_IDS = 1_000_000
 #: Cost of verifying a pair, in index rows.
 PAIR_COST = 20
 #: Text bytes hashed at once.
-BLOCK = 2_000_000
+BLOCK = 1_000_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -139,10 +141,10 @@ def allocate(low: int, high: int, sets: int, num: int, den: int) -> tuple[int, i
             m = max(differ + 1 + spare - ones, ones, 1)
             empty = math.exp(-size / m)
             left = m - ones
-            kept = 1 - sum(math.comb(left, k) * empty**k * (1 - empty) ** (left - k) for k in range(min(spare, left) + 1))
+            over = 1 - sum(math.comb(left, k) * empty**k * (1 - empty) ** (left - k) for k in range(min(spare, left) + 1))
             rows = left + ones * (1 + size / m)
             one = empty * size / m
-            pairs = sets * (left * empty * empty * max(kept, 0.0) + ones * (empty * empty + 2 * empty * one + one * one))
+            pairs = sets * (left * empty * empty * max(over, 0.0) + ones * (empty * empty + 2 * empty * one + one * one))
             cost = rows + PAIR_COST * pairs
             if best is None or cost < best[0]:
                 best = (cost, m, ones, spare)
@@ -166,8 +168,8 @@ def _signatures(h: np.ndarray, firsts: np.ndarray, use: np.ndarray, band: int, p
     keep[:, ones:] = ~empty | (empty.sum(axis=1) > spare)[:, None]
     place = np.tile(np.arange(m, dtype=np.uint64) + np.uint64(m * 4096 + 1), len(use))
     salt = _mix(place * np.uint64(_BASE) + np.uint64(band))
-    kept = np.flatnonzero(keep.ravel())
-    sig, owner = [_mix(sums[kept] + salt[kept])], [use[kept // m]]
+    stays = np.flatnonzero(keep.ravel())
+    sig, owner = [_mix(sums[stays] + salt[stays])], [use[stays // m]]
     if ones:
         some = np.flatnonzero(segment < ones)
         sig.append(_mix(sums[cell[some]] - values[some] + salt[cell[some]]))
@@ -225,6 +227,12 @@ def close_pairs(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterat
         yield pairs(pa.Table.from_batches(held))
 
 
+def let_go(spark: SparkSession) -> None:
+    """Ask the driver to drop what is no longer referred to: shuffle files of finished steps are deleted only then."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def links_of(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs ``(a, b)`` whose sets reach the threshold."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
@@ -270,6 +278,7 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, num: int = 80, den: int =
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("jaccard")
         for batch in batches:
             for at, h, firsts in shingle_sets(batch["text"], n):
                 yield pa.record_batch(
@@ -297,6 +306,7 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, num: int = 80, den: int =
     plans = [allocate(low, high, filled.get(k, 0) + filled.get(k + 1, 0), num, den) for k, (low, high) in enumerate(ranges)]
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("jaccard")
         seen: set[int] = set()
         for batch in batches:
             for _, h, firsts in shingle_sets(batch["text"], n):
@@ -312,7 +322,7 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, num: int = 80, den: int =
                     below = (band == k + 1) & (-(-num * sizes[new] // den) <= ranges[k][1])
                     use = new[(band == k) | below]
                     # Few sets at a time, as their segments are held in full.
-                    step = max(1, 2_000_000 // plans[k][0])
+                    step = max(1, 500_000 // plans[k][0])
                     for part in range(0, len(use), step):
                         sig, owner = _signatures(h, firsts, use[part : part + step], k, plans[k])
                         for cut in range(0, len(sig), 200_000):
@@ -350,10 +360,12 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, num: int = 80, den: int =
         .mapInArrow(lists, "sig long, node long, size long"),
         "shared-lists",
     )
+    let_go(spark)
     # Near copies share many signatures: of the lists with the same members, one is enough.
     every = shared.groupBy("sig").agg(F.count("*").alias("n"), F.min("size").alias("least"), F.bit_xor(F.xxhash64("node")).alias("whole"))
     single = every.groupBy("n", "whole", "least").agg(F.min("sig").alias("sig")).select("sig", "n", "least")
     members = stage(shared.join(single, "sig"), "list-members")
+    let_go(spark)
     origins = measured.join(members.select("node").distinct(), "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
 
     def list_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -389,7 +401,9 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, num: int = 80, den: int =
         .agg(F.max_by("a", F.struct("weight", "a")).alias("a"))
     )
     links = stage(links_of(first, sets, num, den), "links")
+    let_go(spark)
     joined = connect(links)
+    let_go(spark)
 
     # Lists whose members are still apart.
     placed = members.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -404,8 +418,8 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, num: int = 80, den: int =
         for batch in batches:
             buckets = [max(1, PRINT * (2 * x) * (den - num) // (den + num)) for x in batch["least"].to_pylist()]
             made = [set_print(t.values.to_numpy().view(np.uint64), m) for t, m in zip(batch["shingles"], buckets, strict=True)]
-            kept = [c for c in batch.schema.names if c not in ("least", "shingles")]
-            yield pa.record_batch([batch[c] for c in kept] + [pa.array(made, pa.binary())], names=[*kept, "print"])
+            others = [c for c in batch.schema.names if c not in ("least", "shingles")]
+            yield pa.record_batch([batch[c] for c in others] + [pa.array(made, pa.binary())], names=[*others, "print"])
 
     chunks = F.ceil(F.col("n") / CHUNK).cast("int")
     compared = (

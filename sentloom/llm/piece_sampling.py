@@ -21,8 +21,6 @@ pieces, so decoding restores every text; an empty table gives no row; other colu
 
 from __future__ import annotations
 
-import sys
-import types
 import zlib
 from collections.abc import Iterator
 
@@ -33,6 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
+from sentloom.llm.worker import kept
+
 BLANK = 0x2581
 #: Code points of texts whose words are handled as arrays at once.
 BLOCK = 2_000_000
@@ -126,10 +126,10 @@ class Vocabulary:
 
 
 def _vocabulary(path: str, alpha: float) -> Vocabulary:
-    kept = sys.modules.setdefault("sentloom_kept", types.ModuleType("sentloom_kept"))
-    if getattr(kept, "pieces_of", None) != (path, alpha):
-        kept.pieces, kept.pieces_of = Vocabulary(path, alpha), (path, alpha)
-    return kept.pieces
+    state = kept("pieces")
+    if getattr(state, "pieces_of", None) != (path, alpha):
+        state.pieces, state.pieces_of = Vocabulary(path, alpha), (path, alpha)
+    return state.pieces
 
 
 class Lattices:
@@ -373,8 +373,8 @@ def sample_texts(texts: list[str], rows: list[int], words: Vocabulary, k: int, s
                         parts.append(e[begin[i] : begin[j]])
                 log = float(path.log.sum())
                 x = log - following
-                kept = 0.0 if x > 700 else x if x < -30 else float(np.log(-np.expm1(-np.exp(x))))
-                yield at + d, rank, _ids(np.concatenate(parts), lattices, words), log, value, kept
+                included = 0.0 if x > 700 else x if x < -30 else float(np.log(-np.expm1(-np.exp(x))))
+                yield at + d, rank, _ids(np.concatenate(parts), lattices, words), log, value, included
         at = end
 
 
@@ -391,10 +391,10 @@ def sample_segmentations(docs: DataFrame, model: str, *, k: int = 2, alpha: floa
             names = batch["doc_id"].to_pylist()
             texts = [t.as_py() or "" for t in batch["text"]]
             rows: list[tuple] = []
-            for at, rank, ids, log, value, kept in sample_texts(texts, [-1 if n is None else n for n in names], words, k, seed):
+            for at, rank, ids, log, value, included in sample_texts(texts, [-1 if n is None else n for n in names], words, k, seed):
                 raw = ids.tobytes()
                 text = zlib.crc32(decode_bytes(ids, words))
-                rows.append((names[at], rank, len(ids), zlib.crc32(raw), log, value, kept, text, raw if keep_ids else None))
+                rows.append((names[at], rank, len(ids), zlib.crc32(raw), log, value, included, text, raw if keep_ids else None))
                 if len(rows) >= 2000:
                     yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types_, strict=True)], names=columns)
                     rows = []

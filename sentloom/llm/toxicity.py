@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import math
 import re
-import sys
 import types
 import unicodedata
 from collections import Counter
@@ -31,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from sentloom.llm.worker import kept
+
 # Letters that look like Latin ones.
 LOOKALIKES = dict(
     zip(
@@ -62,11 +63,10 @@ class _Fold(dict):
 
 
 def _kept() -> types.ModuleType:
-    """State of the worker; functions travel by value, so it is kept in a module of its own."""
-    kept = sys.modules.setdefault("sentloom_kept", types.ModuleType("sentloom_kept"))
-    if not hasattr(kept, "fold"):
-        kept.fold = _Fold()
-    return kept
+    state = kept("toxicity")
+    if not hasattr(state, "fold"):
+        state.fold = _Fold()
+    return state
 
 
 def fold(text: str, table: dict) -> str:
@@ -185,8 +185,8 @@ def fit(
     weights = {
         term: math.log(((n + 0.5) / (n_toxic + 1)) / ((clean.get(term, 0) + 0.5) / (n_clean + 1))) for term, n in toxic.items()
     }
-    kept = sorted((t for t, w in weights.items() if w >= math.log(least_ratio)), key=lambda t: (-weights[t], -toxic[t], t))
-    model = Model({t: weights[t] for t in kept[:max_entries]})
+    chosen = sorted((t for t, w in weights.items() if w >= math.log(least_ratio)), key=lambda t: (-weights[t], -toxic[t], t))
+    model = Model({t: weights[t] for t in chosen[:max_entries]})
 
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Phrases around matches, and the features of each text without them."""
