@@ -35,7 +35,7 @@ BAND_RATIO = 1.5
 #: Members of a list compared at once.
 CHUNK = 1024
 #: Buckets of a set's print for each difference that a pair may have.
-PRINT = 2
+PRINT = 4
 #: Ids of documents whose sets are compared that are sent to the tasks; more are joined by a shuffle of the texts.
 SENT_IDS = 1_000_000
 #: Cost of verifying a pair, in index rows.
@@ -151,9 +151,14 @@ def allocate(low: int, high: int, sets: int, num: int, den: int) -> tuple[int, i
     return best[1:]
 
 
-def _signatures(h: np.ndarray, firsts: np.ndarray, use: np.ndarray, band: int, plan: tuple[int, int, int]):
-    """Index entries of the sets ``use`` in one band: signature, set."""
+def _signatures(h: np.ndarray, firsts: np.ndarray, use: np.ndarray, band: int, plan: tuple[int, int, int], differ: np.ndarray):
+    """Index entries of the sets ``use`` in one band: signature, set.
+
+    ``differ``: in how many shingles each set may differ from a larger partner. Its first segments, as many as that
+    asks for, are enough, as the partner has entries for all of those.
+    """
     m, ones, spare = plan
+    needed = np.minimum(m, np.maximum(differ + 1 + spare - ones, max(ones, 1)))
     sizes = np.diff(firsts)[use]
     at = np.repeat(firsts[:-1][use] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())
     tokens = h[at]
@@ -163,9 +168,9 @@ def _signatures(h: np.ndarray, firsts: np.ndarray, use: np.ndarray, band: int, p
     values = _mix(tokens + np.uint64(11))
     sums, filled = np.zeros(len(use) * m, np.uint64), np.bincount(cell, minlength=len(use) * m)
     np.add.at(sums, cell, values)
-    empty = filled.reshape(-1, m)[:, ones:] == 0
-    keep = np.ones((len(use), m), bool)
-    keep[:, ones:] = ~empty | (empty.sum(axis=1) > spare)[:, None]
+    keep = np.arange(m) < needed[:, None]
+    empty = (filled.reshape(-1, m)[:, ones:] == 0) & keep[:, ones:]
+    keep[:, ones:] &= ~empty | (empty.sum(axis=1) > spare)[:, None]
     place = np.tile(np.arange(m, dtype=np.uint64) + np.uint64(m * 4096 + 1), len(use))
     salt = _mix(place * np.uint64(_BASE) + np.uint64(band))
     stays = np.flatnonzero(keep.ravel())
@@ -324,7 +329,11 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, num: int = 80, den: int =
                     # Few sets at a time, as their segments are held in full.
                     step = max(1, 500_000 // plans[k][0])
                     for part in range(0, len(use), step):
-                        sig, owner = _signatures(h, firsts, use[part : part + step], k, plans[k])
+                        own, low = use[part : part + step], ranges[k][1]
+                        # Of a set of the band above, the partners here have at most the sizes of this band.
+                        small = np.minimum(sizes[own], low)
+                        differ = np.where(sizes[own] > low, plans[k][0] + plans[k][1], (small + small * den // num) * (den - num) // (den + num))
+                        sig, owner = _signatures(h, firsts, own, k, plans[k], differ)
                         for cut in range(0, len(sig), 200_000):
                             own = owner[cut : cut + 200_000]
                             yield pa.record_batch(
