@@ -17,12 +17,12 @@ from sentloom.operators.batches import assign_batches
 from sentloom.operators.sentences import sentences as sentences_of
 from sentloom.operators.sentences import split_documents
 from sentloom.operators.shards import assign_shards
-from sentloom.operators.tokens import VocabTokenizer
+from sentloom.operators.tokens import VocabTokenizer, encode
 from sentloom.operators.translate import translate
 from sentloom.operators.vocab import build_vocab
 from sentloom.plans import jobs, work
 from sentloom.plans.fixtures import corpus, lexicon_of, load_reversing
-from sentloom.session import new_path, stage
+from sentloom.session import build_session, new_path, stage
 from sentloom.sources.payloads import nest_documents
 from sentloom.sources.sinks import write_payloads, write_rows
 from sentloom.streaming.drain import drain
@@ -35,16 +35,13 @@ SRC, TGT = "eng_Latn", "hin_Deva"
 
 
 def session() -> SparkSession:
-    spark = (
-        SparkSession.builder.master(f"local[{CPUS}]")
-        .appName("bench")
-        .config("spark.sql.shuffle.partitions", CPUS)
-        .config("spark.driver.memory", "12g")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
-    )
+    conf = {
+        "spark.sql.shuffle.partitions": CPUS,
+        "spark.driver.memory": "12g",
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+    }
+    spark = build_session("bench", f"local[{CPUS}]", **conf)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -72,6 +69,8 @@ def main() -> None:
     sentences = stage(assign_shards(split, SHARD_SIZE), "sentences")
     vocab = timed("build_vocab", lambda: stage(build_vocab(sentences), "vocab"))
     timed("encode", lambda: run(VocabTokenizer(vocab).encode(sentences)))
+    # The plan of vocabularies beyond the bound.
+    timed("encode_by_join", lambda: run(encode(sentences, vocab, ship=False)))
 
     def prepare() -> tuple[jobs.Prepared, DataFrame]:
         prepared = jobs.prepare(corpus(spark, SF_DIR), SRC, TGT, SHARD_SIZE, total_nodes=NODES)
