@@ -43,6 +43,8 @@ def plan_work(shards: DataFrame, workers: int, done: DataFrame | None = None) ->
         shard_bounds(shards)
         .where(lowest.isNotNull())
         .select("lowest", "highest", F.explode(F.sequence(lowest, highest, F.lit(_CHUNK).cast("long"))).alias("begin"))
+        # The one row of the bounds makes the chunks, and all tasks their numbers.
+        .repartition("begin")
         .select("lowest", F.explode(F.sequence(begin, F.least(begin + (_CHUNK - 1), highest))).alias("shard"))
     )
     todo = numbers if done is None else pending(numbers, done)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -23,6 +24,16 @@ def _reached(spark: SparkSession, out: str, batch_id: int) -> dict[str, int]:
     return {c: row[c] for c in counts}
 
 
+def _begun(spark: SparkSession, checkpoint: str) -> bool:
+    """Whether a stream has started with this checkpoint."""
+    try:
+        return not spark.read.text(f"{checkpoint}/metadata").isEmpty()
+    except AnalysisException as error:
+        if not (error.getCondition() or "").startswith("PATH_NOT_FOUND"):
+            raise
+        return False
+
+
 def _file_numbers(batch: DataFrame, earlier: int) -> DataFrame:
     """Number the files of one micro-batch in name order; one row per file."""
     files = batch.select("file_path_read").distinct()
@@ -45,8 +56,11 @@ def prepare_stream(
     Files count in order of arrival. The only state carried over is one row of running counts, written
     with the output, so a shard may begin in one micro-batch and fill in a later one. Every write is
     keyed by the micro-batch and overwrites itself, so a replay after a failure changes nothing.
-    Written under ``out``: ``sentences``, ``meta`` and the audit table ``progress``.
+    Written under ``out``: ``sentences``, ``meta`` and the audit table ``progress``. A new checkpoint over an ``out``
+    that holds output is refused, as its batches would take the place of earlier ones.
     """
+    if not _begun(spark, checkpoint) and not progress(spark, out).isEmpty():
+        raise ValueError(f"{out} holds the output of another checkpoint than {checkpoint}")
 
     def run(batch: DataFrame, batch_id: int) -> None:
         reached = _reached(spark, out, batch_id)

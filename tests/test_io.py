@@ -214,3 +214,32 @@ def test_drain_can_delete_what_it_has_read(spark, folder):
         time.sleep(0.5)
     assert not first & files()
     assert drained(spark, out).count() == 4
+
+
+def test_a_new_checkpoint_over_old_output_is_refused(spark, folder):
+    from sentloom.streaming.prepare import prepare_stream
+
+    rows = [("a", "One. Two.", "d", "u", "f")]
+    spark.createDataFrame(rows, "id string, text string, dump string, url string, file_path string").write.parquet(f"{folder}/in")
+    prepare_stream(spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint", 10)
+    prepare_stream(spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint", 10)
+    with pytest.raises(ValueError, match="another checkpoint"):
+        prepare_stream(spark, f"{folder}/in", f"{folder}/out", f"{folder}/other", 10)
+
+
+def test_unresolved_shards_are_not_committed(spark, folder):
+    rows = [(1, 1, "ok", [5]), (1, 1, "failed", [6]), (1, 2, "ok", None), (1, 3, "failed", None)]
+    spark.createDataFrame(rows, "node int, shard long, status string, input_ids array<int>").write.parquet(f"{folder}/done")
+    assert [r["shard"] for r in sinks.committed_shards(spark, f"{folder}/done").collect()] == [2]
+    assert sorted(r["shard"] for r in sinks.committed_shards(spark, f"{folder}/done", kept=True).collect()) == [1, 2]
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from sentloom.session import shared_dir
+
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master)))

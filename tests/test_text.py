@@ -91,3 +91,15 @@ def test_language_tags(spark):
     assert values(tagged, "text")[0] == "eng_Latn hin_Deva a b"
     assert values(tagged, tx.untag_language("text", "eng_Latn", "hin_Deva")) == ["a b", "", "c"]
     assert values(df, tx.untag_language("text", "eng_Latn", "hin_Deva")) == ["a b", "", "c"]
+
+
+def test_entities_have_no_longest_length(spark):
+    from sentloom.operators.tokens import mask_entities, unmask_entities
+
+    address, number = "a" * 200 + "@" + "b" * 100 + ".c" * 20, ",".join(["12"] * 60)
+    texts = [f"see {address} now", f"sum {number}.", "1,2abc@x.yz", "a" * 1_000_000, "1" * 1_000_000]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, sentence string")
+    masked = mask_entities(df)
+    got = {r["i"]: r["sentence"] for r in masked.collect()}
+    assert [got[i] for i in (0, 1, 2, 4)] == ["see <ID1> now", "sum <ID1>.", "<ID1><ID2>", "<ID1>"] and got[3] == texts[3]
+    assert {r["i"]: r["sentence"] for r in unmask_entities(masked).collect()} == dict(enumerate(texts))

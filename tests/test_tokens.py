@@ -94,3 +94,23 @@ def test_misaligned_payload_is_an_error(spark):
     )
     with pytest.raises(Exception, match="misaligned arrays in shard 7"):
         tk.flatten_tokens(rows).collect()
+
+
+def test_lookups_agree_on_rows_without_keys(spark):
+    df = spark.createDataFrame([([5, 6, 9],), ([5, 6, 9],), ([],), (None,), ([None, 7],)], "ids array<int>")
+    table = spark.createDataFrame([(5, 50), (7, 70), (9, 90)], "k int, v int")
+    for default in (None, -1):
+        ways = []
+        for ship, ship_found in ((True, None), (False, True), (False, False)):
+            out = replace_elements(df, "ids", "out", table, "k", "v", default=default, hot=F.col("k") < 6, ship=ship, ship_found=ship_found)
+            assert out.columns == ["ids", "out"]
+            ways.append(sorted((str(r["ids"]), str(r["out"])) for r in out.collect()))
+        assert ways[0] == ways[1] == ways[2] and len(ways[0]) == 5
+
+
+def test_top_of_a_vocabulary_merges_in_no_task(spark, sentences):
+    from sentloom.operators.vocab import token_counts
+
+    assert token_counts(sentences).count() > 3
+    plan = build_vocab(sentences, max_size=3)
+    assert "TakeOrdered" not in plan._jdf.queryExecution().toString() and plan.count() == 3
