@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentloom.llm.worker import kept
+from sentloom.llm.worker import kept, small_batches
 from sentloom.session import stage
 
 BAND_RATIO = 1.5
@@ -279,6 +279,11 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, num: int = 80, den: int =
 
     Documents link when ``den * |A & B| >= num * |A | B|`` for their sets of ``n``-word shingles.
     """
+    with small_batches(docs.sparkSession):
+        return _components(docs, n, num, den)
+
+
+def _components(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 

@@ -5,6 +5,10 @@ from __future__ import annotations
 import gc
 import sys
 import types
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import SparkSession
 
 
 def kept(owner: str) -> types.ModuleType:
@@ -18,3 +22,15 @@ def kept(owner: str) -> types.ModuleType:
         state.owner = owner
         gc.collect()
     return state
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Hand texts and sets to Python in batches of few rows while the block runs its steps."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
