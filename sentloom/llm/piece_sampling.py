@@ -35,7 +35,7 @@ from sentloom.llm.worker import kept
 
 BLANK = 0x2581
 #: Code points of texts whose words are handled as arrays at once.
-BLOCK = 4_000_000
+BLOCK = 2_000_000
 #: Words after a branch that are looked at first, and the log of the share below which a region is never opened.
 LEADING, LEAST_SHARE = 96, -60.0
 _BASE = 0x9E3779B97F4A7C15
