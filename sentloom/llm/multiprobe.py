@@ -6,7 +6,7 @@ more component that completes it to length 1, a query is normalised. A query vis
 the order of the estimated probability that a neighbour at distance ``r`` lies there, until that probability adds up
 so that all tables together reach ``RECALL``. The most likely bucket of each table gives a score that the k-th neighbour
 has at least, and the other buckets only hand over what reaches it. The distance ``r`` of the k-th neighbour is estimated from the inner
-products of at most ``SAMPLE`` rows; every row is indexed. Candidates of all tables are ranked by exact inner products.
+products of about ``SAMPLE`` different vectors, so copies do not count; every row is indexed. Candidates of all tables are ranked by exact inner products.
 
 Buckets are cut into blocks of up to 1024 vectors and probes into blocks of queries, so a crowded bucket is many
 pairs of blocks. Copies are one vector with its smallest ids.
@@ -74,15 +74,10 @@ def probes(inside: np.ndarray, width: float, r: float, mass: float) -> tuple[np.
     return query, place, steps[order[query, place]]
 
 
-def neighbour_distance(vectors: DataFrame, k: int, largest: float, total: int, sample: int = SAMPLE) -> float:
-    """The distance that the k-th neighbour has on the sphere, from the spread of inner products of sampled rows."""
-    share = int(1_000_000 * min(1.0, sample / max(total, 1)))
-    rows = vectors.select("vector").filter(F.pmod(F.xxhash64("vector"), F.lit(1_000_000)) < share).limit(2 * sample).collect()
-    lengths = [len(r[0]) for r in rows]
-    if not rows:
+def neighbour_distance(x: np.ndarray, k: int, largest: float, total: int) -> float:
+    """The distance that the k-th neighbour has on the sphere, from the spread of inner products of sampled vectors."""
+    if not len(x):
         return 1.0
-    dim = max(set(lengths), key=lengths.count)
-    x = np.array([r[0] for r in rows if len(r[0]) == dim])
     q = x[:200] / np.linalg.norm(x[:200], axis=1)[:, None]
     scores = (q @ (x / largest).T)[~np.eye(len(q), len(x), dtype=bool)]
     if not len(scores):
@@ -92,6 +87,12 @@ def neighbour_distance(vectors: DataFrame, k: int, largest: float, total: int, s
     return math.sqrt(2 - 2 * min(max(kth, -1.0), 0.995))
 
 
+def sampled(distinct: DataFrame, total: int, sample: int = SAMPLE) -> list[list[float]]:
+    """About ``sample`` of ``total`` different vectors, by their hash."""
+    share = int(1_000_000 * min(1.0, sample / max(total, 1))) + 1
+    return [r[0] for r in distinct.select("vector").filter(F.pmod(F.xxhash64("vector"), F.lit(1_000_000)) < share).collect()]
+
+
 def nearest(
     table: DataFrame,
     *,
@@ -107,10 +108,14 @@ def nearest(
     """``query_id, rank, vec_id, score`` for the rows whose id ``every`` divides, by largest inner product."""
     rows = valid(table, vector).filter(F.exists("vector", lambda x: x != 0))
     rows = stage(rows, "vectors")
+    distinct = stage(distinct_vectors(rows, k), "distinct")
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
-    total, largest = rows.agg(F.count("*"), F.max(norm)).first()
+    total, largest = distinct.agg(F.count("*"), F.max(norm)).first()
     largest = largest or 1.0
-    r = neighbour_distance(rows, k, largest, total)
+    sample = sampled(distinct, total)
+    lengths = [len(x) for x in sample]
+    dim = max(set(lengths), key=lengths.count, default=0)
+    r = neighbour_distance(np.array([x for x in sample if len(x) == dim]), k, largest, total)
     mass = 1 - (1 - recall) ** (1 / tables)
 
     def hashed(x: np.ndarray, last: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -164,7 +169,7 @@ def nearest(
         )
 
     queries, asked = query_vectors(rows, every)
-    indexed = stage(blocks(distinct_vectors(rows, k).mapInArrow(index, hashed_columns)), "buckets")
+    indexed = stage(blocks(distinct.mapInArrow(index, hashed_columns)), "buckets")
 
     def visit(asking: DataFrame, first: bool) -> DataFrame:
         entries = asking.select("vector", F.array("query").alias("ids"), "q_floor").mapInArrow(probe(first), f"{hashed_columns}, q_floor double")

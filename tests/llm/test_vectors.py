@@ -72,6 +72,18 @@ def test_multiprobe_recall_and_scores(spark):
         assert all(v is None or s == pytest.approx(float(vectors[q] @ vectors[v]), rel=1e-9) for v, s in mine)
 
 
+def test_multiprobe_recall_beside_a_hot_vector(spark):
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((1200, 32)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(1200 + i, x[7].tolist()) for i in range(600)]
+    rows = [rows[i] for i in rng.permutation(len(rows))]
+    want = {q: w for q, w in brute(rows, 20, 20, lambda v: v, False).items() if q < 1200}
+    got = found(nearest(table(spark, rows)))
+    share = np.mean([len({v for v, _ in got.get(q, ())} & {v for v, _ in w}) / 20 for q, w in want.items()])
+    assert share >= 0.9
+
+
 def test_probes_come_in_order_of_success():
     query, place, steps = probes(np.array([[0.1, 2.9], [1.5, 1.5]]), 3.0, 1.0, 0.9)
     assert steps[query == 0][0].tolist() == [-1, 0] or steps[query == 0][0].tolist() == [0, 0]
