@@ -5,8 +5,10 @@ Each of ``TABLES`` tables hashes a vector by ``HASHES`` projections on Gaussian
 more component that completes it to length 1, a query is normalised. A query visits the buckets around its own in
 the order of the estimated probability that a neighbour at distance ``r`` lies there, until that probability adds up
 so that all tables together reach ``RECALL``. The most likely bucket of each table gives a score that the k-th neighbour
-has at least, and the other buckets only hand over what reaches it. The distance ``r`` of the k-th neighbour is estimated from the inner
-products of about ``SAMPLE`` different vectors, so copies do not count; every row is indexed. Candidates of all tables are ranked by exact inner products.
+has at least, and the other buckets only hand over what reaches it. The distance ``r`` of the k-th neighbour is estimated for each length of a
+vector from the inner products of about ``SAMPLE`` different vectors (shared by the lengths, at least 200 each), so copies
+do not count; every row is indexed. A query that has met at most ``k`` different vectors then searches all blocks of its
+length, so results are short only where candidates are. Candidates of all tables are ranked by exact inner products.
 
 Buckets are cut into blocks of up to 1024 vectors and probes into blocks of queries, so a crowded bucket is many
 pairs of blocks. Copies are one vector with its smallest ids.
@@ -27,12 +29,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sentloom.llm.vectors import BLOCK_COLUMNS, best_of_pairs, by_length, distinct_vectors, matrix, pack_blocks, query_vectors, ranked, valid
+from sentloom.llm.vectors import BLOCK, BLOCK_COLUMNS, best_of_pairs, by_length, distinct_vectors, matrix, pack_blocks, query_vectors, ranked, valid
 from sentloom.session import stage
 
 TABLES, HASHES, WIDTH = 2, 4, 3.0
 RECALL = 0.95
 SAMPLE = 2000
+#: Blocks of the index, if full, that a copy of a block of lacking queries meets.
+PART = 4
 STEPS = (-1, 0, 1)
 
 
@@ -87,10 +91,16 @@ def neighbour_distance(x: np.ndarray, k: int, largest: float, total: int) -> flo
     return math.sqrt(2 - 2 * min(max(kth, -1.0), 0.995))
 
 
-def sampled(distinct: DataFrame, total: int, sample: int = SAMPLE) -> list[list[float]]:
-    """About ``sample`` of ``total`` different vectors, by their hash."""
-    share = int(1_000_000 * min(1.0, sample / max(total, 1))) + 1
-    return [r[0] for r in distinct.select("vector").filter(F.pmod(F.xxhash64("vector"), F.lit(1_000_000)) < share).collect()]
+def sampled(distinct: DataFrame, shares: dict[int, float]) -> dict[int, np.ndarray]:
+    """Of each length in ``shares``, about that share of the different vectors, by their hash."""
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            least = np.array([shares.get(n, 0.0) for n in np.diff(batch["vector"].offsets.to_numpy()).tolist()])
+            yield batch.filter(pa.array(batch["place"].to_numpy() < 1_000_000 * least)).select(["vector"])
+
+    rows = distinct.select("vector", F.pmod(F.xxhash64("vector"), F.lit(1_000_000)).alias("place")).mapInArrow(pick, "vector array<double>").collect()
+    return {n: np.array([r[0] for r in rows if len(r[0]) == n]) for n in {len(r[0]) for r in rows}}
 
 
 def nearest(
@@ -110,12 +120,12 @@ def nearest(
     rows = stage(rows, "vectors")
     distinct = stage(distinct_vectors(rows, k), "distinct")
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
-    total, largest = distinct.agg(F.count("*"), F.max(norm)).first()
-    largest = largest or 1.0
-    sample = sampled(distinct, total)
-    lengths = [len(x) for x in sample]
-    dim = max(set(lengths), key=lengths.count, default=0)
-    r = neighbour_distance(np.array([x for x in sample if len(x) == dim]), k, largest, total)
+    # One row for each length of a vector.
+    lengths = distinct.groupBy(F.size("vector").alias("dim")).agg(F.count("*").alias("n"), F.max(norm).alias("largest")).collect()
+    total, largest = sum(x["n"] for x in lengths), max((x["largest"] for x in lengths), default=1.0)
+    many = {x["dim"]: x["n"] for x in lengths if x["n"] > k + 1}
+    sample = sampled(distinct, {d: min(1.0, max(SAMPLE // len(many), 200) / n) for d, n in many.items()})
+    near = {d: neighbour_distance(x, k, largest, many[d]) for d, x in sample.items()}
     mass = 1 - (1 - recall) ** (1 / tables)
 
     def hashed(x: np.ndarray, last: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -143,7 +153,7 @@ def nearest(
                         part = batch.slice(cut, 2000)
                         for t, h in hashed(x[cut : cut + 2000], np.zeros(part.num_rows)):
                             slot = np.floor(h)
-                            query, place, steps = probes((h - slot) * width, width, r, mass)
+                            query, place, steps = probes((h - slot) * width, width, near.get(x.shape[1], 1.0), mass)
                             use = (place == 0) == first
                             query, steps = query[use], steps[use]
                             ids = pa.array(bucket_ids(slot[query] + steps, x.shape[1]))
@@ -169,7 +179,7 @@ def nearest(
         )
 
     queries, asked = query_vectors(rows, every)
-    indexed = stage(blocks(distinct.mapInArrow(index, hashed_columns)), "buckets")
+    indexed = stage(blocks(distinct.mapInArrow(index, hashed_columns)).withColumn("block", F.monotonically_increasing_id()), "buckets")
 
     def visit(asking: DataFrame, first: bool) -> DataFrame:
         entries = asking.select("vector", F.array("query").alias("ids"), "q_floor").mapInArrow(probe(first), f"{hashed_columns}, q_floor double")
@@ -188,5 +198,22 @@ def nearest(
         .select("query", F.col("score").alias("q_floor"))
     )
     others = queries.join(floors, "query", "left").withColumn("q_floor", F.coalesce("q_floor", F.lit(float("-inf"))))
-    found = likely.unionByName(visit(others, False))
+    visited = stage(likely.unionByName(visit(others, False)), "visited")
+
+    # Queries that met fewer different vectors than they may need search all blocks of their length, which one table has.
+    met = visited.select("query", "score", "first").distinct().groupBy("query").agg(F.count("*").alias("met"))
+    lacking = queries.join(met, "query", "left").filter(F.coalesce("met", F.lit(0)) <= k)
+    parts = max(1, total // (PART * BLOCK))
+    asked_blocks = (
+        blocks(lacking.select(F.lit(0).alias("table"), F.size("vector").cast("long").alias("bucket"), "vector", F.array("query").alias("ids")))
+        .select("dim", F.col("firsts").alias("q_firsts"), F.col("matrix").alias("q_matrix"))
+        .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    )
+    rest = (
+        indexed.filter("table = 0").withColumn("part", F.pmod(F.xxhash64("block"), F.lit(parts)).cast("int"))
+        .join(asked_blocks, ["dim", "part"])
+        .select("dim", "firsts", "ids", "matrix", "q_firsts", "q_matrix")
+        .mapInArrow(best_of_pairs(k), "query long, score double, first long, ids array<long>")
+    )
+    found = visited.unionByName(rest)
     return ranked(found, asked.join(queries, "vector").select("query_id", "query"), k)

@@ -84,6 +84,19 @@ def test_multiprobe_recall_beside_a_hot_vector(spark):
     assert share >= 0.9
 
 
+def test_multiprobe_has_all_of_few_candidates(spark):
+    rng = np.random.default_rng(5)
+    centres = rng.standard_normal((8, 16))
+    many = (centres[rng.integers(0, 8, 600)] + 0.2 * rng.standard_normal((600, 16))).astype(np.float32)
+    few, rare = rng.standard_normal((10, 8)).astype(np.float32), rng.standard_normal((15, 24)).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(few)] + [(20 + i, v.tolist()) for i, v in enumerate(rare)] + [(100 + i, v.tolist()) for i, v in enumerate(many)]
+    want = brute(rows[:25], 20, 1, lambda v: v, False)
+    got = found(nearest(table(spark, rows), every=1))
+    for q, best in want.items():
+        assert [v for v, _ in got[q]] == [v for v, _ in best]
+    assert all(len(got[i]) == 20 for i, _ in rows[25:])
+
+
 def test_probes_come_in_order_of_success():
     query, place, steps = probes(np.array([[0.1, 2.9], [1.5, 1.5]]), 3.0, 1.0, 0.9)
     assert steps[query == 0][0].tolist() == [-1, 0] or steps[query == 0][0].tolist() == [0, 0]
