@@ -3,7 +3,8 @@
 A page becomes blocks of text in page order. A linear classifier over the block and its ancestors gives each block a
 cost of being called content and one of being called boilerplate; these are its capacities to the two terminals.
 Neighbouring blocks and the blocks of one parent are joined by edges that weaken with their distance in the document
-tree. The minimum cut, found by maximum flow, is the cheapest labelling.
+tree. The minimum cut, found by maximum flow, is the cheapest labelling. Classes and ids count against the text below
+them, except where their element wraps the page's main text.
 
 Defined results: a null or empty page has an empty text; unclosed and stray tags are read as browsers do, as far as
 block bounds go; a line break is white space; repeated rows keep one row each; an empty table gives no row; other columns are
@@ -47,6 +48,8 @@ CONTAINERS = {
 OWN = {"p": 0.8, "h1": 0.8, "h2": 0.5, "h3": 0.5, "h4": 0.5, "blockquote": 0.5, "pre": 0.5, "li": -0.3}
 IN_ARTICLE, NAMED_CONTENT, NAMED_BOILERPLATE, HIDDEN = 2.5, 1.5, -7.0, -8.0
 BIAS, LENGTH, SENTENCE, LINKS, RIGHTS = -1.0, 0.5, 0.5, -4.0, -2.0
+#: Share of a page's text from which on an element with its longest article or first-rank heading is a wrapper, whatever its name.
+WRAPPER_SHARE = 0.5
 #: Strength of the edges between blocks.
 SMOOTH = 0.6
 
@@ -66,32 +69,32 @@ TOKEN = re.compile(
     r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<[!?][^>]*>""",
     re.S | re.I,
 )
-ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 RIGHTS_TEXT = re.compile(r"©|\(c\) ?\d{4}|copyright|all rights reserved", re.I)
 SENTENCE_END = re.compile(r"[.!?…。！？](?:\s|$)")
 
 
-def named(attributes: str) -> float:
-    """What class, id and role of an element say about the text in it."""
-    out = 0.0
+def named(attributes: str) -> tuple[float, float]:
+    """What an element says about the text in it: by class and id alone, and by role and being hidden."""
+    name = state = 0.0
     for m in ATTRIBUTE.finditer(attributes):
         kind, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if kind in ("class", "id"):
             for word in value.split():
                 parts = {p.lower() for p in NAME.findall(word)}
                 if parts & BOILERPLATE_NAMES and not parts & NOT_ITSELF:
-                    out = min(out, NAMED_BOILERPLATE)
-                elif parts & CONTENT_NAMES and out >= 0:
-                    out = NAMED_CONTENT
+                    name = min(name, NAMED_BOILERPLATE)
+                elif parts & CONTENT_NAMES and name >= 0:
+                    name = NAMED_CONTENT
         elif kind == "role":
             if value.lower() in BANNERS:
-                out = min(out, NAMED_BOILERPLATE)
-            elif value.lower() in ("main", "article") and out >= 0:
-                out = NAMED_CONTENT
+                state = min(state, NAMED_BOILERPLATE)
+            elif value.lower() in ("main", "article") and state >= 0:
+                state = NAMED_CONTENT
         elif kind == "hidden" or kind == "aria-hidden" and value == "true" or kind == "style" and "display:none" in value.replace(" ", ""):
-            out = min(out, HIDDEN)
-    return out
+            state = min(state, HIDDEN)
+    return name, state
 
 
 class Page:
@@ -102,6 +105,12 @@ class Page:
         self.texts: list[str] = []
         self.odds: list[float] = []
         self.element: list[int] = []
+        # Of each element: whether its class or id alone names boilerplate, whether it is a main text's own element (2: main,
+        # 1: article), and the text below it that nothing else than such names speaks against.
+        self.charged, self.principal, self.free = [False], [0], [0]
+        self.headed = [False]
+        #: Of each block, the worst that its ancestors say besides class and id.
+        self.worst: list[float] = []
         # Of each open element: tag, number, worst and best of the ancestors, whether an article is around.
         stack: list[tuple[str, int, float, float, bool]] = [("", 0, 0.0, 0.0, False)]
         count: dict[str, int] = {}
@@ -115,7 +124,7 @@ class Page:
                 if text:
                     tag, number, worst, best, article = stack[-1]
                     own = next((t[0] for t in reversed(stack) if t[0] in BLOCKS), "")
-                    odds = BIAS + worst + best + OWN.get(own, 0.0) + (IN_ARTICLE if article else 0.0)
+                    odds = BIAS + best + OWN.get(own, 0.0) + (IN_ARTICLE if article else 0.0)
                     odds += LENGTH * math.log1p(len(text) / 40) + LINKS * min(linked / len(text), 1.0)
                     if SENTENCE_END.search(text):
                         odds += SENTENCE
@@ -124,6 +133,10 @@ class Page:
                     self.texts.append(text)
                     self.odds.append(odds)
                     self.element.append(number)
+                    self.worst.append(worst)
+                    if worst >= 0:
+                        self.free[number] += len(text)
+                        self.headed[number] |= own == "h1"
                 buffer.clear()
             linked = 0
 
@@ -162,13 +175,19 @@ class Page:
             if tag in VOID or m[3].endswith("/") and not block:
                 continue
             _, above, worst, best, article = stack[-1]
-            says = named(m[3]) if m[3] and tag not in ("html", "body") else 0.0
+            name, state = named(m[3]) if m[3] and tag not in ("html", "body") else (0.0, 0.0)
+            own_name = name < 0
             if tag in ("article", "main"):
-                article, says = True, max(says, 0.0)
+                article, name, state = True, max(name, 0.0), max(state, 0.0)
             own = CONTAINERS.get(tag, 0.0)
             if tag == "header" and article:
                 own = 0.0
-            worst, best = min(worst, own, says), max(best, says)
+            worst = min(worst, own, state)
+            best = max(best, max(name, state) if min(name, state) >= 0 else 0.0)
+            self.charged.append(name < 0)
+            self.principal.append(0 if worst < 0 else 2 if tag == "main" else 1 if (tag == "article" or state > 0) and not own_name else 0)
+            self.free.append(0)
+            self.headed.append(False)
             self.parent.append(above)
             self.depth.append(self.depth[above] + 1)
             stack.append((tag, len(self.parent) - 1, worst, best, article))
@@ -177,6 +196,40 @@ class Page:
         if at < len(source):
             buffer.append(source[at:])
         flush()
+        self.charge_names()
+
+    def charge_names(self) -> None:
+        """Adds to the odds what ancestors say against a block; class and id count unless their element wraps the main text.
+
+        It does if it holds a ``main``, or if it holds the longest ``article`` or a first-rank heading and most of the text
+        that no other name speaks against.
+        """
+        parent, n = self.parent, len(self.parent)
+        main, chief = [p == 2 for p in self.principal], list(self.headed)
+        articles = [e for e, p in enumerate(self.principal) if p == 1]
+        if articles:
+            below = self.sums(self.free)
+            chief[max(articles, key=lambda e: (below[e], -e))] = True
+        for e in range(n - 1, 0, -1):
+            main[parent[e]] |= main[e]
+            chief[parent[e]] |= chief[e]
+        apart = [False] * n
+        for e in range(1, n):
+            apart[e] = apart[parent[e]] or self.charged[e] and not main[e] and not chief[e]
+        text = self.sums([0 if x else t for x, t in zip(apart, self.free, strict=True)])
+        against = [False] * n
+        for e in range(1, n):
+            wraps = main[e] or chief[e] and text[e] >= WRAPPER_SHARE * text[0]
+            against[e] = against[parent[e]] or self.charged[e] and not wraps
+        for i, e in enumerate(self.element):
+            self.odds[i] += min(self.worst[i], NAMED_BOILERPLATE if against[e] else 0.0)
+
+    def sums(self, values: list[int]) -> list[int]:
+        """Of each element, the total of its own value and those of the elements below it."""
+        out = list(values)
+        for e in range(len(out) - 1, 0, -1):
+            out[self.parent[e]] += out[e]
+        return out
 
     def distance(self, a: int, b: int, most: int = 12) -> int:
         """Steps between two elements in the tree, ``most`` if they are farther apart."""

@@ -34,6 +34,24 @@ def test_main_text_of_a_page():
     assert main_text(PAGE) == "Title & more\nFirst para with bold é.\nOk.\nSecond link para goes on here."
 
 
+@pytest.mark.parametrize("name", ["wrap sticky-header", "sidebar-right", "menu-open", "cookie-consent-shown", "layout-sidebar"])
+def test_names_of_wrappers_do_not_drop_the_article(name):
+    text = "This sentence is part of the story. " * 9
+    rest = "<div class='comments'><p>I like this story very much. Thanks.</p></div><div id='related'><article><p>Another story. Read it.</p></article></div>"
+    for inner in (f"<article><p>{text}</p></article>", f"<main><p>{text}</p></main>", f"<div><h1>Story</h1><p>{text}</p></div>"):
+        got = main_text(f"<html><body><div class='{name}'>{inner}{rest}</div><footer><p>Imprint of the site.</p></footer></body></html>")
+        assert got.removeprefix("Story\n") == text.strip()
+    assert main_text(f"<div><p>{text}</p></div><div id='related'><article><p>Another story. Read it.</p></article></div>") == text.strip()
+
+
+def test_attributes_count_by_their_exact_names():
+    text = "This sentence is part of the story. " * 9
+    for attribute in ("data-state='hidden'", "aria-label='Hidden costs'", "data-id='comments'", 'title="a class=sidebar"'):
+        assert main_text(f"<div {attribute}><p>{text}</p></div>") == text.strip()
+    for attribute in ("hidden", "ID=comments", "class = 'x sidebar'", 'style="color:red; display: none"', "aria-hidden=true"):
+        assert main_text(f"<div {attribute}><p>{text}</p></div>") == ""
+
+
 def test_cut_is_the_cheapest_labelling():
     rng = random.Random(3)
     for _ in range(300):
