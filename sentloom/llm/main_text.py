@@ -64,11 +64,25 @@ CONTENT_NAMES = frozenset("article main content post entry story body text".spli
 NOT_ITSELF = frozenset("has with no without".split())
 BANNERS = frozenset("banner navigation complementary contentinfo search form dialog alertdialog menu menubar".split())
 
+_INSIDE = r"""(?:[^>"']|"[^"]*"|'[^']*')*+"""
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?:{RAW})\b[^>]*>.*?(?:</(?:{RAW})\s*>|\Z)"
-    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<[!?][^>]*>""",
+    rf"""<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})(?=[\s/>])(?:{_INSIDE}|[^>]*)>"""
+    rf"""|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<inside>{_INSIDE})>|<[!?][^>]*>""",
     re.S | re.I,
 )
+# What ends a raw element: an end tag of its own name. Those that nest are matched outside of comments, scripts and styles.
+RAW_END = {r: re.compile(rf"</{r}(?=[\s/>])[^>]*>", re.I) for r in RAW.split("|")}
+NESTED = {
+    r: re.compile(
+        rf"<!--.*?(?:-->|\Z)|<(script|style)(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)|<(?P<end>/?){r}(?=[\s/>])(?:{_INSIDE}|[^>]*)>", re.S | re.I
+    )
+    for r in ("svg", "template", "object")
+}
+# Start tags that end a drawing without an end tag.
+BREAKOUT = re.compile(
+    r"<(?:b|big|blockquote|body|br|center|code|dd|div|dl|dt|em|embed|h[1-6]|head|hr|i|img|li|listing|menu|meta|nobr|ol|p|pre|ruby|s|small|"
+    r"span|strong|strike|sub|sup|table|tt|u|ul|var)(?=[\s/>])|</(?:p|body|html|article|main|section|div|li|a|span|button)(?=[\s/>])", re.I
+)
 ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 RIGHTS_TEXT = re.compile(r"©|\(c\) ?\d{4}|copyright|all rights reserved", re.I)
@@ -97,6 +111,34 @@ def named(attributes: str) -> tuple[float, float]:
     return name, state
 
 
+def nested_ends(source: str, raw: str) -> dict[int, int]:
+    """Where the elements of a raw name end, by the end of their start tags; those without an end tag are left out."""
+    out, starts = {}, []
+    for m in NESTED[raw].finditer(source):
+        if m["end"]:
+            if starts:
+                out[starts.pop()] = m.end()
+        elif m["end"] is not None:
+            if raw == "svg" and m[0].endswith("/>"):
+                out[m.end()] = m.end()
+            else:
+                starts.append(m.end())
+    return out
+
+
+def raw_end(source: str, raw: str, at: int, ends: dict[str, dict[int, int]]) -> int:
+    """Where the raw element ends whose start tag ends at ``at``; ``ends`` keeps what is known of the page."""
+    if raw in NESTED:
+        if raw not in ends:
+            ends[raw] = nested_ends(source, raw)
+        if at in ends[raw]:
+            return ends[raw][at]
+        m = BREAKOUT.search(source, at) if raw == "svg" else None
+        return m.start() if m else len(source)
+    m = RAW_END[raw].search(source, at)
+    return m.end() if m else len(source)
+
+
 class Page:
     """Blocks of a page: text, log-odds of content and element; elements: parent and depth."""
 
@@ -116,6 +158,7 @@ class Page:
         count: dict[str, int] = {}
         buffer: list[str] = []
         linked, in_links, at = 0, 0, 0
+        ends: dict[str, dict[int, int]] = {}
 
         def flush() -> None:
             nonlocal linked
@@ -149,22 +192,24 @@ class Page:
                 if top == tag:
                     return
 
-        for m in TOKEN.finditer(source):
+        while m := TOKEN.search(source, at):
             if m.start() > at:
                 piece = source[at : m.start()]
                 buffer.append(piece)
                 if in_links:
                     linked += len(piece)
             at = m.end()
-            if m[2] is None:
+            if m["raw"]:
+                at = raw_end(source, m["raw"].lower(), at, ends)
+            if m["tag"] is None:
                 continue
-            tag = m[2].lower()
+            tag = m["tag"].lower()
             block = tag in BLOCKS
             if block:
                 flush()
             elif tag == "br":
                 buffer.append(" ")
-            if m[1]:
+            if m["end"]:
                 if count.get(tag):
                     close(tag)
                 continue
@@ -172,10 +217,10 @@ class Page:
                 close(stack[-1][0])
             if block and count.get("p") and any(t[0] == "p" for t in stack[-4:]):
                 close("p")
-            if tag in VOID or m[3].endswith("/") and not block:
+            if tag in VOID or m["inside"].endswith("/") and not block:
                 continue
             _, above, worst, best, article = stack[-1]
-            name, state = named(m[3]) if m[3] and tag not in ("html", "body") else (0.0, 0.0)
+            name, state = named(m["inside"]) if m["inside"] and tag not in ("html", "body") else (0.0, 0.0)
             own_name = name < 0
             if tag in ("article", "main"):
                 article, name, state = True, max(name, 0.0), max(state, 0.0)

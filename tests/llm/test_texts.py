@@ -52,6 +52,20 @@ def test_attributes_count_by_their_exact_names():
         assert main_text(f"<div {attribute}><p>{text}</p></div>") == ""
 
 
+@pytest.mark.parametrize(
+    "raw",
+    [
+        "<svg viewBox='0 0 1 1'/>", "<svg-icon name=x></svg-icon>", "<object-list></object-list>", "<svg><path d='M0'>", "<svg><path><p></p><svg><text>no</text></svg>", "<script>var a = '</style> no';</script>",
+        "<svg><style>a{}</style><text>no</text></svg>", "<svg><svg><text>no</text></svg><text>no</text></svg>", "<svg><svg/><text>no</text></svg >",
+        "<template><template>no</template>no</template>", "<style>/* </script> no */</STYLE\n>", "<script src='a>b'>no</script>", "<svg><!-- </svg> --><text>no</text></svg>",
+    ],
+)
+def test_raw_elements_end_at_their_own_name(raw):
+    one, two = "The first paragraph of a story is here. It is good.", "The second paragraph of a story is here. It is good."
+    assert main_text(f"<main><p>{one}</p>{raw}<p>{two}</p></main>") == f"{one}\n{two}"
+    assert main_text(f"<main><p>{one}</p>{raw}<p>{two}</p></main><style>a</style>") == f"{one}\n{two}"
+
+
 def test_cut_is_the_cheapest_labelling():
     rng = random.Random(3)
     for _ in range(300):
