@@ -1,7 +1,8 @@
 """License scans: TF-IDF similarity to templates, and inheritance from the nearest ancestor directory.
 
 The lines of a file and the file as a whole are compared with each template by the cosine of sparse TF-IDF vectors over
-words. What holds none of a template's heaviest words cannot reach the least cosine and is passed over.
+words. Where neither states a licence, an SPDX tag does, or a window of lines that resembles a template or a standard
+notice, or the file as a whole if it resembles a licence text. What holds none of a template's heaviest words cannot reach the least cosine and is passed over.
 Weights come from the templates and from how many documents of the whole corpus hold each template word. The best line
 or the file as a whole states the file's own licence if its cosine reaches ``least``. A directory's licence is that
 of its licence file; a file without one of its own inherits it from the nearest directory above that has one: its
@@ -15,6 +16,7 @@ names are left as they are, as results carry the key columns only.
 from __future__ import annotations
 
 import math
+import pkgutil
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -41,6 +43,49 @@ TEMPLATES = {
 }
 LEAST = 0.75
 
+_GNU = (
+    "This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} Public License as published by "
+    "the Free Software Foundation, either version {n} of the License, or (at your option) any later version."
+)
+_GNU_REST = (
+    " This {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+    "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} Public License for more details. You should have received a "
+    "copy of the GNU {name} Public License along with this {what}. If not, see https://www.gnu.org/licenses/."
+)
+_APACHE = (
+    "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may "
+    "obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"
+)
+_APACHE_REST = (
+    " Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, "
+    "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions "
+    "and limitations under the License."
+)
+# Standard notices at the head of files; what follows ``|`` tells those of one licence apart.
+NOTICES = {
+    "Apache-2.0|first": _APACHE,
+    "Apache-2.0|whole": _APACHE + _APACHE_REST,
+    "BSD-3-Clause": "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
+    "MIT": "Use of this source code is governed by an MIT-style license that can be found in the LICENSE file.",
+    "MIT|short": "Licensed under the MIT License. See LICENSE in the project root for license information.",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed "
+    "with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+} | {
+    f"{key}|{part}": text.format(what=what, name=name, n=n)
+    for key, what, name, n in (
+        ("GPL-2.0", "program", "General", "2"), ("GPL-3.0", "program", "General", "3"),
+        ("LGPL-2.1", "library", "Lesser General", "2.1"), ("LGPL-3.0", "library", "Lesser General", "3"),
+    )
+    for part, text in (("first", _GNU), ("whole", _GNU + _GNU_REST))
+}
+#: Licence files whose texts are in the folder ``licenses``.
+BODIES = ("Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-2.0")
+SPDX = re.compile(r"SPDX-License-Identifier:[ \t]*\(*([A-Za-z0-9][\w.+-]*(?:\)*[ \t]+(?:AND|OR|WITH)[ \t]+\(*[A-Za-z0-9][\w.+-]*)*)")
+
+
+def license_texts(names: tuple[str, ...] = BODIES) -> dict[str, str]:
+    return {n: pkgutil.get_data("sentloom.llm", f"licenses/{n}.txt").decode() for n in names}
+
 WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
 
 
@@ -100,11 +145,68 @@ def fit_templates(files: DataFrame, templates: dict[str, str] = TEMPLATES, least
     return Templates(templates, held, total, least)
 
 
-def stated_licenses(files: DataFrame, model: Templates, *, least: float = LEAST) -> DataFrame:
+class Texts:
+    """Standard notices and whole licence texts, each with document frequencies among themselves."""
+
+    def __init__(self, notices: dict[str, str], bodies: dict[str, str], least: float = LEAST):
+        self.least = least
+        self.notices, self.bodies = (
+            Templates(t, Counter(w for x in t.values() for w in set(words_of(x))), len(t), least) for t in (notices, bodies)
+        )
+        #: Words of the longest window: what is longer than twice the longest notice has other text for the most part.
+        self.most = 2 * max((len(words_of(t)) for t in notices.values()), default=0)
+
+    def windows(self, text: str, models: list[Templates]) -> tuple[str | None, float, str]:
+        """The best of all runs of lines without a blank line between, by the first of the best score."""
+        best, at = (None, 0.0), ""
+        run: list[tuple[str, list[str]]] = []
+        marks = set().union(*(m.marks for m in models))
+        for line in [*text.split("\n"), ""]:
+            words = words_of(line)
+            if words or re.search(r"[^\w\s]", line):
+                # A comment's empty lines are part of it.
+                run.append((line, words))
+                continue
+            hits = [bool(marks.intersection(w)) for _, w in run]
+            if any(hits):
+                for i in range(len(run)):
+                    n, held = 0, False
+                    for j in range(i, len(run)):
+                        n += len(run[j][1])
+                        if n > self.most:
+                            break
+                        held |= hits[j]
+                        # A window that starts or ends without words of its own equals a shorter one.
+                        if held and run[i][1] and run[j][1]:
+                            window = "\n".join(x for x, _ in run[i : j + 1])
+                            for m in models:
+                                found = m.best(window)
+                                if found[1] > best[1] + 1e-12:
+                                    best, at = found, window
+            run = []
+        return *best, at
+
+    def best(self, text: str, lines: Templates) -> tuple[str | None, float, str]:
+        """What states a licence beyond single lines: tags, windows of lines, the text as a licence file."""
+        tag = SPDX.search(text)
+        if tag:
+            # The whole line of the tag.
+            a, b = text.rfind("\n", 0, tag.start()) + 1, text.find("\n", tag.end())
+            return re.sub(r"(?<=\d)-(?:only|or-later)\b", "", tag[1]), 1.0, text[a : b if b >= 0 else len(text)]
+        name, score, at = self.windows(text, [lines, self.notices])
+        if self.bodies.marks.intersection(words_of(text)):
+            found = self.bodies.best(text)
+            if found[1] > score + 1e-12:
+                name, score, at = *found, text
+        return name and name.split("|")[0], score, at
+
+
+def stated_licenses(files: DataFrame, model: Templates, *, least: float = LEAST, texts: Texts | None = None) -> DataFrame:
     """``path, own, similarity, covers`` of every row of ``files(path, text)``.
 
-    ``covers`` is the share of the file's words in the line that states the licence.
+    ``covers`` is the share of the file's words in the lines that state the licence.
     """
+    texts = texts or Texts(NOTICES, license_texts(), least)
 
     def state(text: str) -> tuple[str | None, float, float]:
         if not text:
@@ -121,6 +223,10 @@ def stated_licenses(files: DataFrame, model: Templates, *, least: float = LEAST)
             found = model.best(text)
             if found[1] > best[1]:
                 best, line_of = found, text
+        if best[1] < least:
+            *found, where = texts.best(text, model)
+            if found[1] > best[1]:
+                best, line_of = tuple(found), where
         if best[1] < least:
             return None, best[1], 0.0
         return best[0], best[1], len(words_of(line_of)) / max(len(words_of(text)), 1)

@@ -8,7 +8,7 @@ import re
 import pytest
 
 from sentloom.llm.jaccard_join import allocate, jaccard_components
-from sentloom.llm.license_scan import LEAST, TEMPLATES, Templates, scan_licenses, words_of
+from sentloom.llm.license_scan import LEAST, NOTICES, TEMPLATES, Templates, license_texts, scan_licenses, words_of
 from sentloom.llm.main_text import extract, main_text, maximum_flow, minimum_cut
 from sentloom.llm.secret_scan import RULES, scan_secrets, secret_spans, trigram_query, without_secrets
 from sentloom.llm.toxicity import Model, _kept, fit, fold, score, without_toxic
@@ -257,6 +257,22 @@ def test_secret_scan_runs_no_python(odd_documents):
 # Licences
 
 
+def test_bodies_notices_tags_and_wrapped_headers(spark):
+    gnu = NOTICES["GPL-3.0|whole"].split()
+    notice = "\n".join("# " + " ".join(gnu[i : i + 11]) for i in range(0, len(gnu), 11))
+    bodies = license_texts()
+    rows = [(str(i), f"{n}/COPYING", text.replace("the copyright holders", "2024 Jo Doe"), n) for i, (n, text) in enumerate(sorted(bodies.items()))]
+    rows += [
+        ("a", "a/x.py", f"# Frob the knobs.\n#\n{notice}\n\nimport os\n" + "print(os.name)\n" * 40, "GPL-3.0"),
+        ("b", "b/x.c", "/* Licensed under the Apache\n * License, Version 2.0. */\n" + "int a = f(b, c);\n" * 40, "Apache-2.0"),
+        ("c", "c/x.c", "// SPDX-License-Identifier: GPL-2.0-only\nint a;\n", "GPL-2.0"),
+        ("d", "d/x.c", "/* SPDX-License-Identifier: (MIT OR Apache-2.0) */\nint a;\n", "MIT OR Apache-2.0"),
+        ("e", "e/x.c", "The license of this program is free to be read.\nA copy is distributed in the hope of use.\n", None),
+    ]
+    files = spark.createDataFrame([r[:3] for r in rows], "doc_id string, path string, text string")
+    assert {r["doc_id"]: r["own"] for r in scan_licenses(files).collect()} == {r[0]: r[3] for r in rows}
+
+
 def test_licenses_are_stated_and_inherited(spark):
     rows = [
         (1, "r/LICENSE", TEMPLATES["MIT"]), (2, "r/a.py", "code"), (3, "r/x/b.py", None), (4, "r/x/LICENSE.txt", "Copy\n" + TEMPLATES["GPL-3.0"]),
