@@ -157,7 +157,7 @@ class Texts:
         self.most = 2 * max((len(words_of(t)) for t in notices.values()), default=0)
 
     def windows(self, text: str, models: list[Templates]) -> tuple[str | None, float, str]:
-        """The best of all runs of lines without a blank line between, by the first of the best score."""
+        """The best of all runs of lines without a blank line between that can reach the least score, the first of equal ones."""
         best, at = (None, 0.0), ""
         run: list[tuple[str, list[str]]] = []
         marks = set().union(*(m.marks for m in models))
@@ -170,19 +170,32 @@ class Texts:
             hits = [bool(marks.intersection(w)) for _, w in run]
             if any(hits):
                 for i in range(len(run)):
+                    if not run[i][1]:
+                        continue
                     n, held = 0, False
+                    counts: Counter = Counter()
+                    # Of each model, the squared weights of all words and of those that templates have: their ratio bounds the cosine.
+                    size, inside = [0.0] * len(models), [0.0] * len(models)
                     for j in range(i, len(run)):
                         n += len(run[j][1])
                         if n > self.most:
                             break
                         held |= hits[j]
-                        # A window that starts or ends without words of its own equals a shorter one.
-                        if held and run[i][1] and run[j][1]:
-                            window = "\n".join(x for x, _ in run[i : j + 1])
-                            for m in models:
-                                found = m.best(window)
-                                if found[1] > best[1] + 1e-12:
-                                    best, at = found, window
+                        for w in run[j][1]:
+                            for x, m in enumerate(models):
+                                weight = m.idf.get(w)
+                                square = (weight or m.rare) ** 2 * (2 * counts[w] + 1)
+                                size[x] += square
+                                inside[x] += square if weight else 0.0
+                            counts[w] += 1
+                        # A window that ends without words of its own equals a shorter one.
+                        if held and run[j][1]:
+                            for x, m in enumerate(models):
+                                if inside[x] >= (self.least**2 - 1e-9) * size[x]:
+                                    window = "\n".join(t for t, _ in run[i : j + 1])
+                                    found = m.best(window)
+                                    if found[1] > best[1] + 1e-12:
+                                        best, at = found, window
             run = []
         return *best, at
 
