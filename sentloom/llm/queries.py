@@ -9,14 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentloom.llm.jaccard_join import jaccard_components
+from sentloom.llm.lexical_search import search
 from sentloom.llm.license_scan import scan_licenses
 from sentloom.llm.main_text import extract
 from sentloom.llm.multiprobe import nearest
+from sentloom.llm.pii_scan import scan_pii
 from sentloom.llm.piece_sampling import sample_segmentations
 from sentloom.llm.pivot_search import top_k
 from sentloom.llm.secret_scan import scan_secrets
 from sentloom.llm.token_codes import token_codes
 from sentloom.llm.toxicity import fit, held_out, labelled_texts, score
+from sentloom.llm.whitening import whiten
 from sentloom.llm.window_packing import pack
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -72,6 +75,18 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(_table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_table(spark, sf_dir, "embeddings"), components=4, weights="one")
+
+
+def op12_best_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op13_pii_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_pii(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -85,6 +100,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_pivot_search,
         op9_license_scan,
         op10_secret_scan,
+        op11_whitening,
+        op12_best_position,
+        op13_pii_scan,
     )
 }
 
@@ -169,4 +187,22 @@ def _rules() -> list[tuple[int, str, str, int, int]]:
     return out
 
 
-ORACLES: dict[str, str] = {"op6_jaccard_join": _OP6, "op8_pivot_search": _OP8, "op10_secret_scan": _op10()}
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+_OP12 = f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, {_TERMS} AS w FROM documents),
+q AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+total AS (SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS terms FROM d WHERE len(w) > 0),
+held AS (
+  SELECT row, doc_id, n, term, count(*) AS tf
+  FROM (SELECT row, doc_id, CAST(len(w) AS BIGINT) AS n, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM held, total GROUP BY term),
+scored AS (
+  SELECT item_id, doc_id, row,
+    CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM held JOIN weights USING (term) JOIN q USING (term), total GROUP BY item_id, doc_id, row)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10
+"""
+
+ORACLES: dict[str, str] = {"op6_jaccard_join": _OP6, "op8_pivot_search": _OP8, "op10_secret_scan": _op10(), "op12_best_position": _OP12}
