@@ -2,13 +2,18 @@
 
 The lines of a file and the file as a whole are compared with each template by the cosine of sparse TF-IDF vectors over
 words. Where neither states a licence, an SPDX tag does, or a window of lines that resembles a template or a standard
-notice, or the file as a whole if it resembles a licence text. What holds none of a template's heaviest words cannot reach the least cosine and is passed over.
+notice, or the file as a whole if it resembles a licence text. A cosine is at most the length of the part of the template's
+unit vector whose words the file holds: files, lines and windows that fall short of the least cosine by that bound, as nearly all
+do, are passed over.
 Weights come from the templates and from how many documents of the whole corpus hold each template word. The best line
 or the file as a whole states the file's own licence if its cosine reaches ``least``. A directory's licence is that
 of its licence file; a file without one of its own inherits it from the nearest directory above that has one: its
 ancestors are exploded and joined by path with the directories' licences.
 
-Defined results: a null or empty text states no licence; a null path has no directory and inherits nothing; ties between
+Files of a directory look its licence up by a join on the directory; directories with a thousandth of the files or more, at
+most a thousand of them, are joined by broadcast.
+
+Defined results: a null or empty text states no licence; a file that states none has the similarity 0; a null path has no directory and inherits nothing; ties between
 templates go to the smaller name; repeated paths keep one row each; an empty table gives no row; clashing column
 names are left as they are, as results carry the key columns only.
 """
@@ -42,6 +47,8 @@ TEMPLATES = {
     "Proprietary": "All rights reserved.",
 }
 LEAST = 0.75
+#: A directory is hot when it has this share of all files; so there are at most as many hot ones as its inverse.
+HOT_SHARE = 1 / 1000
 
 _GNU = (
     "This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} Public License as published by "
@@ -104,6 +111,12 @@ class Templates:
             v = {w: n * self.idf[w] for w, n in Counter(words_of(templates[name])).items()}
             size = math.sqrt(sum(x * x for x in v.values()))
             self.vectors[name] = {w: x / size for w, x in v.items()} if size else {}
+        self.least = least
+        #: Of each word the templates that hold it, with their squared weights.
+        self.parts: dict[str, list[tuple[str, float]]] = {}
+        for name, v in self.vectors.items():
+            for w, x in v.items():
+                self.parts.setdefault(w, []).append((name, x * x))
         # Without its heaviest words, what is left of a template is shorter than the least cosine.
         self.marks = set()
         for v in self.vectors.values():
@@ -114,6 +127,16 @@ class Templates:
                 self.marks.add(w)
                 left -= v[w] * v[w]
 
+    def reaches(self, words: set[str]) -> bool:
+        """Whether a text of these words, or of some of them, can reach the least cosine with a template."""
+        if self.marks.isdisjoint(words):
+            return False
+        held: dict[str, float] = {}
+        for w in words:
+            for name, square in self.parts.get(w, ()):
+                held[name] = held.get(name, 0.0) + square
+        return max(held.values(), default=0.0) >= self.least * self.least - 1e-9
+
     def best(self, text: str) -> tuple[str | None, float]:
         counts = Counter(words_of(text))
         # Words outside the templates weigh as much as the rarest word.
@@ -199,54 +222,57 @@ class Texts:
             run = []
         return *best, at
 
-    def best(self, text: str, lines: Templates) -> tuple[str | None, float, str]:
+    def best(self, text: str, words: set[str], lines: Templates) -> tuple[str | None, float, str]:
         """What states a licence beyond single lines: tags, windows of lines, the text as a licence file."""
         tag = SPDX.search(text)
         if tag:
             # The whole line of the tag.
             a, b = text.rfind("\n", 0, tag.start()) + 1, text.find("\n", tag.end())
             return re.sub(r"(?<=\d)-(?:only|or-later)\b", "", tag[1]), 1.0, text[a : b if b >= 0 else len(text)]
-        name, score, at = self.windows(text, [lines, self.notices])
-        if self.bodies.marks.intersection(words_of(text)):
+        models = [m for m in (lines, self.notices) if m.reaches(words)]
+        name, score, at = self.windows(text, models) if models else (None, 0.0, "")
+        if self.bodies.reaches(words):
             found = self.bodies.best(text)
             if found[1] > score + 1e-12:
                 name, score, at = *found, text
         return name and name.split("|")[0], score, at
 
 
-def stated_licenses(files: DataFrame, model: Templates, *, least: float = LEAST, texts: Texts | None = None) -> DataFrame:
-    """``path, own, similarity, covers`` of every row of ``files(path, text)``.
-
-    ``covers`` is the share of the file's words in the lines that state the licence.
-    """
-    texts = texts or Texts(NOTICES, license_texts(), least)
-
-    def state(text: str) -> tuple[str | None, float, float]:
-        if not text:
-            return None, 0.0, 0.0
-        best, line_of, held = (None, 0.0), "", False
+def state_of(text: str, model: Templates, texts: Texts, least: float) -> tuple[str | None, float, float]:
+    """The licence that a text states, its similarity, and the share of the text's words in what states it."""
+    if not text:
+        return None, 0.0, 0.0
+    words = set(words_of(text))
+    best, line_of = (None, 0.0), ""
+    if model.reaches(words):
         for line in text.split("\n"):
-            lowered = line.lower()
-            if any(m in lowered for m in model.marks) and model.marks.intersection(WORD.findall(lowered)):
-                held = True
+            if model.reaches(set(words_of(line))):
                 found = model.best(line)
                 if found[1] > best[1]:
                     best, line_of = found, line
-        if held and best[1] < least:
+        if best[1] < least:
             found = model.best(text)
             if found[1] > best[1]:
                 best, line_of = found, text
-        if best[1] < least:
-            *found, where = texts.best(text, model)
-            if found[1] > best[1]:
-                best, line_of = tuple(found), where
-        if best[1] < least:
-            return None, best[1], 0.0
-        return best[0], best[1], len(words_of(line_of)) / max(len(words_of(text)), 1)
+    if best[1] < least:
+        *found, where = texts.best(text, words, model)
+        if found[1] > best[1]:
+            best, line_of = tuple(found), where
+    if best[1] < least:
+        return None, 0.0, 0.0
+    return best[0], best[1], len(words_of(line_of)) / max(len(words_of(text)), 1)
+
+
+def stated_licenses(files: DataFrame, model: Templates, *, least: float = LEAST, texts: Texts | None = None) -> DataFrame:
+    """``path, own, similarity, covers`` of every row of ``files(path, text)``.
+
+    ``covers`` is the share of the file's words in the lines that state the licence.
+    """
+    texts = texts or Texts(NOTICES, license_texts(), least)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [state(t.as_py() or "") for t in batch["text"]]
+            found = [state_of(t.as_py() or "", model, texts, least) for t in batch["text"]]
             kept = [c for c in batch.schema.names if c != "text"]
             yield pa.record_batch(
                 [*(batch[c] for c in kept), *(pa.array([f[i] for f in found], t) for i, t in enumerate((pa.string(), pa.float64(), pa.float64())))],
@@ -275,21 +301,24 @@ def scan_licenses(
         .groupBy(directory.alias("directory"))
         .agg(F.min_by("own", F.struct("path", "own")).alias("given"))
     )
+    stated = stated.withColumn("from", F.when(F.col("own").isNull(), directory))
     # Each directory of files without a licence of their own looks up once, however many files it has.
-    asking = stated.filter(F.col("own").isNull() & F.col("path").isNotNull()).select(directory.alias("from")).distinct()
+    asking = stated.filter(F.col("from").isNotNull()).groupBy("from").agg(F.count("*").alias("files"))
     above = F.transform(F.sequence(F.lit(0), F.size(F.split("from", "/"))), lambda n: F.array_join(F.slice(F.split("from", "/"), 1, n), "/"))
-    nearest = (
-        asking.select("from", F.posexplode(F.array_distinct(above)).alias("depth", "directory"))
-        .join(of_directory, "directory")
+    nearest = stage(
+        asking.select("from", "files", F.posexplode(F.array_distinct(above)).alias("depth", "directory"))
+        .join(of_directory, "directory", "left")
         .groupBy("from")
-        .agg(F.max_by(F.struct("directory", "given"), "depth").alias("near"))
+        .agg(F.first("files").alias("files"), F.max_by(F.struct("directory", "given"), F.when(F.col("given").isNotNull(), F.col("depth"))).alias("near")),
+        "nearest-licenses",
     )
-    return (
-        stated.withColumn("from", F.when(F.col("own").isNull(), directory))
-        .join(nearest, "from", "left")
-        .select(
-            "doc_id", "path", "own", "similarity",
-            F.coalesce("own", "near.given").alias("license"),
-            F.when(F.col("own").isNull(), F.col("near.directory")).alias("inherited_from"),
-        )
+    is_hot = F.col("files") >= HOT_SHARE * stated.count()
+    hot = F.broadcast(nearest.filter(is_hot).select("from", "near"))
+    common = stated.join(hot, "from")
+    others = stated.join(hot.select("from"), "from", "left_anti").filter(F.col("from").isNotNull()).join(nearest.filter(~is_hot).select("from", "near"), "from")
+    alone = stated.filter(F.col("from").isNull())
+    columns = ["doc_id", "path", "own", "similarity"]
+    found = common.unionByName(others).select(
+        *columns, F.coalesce("own", "near.given").alias("license"), F.when(F.col("own").isNull(), F.col("near.directory")).alias("inherited_from")
     )
+    return found.unionByName(alone.select(*columns, F.col("own").alias("license"), F.lit(None).cast("string").alias("inherited_from")))
