@@ -50,6 +50,9 @@ SHARE = 80
 #: Contexts sent to all tasks; more are joined by a shuffle.
 SENT_CONTEXTS = 200_000
 SENT_BYTES = 16 << 20
+#: Parts of the corpus, as its 64th, in which words behind contexts are counted before the whole. The words that a part
+#: shows are a lower bound: it settles the contexts that have too many, most of them, and the whole is counted for the rest.
+PARTS = (64, 8)
 
 _DOC = ["doc_id", "key"]
 _CANDIDATE = len(BASE)
@@ -130,11 +133,11 @@ def apart(found: DataFrame) -> DataFrame:
     return found.withColumns({"free": free}).filter((F.col("kind") < _CANDIDATE) | F.col("free")).drop("free")
 
 
-def plain_fillers(docs: DataFrame, contexts: DataFrame) -> DataFrame:
+def plain_fillers(keyed: DataFrame, contexts: DataFrame) -> DataFrame:
     """``context, words``: how many different words without digits follow each of ``contexts(context)``."""
     # An address is a number here, so that no part of it counts as a word.
     text = F.when(F.contains("text", F.lit("@")), F.regexp_replace("text", PATTERNS[0], " 0 ")).otherwise(F.col("text"))
-    tokens = _keyed(docs).select(F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0)).alias("t")).filter(F.size("t") > 2)
+    tokens = keyed.select(F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0)).alias("t")).filter(F.size("t") > 2)
     ends = F.slice("t", F.lit(3), F.size("t") - 2)
     slots = F.transform(
         ends, lambda word, i: F.struct(F.concat_ws(" ", F.get("t", i), F.get("t", i + 1)).alias("context"), word.alias("word"))
@@ -148,6 +151,20 @@ def plain_fillers(docs: DataFrame, contexts: DataFrame) -> DataFrame:
     return kept.groupBy("context").agg(F.count("*").alias("words"))
 
 
+def filled_contexts(docs: DataFrame, hopeful: DataFrame) -> DataFrame:
+    """``context, fillers`` of those of ``hopeful(context, values, possible)`` that can still be accepted, with all their fillers."""
+    keyed = _keyed(docs)
+    for part in (*PARTS, 1):
+        some = keyed if part == 1 else keyed.filter(F.pmod("key", F.lit(part)) == 0)
+        filled = hopeful.join(plain_fillers(some, hopeful.select("context")), "context", "left").withColumn(
+            "fillers", F.col("values") + F.coalesce("words", F.lit(0))
+        )
+        hopeful = stage(filled.filter(F.col("possible") * 100 >= SHARE * F.col("fillers")).drop("words"), "pii-filled")
+        if part == 1 or hopeful.isEmpty():
+            return hopeful.select("context", "fillers")
+        hopeful = hopeful.drop("fillers")
+
+
 def accepted_patterns(docs: DataFrame, found: DataFrame) -> DataFrame:
     """``context, kind``: the accepted patterns and the base kind that most of their seeds have."""
     several = F.length(_digits(F.col("value"))) >= IDENTIFIER_DIGITS
@@ -168,12 +185,7 @@ def accepted_patterns(docs: DataFrame, found: DataFrame) -> DataFrame:
     )
     if hopeful.isEmpty():
         return hopeful.select("context", F.lit(0).alias("kind"))
-    fillers = (
-        hopeful.join(plain_fillers(docs, hopeful.select("context")), "context", "left")
-        .withColumn("fillers", F.col("values") + F.coalesce("words", F.lit(0)))
-        .filter(F.col("possible") * 100 >= SHARE * F.col("fillers"))
-        .select("context", "fillers")
-    )
+    fillers = filled_contexts(docs, hopeful)
     graph = stage(instances.join(fillers, "context").select("context", "value", "seed", "shaped", "fillers"), "pii-graph")
     positive = graph.filter("seed IS NOT NULL").select("value").distinct()
     # An identifier that is a seed anywhere counts as one everywhere.
