@@ -2,8 +2,9 @@
 
 Both vocabularies used here split at white space before they merge, so the ids of a text are the ids of its
 pieces one after another. A worker keeps the ids of the pieces it has met; texts with white space other than
-blanks and line feeds are encoded in one call instead. ``encode_bytes`` therefore returns exactly what
-``Tokenizer.encode(text, add_special_tokens=False)`` returns, with special-token strings read as ordinary text.
+blanks and line feeds, or with the string of an added token, are encoded in one call instead. ``encode_bytes`` therefore
+returns exactly what ``Tokenizer.encode(text, add_special_tokens=False)`` returns; as there, the string of an added token
+in a text is that token.
 """
 
 from __future__ import annotations
@@ -72,7 +73,8 @@ class Encoder:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # Fixed strings in both vocabularies: none is matched after normalising.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.blank_joins = self.tokenizer.encode(" a", add_special_tokens=False).ids != (
             self.tokenizer.encode("a", add_special_tokens=False).ids
         )
@@ -81,7 +83,7 @@ class Encoder:
     def encode_bytes(self, text: str) -> bytes:
         if not text:
             return b""
-        if _RARE.search(text):
+        if _RARE.search(text) or any(a in text for a in self.added):
             return self.ids.encode(text)
         if self.blank_joins:
             pieces = _BLANK_JOINED.findall(text)

@@ -7,7 +7,7 @@ tree. The minimum cut, found by maximum flow, is the cheapest labelling. Classes
 them, except where their element wraps the page's main text.
 
 Defined results: a null or empty page has an empty text; unclosed and stray tags are read as browsers do, as far as
-block bounds go; a line break is white space; repeated rows keep one row each; an empty table gives no row; other columns are
+block bounds go, in linear time; a line break is white space; repeated rows keep one row each; an empty table gives no row; other columns are
 ignored.
 """
 
@@ -65,16 +65,20 @@ NOT_ITSELF = frozenset("has with no without".split())
 BANNERS = frozenset("banner navigation complementary contentinfo search form dialog alertdialog menu menubar".split())
 
 _INSIDE = r"""(?:[^>"']|"[^"]*"|'[^']*')*+"""
+# The end of a tag. A quote that nothing closes is an ordinary character; a tag that nothing closes takes the rest of the
+# page, as in browsers. So no part of a page is read again for a tag that fails.
+_END = r"""(?:>|(?=["'])[^>]*+(?:>|\Z)|\Z)"""
 TOKEN = re.compile(
-    rf"""<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})(?=[\s/>])(?:{_INSIDE}|[^>]*)>"""
-    rf"""|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<inside>{_INSIDE})>|<[!?][^>]*>""",
+    rf"""<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})(?=[\s/>]){_INSIDE}{_END}"""
+    rf"""|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<inside>{_INSIDE}){_END}|<[!?][^>]*+(?:>|\Z)""",
     re.S | re.I,
 )
 # What ends a raw element: an end tag of its own name. Those that nest are matched outside of comments, scripts and styles.
-RAW_END = {r: re.compile(rf"</{r}(?=[\s/>])[^>]*>", re.I) for r in RAW.split("|")}
+RAW_END = {r: re.compile(rf"</{r}(?=[\s/>])[^>]*+(?:>|\Z)", re.I) for r in RAW.split("|")}
 NESTED = {
     r: re.compile(
-        rf"<!--.*?(?:-->|\Z)|<(script|style)(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)|<(?P<end>/?){r}(?=[\s/>])(?:{_INSIDE}|[^>]*)>", re.S | re.I
+        rf"<!--.*?(?:-->|\Z)|<(script|style)(?=[\s/>])[^>]*+(?:>.*?(?:</\1(?=[\s/>])[^>]*+(?:>|\Z)|\Z)|\Z)"
+        rf"|<(?P<end>/?){r}(?=[\s/>]){_INSIDE}{_END}", re.S | re.I
     )
     for r in ("svg", "template", "object")
 }

@@ -17,14 +17,12 @@ from sentloom.llm.window_packing import pack, sequences
 
 
 def ids_of(path, text):
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    return t.encode(text or "", add_special_tokens=False).ids
+    return Tokenizer.from_file(path).encode(text or "", add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("path", [WORD_BPE, BYTE_BPE])
 def test_memoised_encoding_is_the_tokenizers(path):
-    texts = ["", " ", "\n\n a", "don't  it's 'll", "a\tb c", "<|endoftext|> x", "é é Å", "x y​z", "ab,***  12a3\r\n", "İS ΣΑΣ ß"]
+    texts = ["", " ", "\n\n a", "don't  it's 'll", "a\tb c", "<|endoftext|> x", "x <|endoftext|> y<|startoftext|>", "<|ENDOFTEXT|> <|endoftext |>", "é é Å", "x y​z", "ab,***  12a3\r\n", "İS ΣΑΣ ß"]
     for text in texts:
         assert np.frombuffer(encoder(path).encode_bytes(text), "<u4").tolist() == ids_of(path, text), text
 

@@ -20,13 +20,13 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_queries_are_registered():
     assert {*QUERIES, "pipeline"} <= set(driver.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     cursor = con.execute(ORACLES[name])
     columns = [c[0] for c in cursor.description]

@@ -4,11 +4,12 @@ import collections
 import itertools
 import random
 import re
+import time
 
 import pytest
 
 from sentloom.llm.jaccard_join import allocate, jaccard_components
-from sentloom.llm.license_scan import LEAST, NOTICES, TEMPLATES, Templates, license_texts, scan_licenses, words_of
+from sentloom.llm.license_scan import LEAST, NOTICES, TEMPLATES, Templates, Texts, license_texts, scan_licenses, state_of, words_of
 from sentloom.llm.main_text import extract, main_text, maximum_flow, minimum_cut
 from sentloom.llm.secret_scan import RULES, scan_secrets, secret_spans, trigram_query, without_secrets
 from sentloom.llm.toxicity import Model, _kept, fit, fold, score, without_toxic
@@ -90,6 +91,18 @@ def test_extract_odd_pages(spark):
     assert extract(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    "odd",
+    ["<a ", "<script ", "<a \"", "<a '>", "<!", "</script ", "<svg '>", "<svg ", "<style>", "< ", "<", "<a href=\"x>y", "&", "<!-- "],
+)
+@pytest.mark.parametrize("tail", ["", "\"", ">", "<svg>"])
+def test_long_odd_pages_take_linear_time(odd, tail):
+    begin = time.process_time()
+    text = main_text(f"<p>One sentence stands here. Two.</p>{tail}" + odd * (1_000_000 // len(odd)) + tail)
+    assert time.process_time() - begin < 4
+    assert text.startswith("One sentence stands here. Two.") or not text or len(text) > 1000
+
+
 # Jaccard join
 
 
@@ -297,3 +310,38 @@ def test_marks_pass_over_no_match():
             line = " ".join(w for w in words_of(text) if rng.random() < 0.8)
             if model.best(line)[1] >= LEAST:
                 assert model.marks & set(words_of(line))
+
+
+def test_licenses_equal_an_unpruned_search():
+    """Lines, windows and whole texts without any bound."""
+    texts, model, rng = Texts(NOTICES, license_texts()), Templates(TEMPLATES, {"the": 900, "license": 30, "under": 500}, 1000), random.Random(3)
+    pool = [*TEMPLATES.values(), *NOTICES.values()]
+
+    def plain(text):
+        for parts in (text.split("\n"), [text]):
+            score = max(model.best(x)[1] for x in parts)
+            if score >= LEAST:
+                return score
+        best = 0.0
+        for run in re.split(r"\n[^\S\n]*(?=\n)", text):
+            lines = run.strip("\n").split("\n")
+            for i in range(len(lines)):
+                for j in range(i + 1, len(lines) + 1):
+                    window = "\n".join(lines[i:j])
+                    if words_of(lines[i]) and words_of(lines[j - 1]) and len(words_of(window)) <= texts.most:
+                        best = max(best, model.best(window)[1], texts.notices.best(window)[1])
+        return max(best, texts.bodies.best(text)[1])
+
+    stated = 0
+    for _ in range(150):
+        words = rng.choice(pool).split()
+        words = [w for w in words if rng.random() < rng.choice((0.75, 0.9, 1.0))]
+        width = rng.randint(3, 12)
+        lines = ["# " + " ".join(words[i : i + width]) for i in range(0, len(words), width)]
+        lines = ["code here of it"] * rng.randint(0, 2) + [""] * rng.randint(0, 1) + lines + [""] * rng.randint(0, 1) + ["more code"] * rng.randint(0, 3)
+        text = "\n".join(lines)
+        want = plain(text)
+        name, score, _ = state_of(text, model, texts, LEAST)
+        assert score == pytest.approx(want if want >= LEAST else 0.0, abs=1e-9)
+        stated += name is not None
+    assert 30 < stated < 150
