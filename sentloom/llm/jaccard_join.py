@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentloom.llm.worker import kept, small_batches
@@ -34,8 +34,8 @@ from sentloom.session import stage
 BAND_RATIO = 1.5
 #: Members of a list compared at once.
 CHUNK = 1024
-#: Buckets of a set's print for each difference that a pair may have.
-PRINT = 4
+#: Buckets of a set's print for each difference that a pair may have, and the least number of buckets.
+PRINT, LEAST_PRINT = 2, 16
 #: Ids of documents whose sets are compared that are sent to the tasks; more are joined by a shuffle of the texts.
 SENT_IDS = 1_000_000
 #: Cost of verifying a pair, in index rows.
@@ -182,12 +182,20 @@ def _signatures(h: np.ndarray, firsts: np.ndarray, use: np.ndarray, band: int, p
     return np.concatenate(sig).view(np.int64), np.concatenate(owner)
 
 
-def set_print(shingles: np.ndarray, buckets: int) -> bytes:
-    """One byte for each bucket of shingles. Sets differ in as many shingles as their prints in bytes, or more."""
-    at = ((_mix(shingles + np.uint64(13)) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-    sums = np.zeros(buckets, np.uint64)
-    np.add.at(sums, at, _mix(shingles + np.uint64(17)))
-    return (sums >> np.uint64(56)).astype(np.uint8).tobytes()
+def set_prints(shingles: np.ndarray, firsts: np.ndarray, buckets: np.ndarray) -> pa.Array:
+    """Four bits for each bucket of a set's shingles. Sets differ in as many shingles as their prints in buckets, or more.
+
+    ``buckets``: an even number for each set.
+    """
+    ends = np.cumsum(buckets)
+    owner = np.repeat(np.arange(len(buckets)), np.diff(firsts))
+    at = ((_mix(shingles + np.uint64(13)) >> np.uint64(32)) * buckets[owner].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
+    sums = np.zeros(ends[-1] if len(ends) else 0, np.uint64)
+    np.add.at(sums, at + (ends - buckets)[owner], _mix(shingles + np.uint64(17)))
+    offsets = np.concatenate([[0], ends // 2]).astype(np.int32)
+    bits = (sums >> np.uint64(60)).astype(np.uint8)
+    data = bits[0::2] << 4 | bits[1::2]
+    return pa.Array.from_buffers(pa.binary(), len(buckets), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())])
 
 
 def close_pairs(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
@@ -210,7 +218,8 @@ def close_pairs(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterat
             fits = (component[y] != component[x]) & (den * np.minimum(size[y], size[x]) >= num * np.maximum(size[y], size[x]))
             y, allowed = y[fits], (total - 2 * least)[fits]
             if len(y):
-                y = y[(shown[y] != shown[x]).sum(axis=1) <= allowed]
+                other = shown[y] ^ shown[x]
+                y = y[np.count_nonzero(other & 0xF0, axis=1) + np.count_nonzero(other & 0x0F, axis=1) <= allowed]
                 out_a.append(np.full(len(y), node[x]))
                 out_b.append(node[y])
         a = np.concatenate([np.zeros(0, np.int64), *out_a])
@@ -232,6 +241,21 @@ def close_pairs(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterat
         yield pairs(pa.Table.from_batches(held))
 
 
+def not_far_apart(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """The pairs ``a, b`` of rows with sizes and prints of one length whose prints leave the threshold open."""
+    for batch in batches:
+        total = batch["a_size"].to_numpy() + batch["b_size"].to_numpy()
+        allowed = total - 2 * -(-num * total // (num + den))
+        ends = [batch[c].cast(pa.large_binary()) for c in ("a_print", "b_print")]
+        bounds = np.frombuffer(ends[0].buffers()[1], np.int64)[ends[0].offset : ends[0].offset + len(total) + 1]
+        x, y = (np.frombuffer(e.buffers()[2] or b"", np.uint8) for e in ends)
+        start = np.frombuffer(ends[1].buffers()[1], np.int64)[ends[1].offset]
+        other = x[bounds[0] : bounds[-1]] ^ y[start : start + bounds[-1] - bounds[0]]
+        sums = np.concatenate([[0], np.cumsum(((other & 0xF0) > 0).astype(np.int64) + ((other & 0x0F) > 0))])
+        near = sums[bounds[1:] - bounds[0]] - sums[bounds[:-1] - bounds[0]] <= allowed
+        yield pa.record_batch([batch[c] for c in ("a", "b")], names=["a", "b"]).filter(pa.array(near))
+
+
 def let_go(spark: SparkSession) -> None:
     """Ask the driver to drop what is no longer referred to: shuffle files of finished steps are deleted only then."""
     gc.collect()
@@ -274,18 +298,24 @@ def connect(links: DataFrame) -> DataFrame:
             return labels
 
 
-def jaccard_components(docs: DataFrame, *, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row of ``docs(doc_id, text)``.
+def jaccard_components(docs: DataFrame, *, n: int = 5, num: int = 80, den: int = 100, keyed: bool = False) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row of ``docs(doc_id, text)``, and with ``keyed`` its :func:`text_key`.
 
     Documents link when ``den * |A & B| >= num * |A | B|`` for their sets of ``n``-word shingles.
     """
     with small_batches(docs.sparkSession):
-        return _components(docs, n, num, den)
+        found = _components(docs, n, num, den)
+    return found if keyed else found.drop("key")
+
+
+def text_key() -> Column:
+    """What tells rows of one ``doc_id`` with different texts apart."""
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
 def _components(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), text_key().alias("key"))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept("jaccard")
@@ -294,19 +324,27 @@ def _components(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
                 yield pa.record_batch(
                     {
                         "doc_id": batch["doc_id"].slice(at, len(firsts) - 1),
+                        "key": batch["key"].slice(at, len(firsts) - 1),
                         "n_shingles": pa.array(np.diff(firsts)),
                         "node": pa.array(set_nodes(h, firsts)),
                     }
                 )
 
-    measured = stage(docs.mapInArrow(measure, "doc_id long, n_shingles long, node long"), "shingle-counts")
+    measured = stage(docs.mapInArrow(measure, "doc_id long, key long, n_shingles long, node long"), "shingle-counts")
     largest = measured.agg(F.max("n_shingles")).first()[0] or 0
     ranges = bands(largest)
     lows = [low for low, _ in ranges]
+    # A print has PRINT buckets for each difference that two sets of the band's least size may have.
+    buckets = np.array([2 * max(LEAST_PRINT // 2, PRINT * low * (den - num) // (den + num)) for low in lows], np.int64)
+
+    def band_of(size: str) -> Column:
+        """The place of a size among the bands, from 1."""
+        return F.size(F.filter(F.array(*(F.lit(low).cast("long") for low in lows)), lambda low: low <= F.col(size)))
+
     # One row per band: its number of sets.
     histogram = (
         measured.filter("n_shingles > 0")
-        .groupBy(F.expr(f"size(filter(array({', '.join(f'{x}L' for x in lows)}), x -> x <= n_shingles))").alias("band"))
+        .groupBy(band_of("n_shingles").alias("band"))
         .count()
         .collect()
         if ranges
@@ -383,20 +421,26 @@ def _components(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     origins = measured.join(members.select("node").distinct(), "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
 
     def list_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sets of the chosen documents. Rows that repeat an id can give a set twice, which changes no link."""
+        """Sets of the chosen documents with their prints, for lists of their own band and of the one below.
+
+        Rows that repeat an id can give a set twice, which changes no link.
+        """
         seen: set[int] = set()
         for batch in batches:
             for _, h, firsts in shingle_sets(batch["text"], n):
                 nodes = set_nodes(h, firsts)
                 new = np.array([i for i, x in enumerate(nodes.tolist()) if not (x in seen or seen.add(x))], np.int64)
                 lists = pa.LargeListArray.from_arrays(pa.array(firsts), pa.array(h.view(np.int64))).cast(pa.list_(pa.int64()))
-                yield pa.record_batch({"node": pa.array(nodes[new]), "shingles": lists.take(pa.array(new))})
+                band = np.searchsorted(lows, np.diff(firsts), "right") - 1
+                own, below = (set_prints(h, firsts, np.where(band < 0, 2, buckets[np.maximum(band - k, 0)])) for k in (0, 1))
+                columns = {"shingles": lists, "own": own, "below": below}
+                yield pa.record_batch({"node": pa.array(nodes[new]), **{c: x.take(pa.array(new)) for c, x in columns.items()}})
 
     origins = stage(origins.select(F.col("doc_id").alias("origin")), "origins")
     if origins.count() <= SENT_IDS:
         origins = F.broadcast(origins)
     taken = docs.join(origins, F.col("doc_id").eqNullSafe(F.col("origin")), "left_semi")
-    sets = stage(taken.mapInArrow(list_sets, "node long, shingles array<long>"), "shingle-sets")
+    sets = stage(taken.mapInArrow(list_sets, "node long, shingles array<long>, own binary, below binary"), "shingle-sets")
 
     # The member that shares most lists with others stands in the middle of its near copies.
     weights = members.groupBy("node").agg(F.sum("n").alias("weight"))
@@ -412,9 +456,17 @@ def _components(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
         members.join(heads.join(weights.withColumnRenamed("node", "a"), "a"), "sig")
         .filter(fitting & (F.col("a") != F.col("node")))
         .groupBy(F.col("node").alias("b"))
-        .agg(F.max_by("a", F.struct("weight", "a")).alias("a"))
+        .agg(F.first("size").alias("b_size"), F.max_by(F.struct("a", "a_size"), F.struct("weight", "a")).alias("head"))
+        .select("head.*", "b", "b_size")
+        .withColumn("band", F.least(band_of("a_size"), band_of("b_size")))
     )
-    links = stage(links_of(first, sets, num, den), "links")
+    for side in ("a", "b"):
+        print_of = F.when(band_of(f"{side}_size") == F.col("band"), F.col("own")).otherwise(F.col("below"))
+        shown = sets.select(F.col("node").alias(side), "own", "below")
+        first = first.join(shown, side).withColumn(f"{side}_print", print_of).drop("own", "below")
+    # The prints leave few pairs, which are sent to the sets instead of the sets being shuffled.
+    near = stage(first.mapInArrow(lambda batches: not_far_apart(batches, num, den), "a long, b long"), "pairs")
+    links = stage(links_of(near, sets, num, den), "links")
     let_go(spark)
     joined = connect(links)
     let_go(spark)
@@ -428,30 +480,25 @@ def _components(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
         .select("sig")
     )
 
-    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            buckets = [max(1, PRINT * (2 * x) * (den - num) // (den + num)) for x in batch["least"].to_pylist()]
-            made = [set_print(t.values.to_numpy().view(np.uint64), m) for t, m in zip(batch["shingles"], buckets, strict=True)]
-            others = [c for c in batch.schema.names if c not in ("least", "shingles")]
-            yield pa.record_batch([batch[c] for c in others] + [pa.array(made, pa.binary())], names=[*others, "print"])
-
     chunks = F.ceil(F.col("n") / CHUNK).cast("int")
     compared = (
         placed.join(apart, "sig", "left_semi")
         .withColumn("mine", F.pmod(F.hash("node"), chunks))
-        .select("sig", "node", "size", "component", "least", "mine", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("other"))
-        .join(sets, "node")
+        # The members of a list lie in its band, that of its least member, or in the one above.
+        .withColumn("print_of", F.when(band_of("size") == band_of("least"), 0).otherwise(1))
+        .select("sig", "node", "size", "component", "print_of", "mine", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("other"))
+        .join(sets.select("node", "own", "below"), "node")
         .select(
             "sig", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
-            F.when(F.col("mine") > F.col("other"), 1).otherwise(0).alias("side"), "node", "size", "component", "least", "shingles",
+            F.when(F.col("mine") > F.col("other"), 1).otherwise(0).alias("side"), "node", "size", "component",
+            F.when(F.col("print_of") == 0, F.col("own")).otherwise(F.col("below")).alias("print"),
         )
-        .mapInArrow(prints, "sig long, i int, j int, side int, node long, size long, component long, print binary")
         .repartition("sig", "i", "j")
         .sortWithinPartitions("sig", "i", "j", "side")
         .mapInArrow(lambda batches: close_pairs(batches, num, den), "a long, b long")
         .distinct()
     )
-    more = stage(links_of(compared, sets, num, den), "links")
+    more = stage(links_of(stage(compared, "pairs"), sets, num, den), "links")
     if not more.isEmpty():
         joined = connect(links.union(more))
 
@@ -459,5 +506,5 @@ def _components(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     # Only the linked nodes and the copies meet here; empty sets stay alone.
     least = of_document.filter("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     return of_document.join(least, "component", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "key"
     )
