@@ -41,7 +41,7 @@ def translate_lexicon(labelled: DataFrame, lexicon: DataFrame, ship: bool | None
 
 
 @contextmanager
-def _deadline(seconds: float | None) -> Iterator[None]:
+def deadline(seconds: float | None) -> Iterator[None]:
     """Raise ``TimeoutError`` in the block after ``seconds``; needs the main thread of the worker."""
     if not seconds:
         yield
@@ -67,7 +67,7 @@ def _translate_one(model: Translator, batch: pa.Table, deadline_s: float | None)
         batch[name].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(rows, -1)
         for name in ("input_ids", "attention_mask")
     )
-    with _deadline(deadline_s):
+    with deadline(deadline_s):
         outputs = [np.asarray(sequence, dtype=np.int32) for sequence in model(ids, mask)]
     if len(outputs) != rows:
         raise ValueError(f"translator returned {len(outputs)} sequences for {rows} rows")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import datetime
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,16 +55,35 @@ def retire_inputs(spark: SparkSession, root: str, kind: str, committed: DataFram
     return removed
 
 
+def delete_files(files: DataFrame, tasks: int = 64) -> DataFrame:
+    """Delete the files of ``files(file_path, …)`` in tasks: their rows with ``removed``, false where the file was gone before."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            removed = []
+            for uri in batch["file_path"].to_pylist():
+                where, path = fs.FileSystem.from_uri(uri)
+                there = where.get_file_info(path).type == fs.FileType.File
+                if there:
+                    where.delete_file(path)
+                removed.append(there)
+            yield pa.record_batch({"file_path": batch["file_path"], "removed": pa.array(removed)})
+
+    return files.select("file_path").repartition(tasks, "file_path").mapInArrow(run, "file_path string, removed boolean")
+
+
 def committed_shards(spark: SparkSession, path: str, kept: bool = False) -> DataFrame:
     """``node, shard`` of a finished flat output without unresolved rows.
 
-    A row is resolved when its ``status`` is ``ok``, or, with ``kept``, when the output holds its ``input_ids`` too, so
-    that it can be translated later. An output without ``status`` has no unresolved rows.
+    A row is resolved when its ``status`` is ``ok``, or, with ``kept``, when the output holds its ``input_ids`` or, where the
+    tokenizer failed, its sentence, so that it can be translated later. An output without ``status`` has no unresolved rows.
     """
     rows = spark.read.parquet(path)
     resolved = F.col("status") == "ok" if "status" in rows.columns else F.lit(True)
     if kept and "input_ids" in rows.columns:
         resolved = resolved | F.col("input_ids").isNotNull()
+        if "untokenized" in rows.columns:
+            resolved = resolved | F.col("untokenized").isNotNull()
     return (
         rows.groupBy(F.col("node").cast("long").alias("node"), "shard")
         .agg(F.bool_and(F.coalesce(resolved, F.lit(False))).alias("resolved"))
