@@ -49,6 +49,24 @@ def sentence_counts(split: DataFrame) -> DataFrame:
     return split.groupBy("id").agg(F.sum("n_sentences").alias("n_sentences"))
 
 
+def skip_done_files(docs: DataFrame, log: DataFrame, compat: bool = False) -> DataFrame:
+    """Rows still to do of ``docs(file_no, row, …)`` under ``log(file_no, done_rows, batch_id)``.
+
+    The log only grows: the newest row of a file tells how many of its rows are done; a file without one is still to do as a
+    whole. ``compat`` processes the last done row again in the first file that is not finished, as the rule this
+    replaces does.
+    """
+    newest = log.groupBy("file_no").agg(F.max_by("done_rows", F.struct("batch_id", "done_rows")).alias("done_rows"))
+    marked = docs.join(newest, "file_no", "left").withColumn("done_rows", F.coalesce("done_rows", F.lit(0)))
+    rest = marked.where(F.col("row") >= F.col("done_rows"))
+    if compat:
+        # One number; the files before it are done.
+        first = rest.agg(F.min("file_no").alias("first"))
+        again = marked.join(first, F.col("file_no") == F.col("first")).where((F.col("row") == F.col("done_rows") - 1)).drop("first")
+        rest = rest.unionByName(again)
+    return rest.select(docs.columns)
+
+
 def skip_done(docs: DataFrame, done_rows: int, compat: bool = False) -> DataFrame:
     """Rows still to do when ``done_rows`` rows of the file are done.
 

@@ -16,6 +16,7 @@ from sentloom.constants import FIRST_TOKEN_ID, PAD_ID
 from sentloom.functions.names import node_of
 from sentloom.operators import tokens as tk
 from sentloom.operators.batches import accepted, assign_batches
+from sentloom.operators.callables import CallableTokenizer
 from sentloom.operators.regroup import regroup
 from sentloom.operators.sentences import split_documents
 from sentloom.operators.shards import locate, shard_meta, shard_sentences, shard_watermarks
@@ -67,6 +68,27 @@ def load_faltering():
     return run
 
 
+def load_measuring():
+    """A tokenizer that states the length of a sentence and its number of blanks."""
+    return lambda texts: [[FIRST_TOKEN_ID + len(t) % 1000, FIRST_TOKEN_ID + t.count(" ")] for t in texts]
+
+
+def load_refusing():
+    """The same, but it fails on every batch that has an ñ in it."""
+    measure = load_measuring()
+
+    def run(texts: list[str]) -> list[list[int]]:
+        if any("ñ" in t for t in texts):
+            raise RuntimeError("refused")
+        return measure(texts)
+
+    return run
+
+
+def load_spelling():
+    return lambda sequences: [" ".join(map(str, ids)) for ids in sequences]
+
+
 class Fixtures:
     """Derived tables of one input folder."""
 
@@ -176,6 +198,30 @@ class Fixtures:
         prepare_stream(self.spark, source, out, checkpoint, SHARD_SIZE, max_files=2)
         return out
 
+    @cached_property
+    def whole_root(self) -> str:
+        """Whole documents, nested by the shard they begin in."""
+        root = new_path(self.spark, "json")
+        write_payloads(nest_documents(regroup(self.decoded, self.meta)), root, "output", NODES)
+        return root
+
+    @cached_property
+    def refused(self) -> DataFrame:
+        """Token rows of a tokenizer that refuses some sentences."""
+        sentences = self.sentences.withColumn("entities", F.create_map().cast("map<string,string>"))
+        return stage(CallableTokenizer(load_refusing).encode(sentences), "refused")
+
+    @cached_property
+    def streamed_tokens_root(self) -> str:
+        """Output of a streamed prepare with its tokens, a file per micro-batch."""
+        source, out, checkpoint = (new_path(self.spark, name) for name in ("corpus", "prepared", "checkpoint"))
+        corpus(self.spark, self.sf_dir).drop("file_no", "row").coalesce(3).write.parquet(source)
+        prepare_stream(
+            self.spark, source, out, checkpoint, SHARD_SIZE, max_files=1, tokenizer=CallableTokenizer(load_measuring),
+            languages=("eng_Latn", "hin_Deva"), batch_size=TOKENIZE_BATCH,
+        )
+        return out
+
     def done_shards(self) -> DataFrame:
         """Shards with a finished output in the planning queries: all up to 7, then every third."""
         return self.sentences.select("shard").distinct().where("shard <= 7 or shard % 3 = 0")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sentloom.constants import MAX_PAD, MAX_TOKENS
+from sentloom.constants import MAX_PAD, MAX_TOKENS, VOCAB_SIZE
 from sentloom.plans.fixtures import BATCH_SIZE, DEVICES, NODES, SHARD_SIZE, SMALL_PAD, TOKENIZE_BATCH
 from sentloom.plans.queries import SRC_LANG, TGT_LANG
 
@@ -171,6 +171,8 @@ STEPS: dict[str, tuple[tuple[str, ...], str]] = {
     "tagged": (("shards",), f"SELECT shard, pos, id, '{PREFIX} '||{_masked('sentence')} AS sentence FROM shards"),
     "tagged_vocab": (("tagged",), _vocab("tagged")),
     "prepared": (("tagged", "tagged_vocab"), _encode("tagged", "tagged_vocab")),
+    "tagged_top": (("tagged",), _vocab("tagged") + f" QUALIFY token_id < {4 + VOCAB_SIZE}"),
+    "prepared_top": (("tagged", "tagged_top"), _encode("tagged", "tagged_top")),
     "prepared_labelled": (("prepared",), _labelled(BATCH_SIZE, MAX_PAD, DEVICES, "prepared")),
     "done": (("shards",), "SELECT DISTINCT shard FROM shards WHERE shard <= 7 OR shard % 3 = 0"),
 }
@@ -201,6 +203,8 @@ def _padded(ids: str = "ids", pad: int = 1) -> str:
 
 
 ONES = "list_transform(ids, lambda x: 1)"
+MEASURED = "(4 + length(sentence) % 1000)||' '||(4 + length(sentence) - length(replace(sentence, ' ', '')))"
+REFUSED = "contains(sentence, 'ñ')"
 
 ORACLES: dict[str, str] = {
     "s1_scan_corpus": _sql(f"SELECT id, text, {META} FROM docs", "docs"),
@@ -489,4 +493,43 @@ ORACLES: dict[str, str] = {
     "u2_quarantine_replayed": _sql(f"SELECT shard, pos, id, {_text('out', 'output_ids')} FROM whole", "whole"),
     "c3_regroup_shard_scope": _sql(f"SELECT shard, island, uuid, text, {META} FROM pieces_out", "pieces_out"),
     "c4_publish": _sql(f"SELECT uuid, text, {META} FROM pieces_out WHERE shard % {NODES} <= 1", "pieces_out"),
+    "s6_progress_per_file": _sql(
+        "SELECT CAST(4 AS BIGINT) AS files, (SELECT count(*) FROM docs) AS done_rows, count(*) AS sentences FROM sent", "sent", "docs"
+    ),
+    "k2_write_whole_documents": _sql(
+        f"SELECT shard % {NODES} AS node, shard, CAST(row_number() OVER (PARTITION BY shard ORDER BY row_no) - 1 AS INTEGER) AS place, uuid, t.text, {META} "
+        "FROM (SELECT id AS uuid, min(shard) AS shard, string_agg(sentence, chr(10) ORDER BY shard, pos) AS text FROM decoded GROUP BY id) t "
+        "JOIN docs ON docs.id = uuid", "decoded", "docs",
+    ),
+    "p3_resume_per_file": _sql(
+        'SELECT file_no, row_no AS "row", id FROM docs4 JOIN (SELECT file_no, count(*) AS n FROM docs4 GROUP BY file_no) USING (file_no) '
+        "WHERE file_no = 3 OR row_no >= n // (file_no + 2)", "docs4",
+    ),
+    "u3_callable_tokenizer": _sql(f"SELECT shard, pos, id, {MEASURED} AS input_ids FROM shards", "shards"),
+    "u2_failed_tokenizing": _sql(
+        f"SELECT shard, pos, CASE WHEN {REFUSED} THEN 'failed' ELSE 'ok' END AS token_status, "
+        f"CASE WHEN {REFUSED} THEN 'RuntimeError: refused' END AS token_error, CASE WHEN NOT {REFUSED} THEN {MEASURED} END AS input_ids, "
+        f"CASE WHEN {REFUSED} THEN sentence END AS untokenized FROM shards", "shards",
+    ),
+    "u2_retokenized": _sql(f"SELECT shard, pos, id, {MEASURED} AS input_ids FROM shards", "shards"),
+    "u2_untokenized_documents": _sql(
+        f"SELECT id AS uuid, count_if({REFUSED}) = 0 AS complete, count_if({REFUSED}) AS missing_sentences, "
+        f"CAST(count_if(NOT {REFUSED}) AS INTEGER) AS sentences FROM shards GROUP BY id", "shards",
+    ),
+    "x1_drain_payloads": _sql(
+        "SELECT shard, pos, 'ok' AS status, array_to_string(list_transform(ids, lambda x: " + NEIGHBOUR + "), ' ') AS output_ids "
+        "FROM encoded", "encoded",
+    ),
+    "x5_stream_tokens": _sql(
+        f"SELECT t.id, sent_idx, {MEASURED.replace('sentence', 't.sentence')} AS input_ids FROM tagged t JOIN "
+        "(SELECT shard, pos, sent_idx FROM shards) USING (shard, pos)", "tagged", "shards",
+    ),
+    "c1_prepare_bounded": _sql(
+        f"SELECT shard, shard % {NODES} AS node, pos, pos // {TOKENIZE_BATCH} AS batch_id, id, {_text('ids', 'input_ids')} "
+        "FROM prepared_top", "prepared_top",
+    ),
+    "f7_method": _sql("SELECT id, sent_idx, sentence FROM sent", "sent"),
+    "c4_publish_and_retire": _sql(
+        f"SELECT uuid, CASE WHEN shard % {NODES} <= 1 THEN 'published' ELSE 'kept' END AS state FROM pieces_out", "pieces_out"
+    ),
 }

@@ -9,11 +9,12 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentloom.constants import MAX_PAD, MAX_TOKENS, UNK_ID
+from sentloom.constants import MAX_PAD, MAX_TOKENS, UNK_ID, VOCAB_SIZE
 from sentloom.functions import arrays as ar
 from sentloom.functions import names as nm
 from sentloom.functions import text as tx
 from sentloom.operators import batches as ba
+from sentloom.operators import callables as ca
 from sentloom.operators import checks as ck
 from sentloom.operators import regroup as rg
 from sentloom.operators import sentences as se
@@ -26,7 +27,7 @@ from sentloom.operators.rows import zip_shortest
 from sentloom.plans import jobs, work
 from sentloom.plans.fixtures import (
     BATCH_SIZE, DEVICES, FILES, NODES, SHARD_SIZE, SMALL_PAD, TOKENIZE_BATCH, corpus, fixtures, lexicon_of,
-    load_faltering, load_reversing,
+    load_faltering, load_measuring, load_refusing, load_reversing, load_spelling,
 )
 from sentloom.session import new_path, stage
 from sentloom.sources import corpus as co
@@ -34,8 +35,8 @@ from sentloom.sources import payloads as pl
 from sentloom.sources import shards as rd
 from sentloom.sources.schemas import TOKENIZED
 from sentloom.sources.sinks import committed_shards, publish_rows, retire_inputs, write_payloads, write_rows
-from sentloom.streaming.drain import drain, drained
-from sentloom.streaming.prepare import filled_sentences
+from sentloom.streaming.drain import drain, drain_payloads, drained
+from sentloom.streaming.prepare import file_progress, filled_sentences, filled_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -120,6 +121,13 @@ def s6_progress(spark, sf_dir):
     return rd.progress(spark, fixtures(spark, sf_dir).streamed_root).agg(*[F.max(c).alias(c) for c in counts])
 
 
+@query
+def s6_progress_per_file(spark, sf_dir):
+    """The log of the files that a streamed prepare has read."""
+    log = file_progress(spark, fixtures(spark, sf_dir).streamed_root)
+    return log.agg(F.countDistinct("file_path").alias("files"), *[F.sum(c).alias(c) for c in ("done_rows", "sentences")])
+
+
 # Sinks, read back
 
 
@@ -145,6 +153,14 @@ def k2_write_documents(spark, sf_dir):
     return merged.select("node", "shard", "row", F.size("uuid").cast("long").alias("documents"))
 
 
+@query
+def k2_write_whole_documents(spark, sf_dir):
+    """Documents that cross shards, written once as a whole and read back."""
+    merged = rd.read_payloads(spark, fixtures(spark, sf_dir).whole_root, "output")
+    rows = merged.select("node", "shard", F.posexplode(F.arrays_zip("text", "uuid", "meta_data")).alias("place", "d"))
+    return rows.select("node", "shard", "place", F.col("d.uuid").alias("uuid"), F.array_join("d.text", "\n").alias("text"), *flat_meta("d.meta_data"))
+
+
 @query
 def k4_retire_inputs(spark, sf_dir):
     """Shards that remain after those with a finished output are deleted."""
@@ -199,6 +215,16 @@ def p3_resume_skip(spark, sf_dir):
     return exact.unionByName(se.skip_done(docs, 20, compat=True).withColumn("rule", F.lit("compat")))
 
 
+@query
+def p3_resume_per_file(spark, sf_dir):
+    """A log with several rows per file, the newest counts; the last file has none."""
+    docs = corpus(spark, sf_dir, FILES)
+    counts = docs.groupBy("file_no").agg(F.count("*").alias("n")).where(F.col("file_no") < FILES - 1)
+    done = F.when(F.col("batch_id") == 2, F.floor(F.col("n") / (F.col("file_no") + 2))).otherwise(F.lit(1)).cast("long")
+    log = counts.select("file_no", "n", F.explode(F.array(F.lit(1), F.lit(2))).alias("batch_id")).withColumn("done_rows", done)
+    return se.skip_done_files(docs, log).select("file_no", "row", "id")
+
+
 @query
 def p4_node_filter(spark, sf_dir):
     rows = spark.read.parquet(fixtures(spark, sf_dir).token_rows).where(F.col("node").between(1, 2))
@@ -542,6 +568,12 @@ def f6_conversation_sentences(spark, sf_dir):
     return se.sentences(turns).select("file_no", "row", "sent_idx", "sentence")
 
 
+@query
+def f7_method(spark, sf_dir):
+    """Sentences of a method given by its name."""
+    return se.sentences(corpus(spark, sf_dir), method="regex").select("id", "sent_idx", "sentence")
+
+
 @query
 def f8_shard_of_path(spark, sf_dir):
     tokens = fixtures(spark, sf_dir).tokens
@@ -710,9 +742,56 @@ def u2_failed_batches(spark, sf_dir):
     )
 
 
+# Tokenizers given as functions
+
+
+@query
+def u3_callable_tokenizer(spark, sf_dir):
+    tokens = ca.CallableTokenizer(load_measuring).encode(fixtures(spark, sf_dir).sentences)
+    return tokens.select("shard", "pos", "id", joined("input_ids"))
+
+
+@query
+def u2_failed_tokenizing(spark, sf_dir):
+    """Only the sentences that are refused are set aside, not their batches."""
+    return fixtures(spark, sf_dir).refused.select("shard", "pos", "token_status", "token_error", joined("input_ids"), "untokenized")
+
+
+@query
+def u2_retokenized(spark, sf_dir):
+    """What was set aside is encoded again by another tokenizer, and nothing is lost."""
+    refused = fixtures(spark, sf_dir).refused
+    again = ca.CallableTokenizer(load_measuring).encode(ca.retokenizable(refused))
+    kept = ["shard", "pos", "id", joined("input_ids")]
+    return refused.where("token_status = 'ok'").select(*kept).unionByName(again.select(*kept))
+
+
+@query
+def u2_untokenized_documents(spark, sf_dir):
+    """Every document on the way back, with the sentences that its tokenizer refused counted."""
+    fx = fixtures(spark, sf_dir)
+    tokenizer = ca.CallableTokenizer(load_refusing, load_spelling)
+    translated = jobs.translate_shards(fx.refused, load_reversing, BATCH_SIZE, None)
+    documents = jobs.regroup_shards(translated, fx.meta, tokenizer, SRC_LANG, TGT_LANG)
+    return documents.select("uuid", "complete", "missing_sentences", F.size("text").alias("sentences"))
+
+
 # Streams
 
 
+@query
+def x1_drain_payloads(spark, sf_dir):
+    """Nested shards in JSON that arrive in two parts, each drained once."""
+    fx = fixtures(spark, sf_dir)
+    root, out, checkpoint = (new_path(spark, name) for name in ("inbox", "drained", "checkpoint"))
+    lexicon = fx.lexicon
+    for arrived in ("shard % 2 = 0", "shard % 2 = 1"):
+        some = rd.read_tokens(spark, fx.tokenized_root).where(arrived).drop("node")
+        write_payloads(some, root, "tokenized", NODES, mode="append")
+        drain_payloads(spark, root, "tokenized", out, checkpoint, lambda batch: jobs.translate_shards(batch, lexicon, BATCH_SIZE, None))
+    return drained(spark, out).select("shard", "pos", "status", joined("output_ids"))
+
+
 @query
 def x1_drain(spark, sf_dir):
     """Two runs of a drain, the second after more shards have arrived."""
@@ -749,13 +828,19 @@ def x5_streamed_sentences(spark, sf_dir):
     return filled_sentences(spark, fixtures(spark, sf_dir).streamed_root, finished=True).select("id", "sent_idx", "sentence")
 
 
+@query
+def x5_stream_tokens(spark, sf_dir):
+    """Tokens of a streamed prepare, whatever the order in which the files arrived."""
+    return filled_tokens(spark, fixtures(spark, sf_dir).streamed_tokens_root, finished=True).select("id", "sent_idx", joined("input_ids"))
+
+
 # Jobs
 
 
-def _prepared(spark: SparkSession, sf_dir: str, max_length: int | None = MAX_TOKENS) -> jobs.Prepared:
+def _prepared(spark: SparkSession, sf_dir: str, max_length: int | None = MAX_TOKENS, max_size: int | None = None) -> jobs.Prepared:
     return jobs.prepare(
         corpus(spark, sf_dir), SRC_LANG, TGT_LANG, SHARD_SIZE, TOKENIZE_BATCH, NODES, bucket_rows=128,
-        max_length=max_length, max_size=None,
+        max_length=max_length, max_size=max_size,
     )
 
 
@@ -765,6 +850,13 @@ def c1_prepare(spark, sf_dir):
     return tokens.select("shard", "node", "pos", "batch_id", "id", joined("input_ids"))
 
 
+@query
+def c1_prepare_bounded(spark, sf_dir):
+    """The same with the default bound of the vocabulary."""
+    tokens = _prepared(spark, sf_dir, max_size=VOCAB_SIZE).tokens
+    return tokens.select("shard", "node", "pos", "batch_id", "id", joined("input_ids"))
+
+
 @query
 def c2_translate(spark, sf_dir):
     prepared = _prepared(spark, sf_dir)
@@ -814,3 +906,15 @@ def c4_publish(spark, sf_dir):
     root = fixtures(spark, sf_dir).merged_root
     path = jobs.publish(spark, root, 0, 1, new_path(spark, "published"), "part", datetime(2024, 1, 1))
     return spark.read.parquet(path).select("uuid", lines("text"), *flat_meta("meta_data"))
+
+
+@query
+def c4_publish_and_retire(spark, sf_dir):
+    """Documents of the published nodes, and those in the files that are left."""
+    root, dest = new_path(spark, "merged"), new_path(spark, "published")
+    write_payloads(rd.read_payloads(spark, fixtures(spark, sf_dir).merged_root, "output").drop("node"), root, "output", NODES)
+    path = jobs.publish_and_retire(spark, root, 0, 1, dest, "part", datetime(2024, 1, 1))
+    left = pl.document_rows(rd.read_documents(spark, root, 0, NODES))
+    return spark.read.parquet(path).select("uuid", F.lit("published").alias("state")).unionByName(
+        left.select("uuid", F.lit("kept").alias("state"))
+    )

@@ -12,7 +12,7 @@ from sentloom.operators.rows import zip_longest, zip_shortest
 from sentloom.sources.schemas import META, TOKENIZED
 
 
-def _in_order(key: str, *fields: str) -> Column:
+def _in_order(key: str | Column, *fields: str) -> Column:
     return F.array_sort(F.collect_list(F.struct(key, *fields)))
 
 
@@ -123,10 +123,15 @@ def nest_outputs(translated: DataFrame) -> DataFrame:
 
 
 def nest_documents(documents: DataFrame, watermarks: DataFrame | None = None) -> DataFrame:
-    """Nested merged shards from ``shard, island, uuid, text, meta``."""
+    """Nested merged shards from ``shard, island, uuid, text, meta``, the parts of documents in each shard.
+
+    Whole documents come with ``file_no, row`` instead: each lies in the shard it begins in, in the order of the corpus, so
+    a payload has no more documents than a shard has sentences.
+    """
+    order = "island" if "island" in documents.columns else F.struct("file_no", "row").alias("place")
     nested = (
         documents.groupBy("shard")
-        .agg(_in_order("island", "uuid", "text", "meta").alias("docs"))
+        .agg(_in_order(order, "uuid", "text", "meta").alias("docs"))
         .select(
             _pluck("docs", "text").alias("text"),
             _pluck("docs", "uuid").alias("uuid"),

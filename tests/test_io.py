@@ -243,3 +243,108 @@ def test_a_cluster_needs_a_shared_folder():
     for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
         with pytest.raises(ValueError, match="spark.checkpoint.dir"):
             shared_dir(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master)))
+
+
+def merged_copy(spark, folder, layout):
+    """Merged shards 1 to 6 on nodes 0 to 2 with a document each."""
+    if layout == "plain":
+        for shard in range(1, 7):
+            plain_shard(folder, shard % 3, "output", shard, {**merged([f"d{shard}"]), "shard": shard})
+    else:
+        rows = [([[f"d{s}"]], [f"d{s}"], 1, s, [(f"d{s}", "d", "u", "f")]) for s in range(1, 7)]
+        sinks.write_payloads(spark.createDataFrame(rows, MERGED), folder, "output", 3)
+
+
+def left(spark, folder, layout):
+    return sorted(r["shard"] for r in rd.list_shards(spark, folder, kind="output", layout=layout).collect())
+
+
+@pytest.mark.parametrize("layout", ["hive", "plain"])
+def test_publish_and_retire(spark, folder, layout):
+    root, dest = f"{folder}/in", f"{folder}/out"
+    merged_copy(spark, root, layout)
+    path = jobs.publish_and_retire(spark, root, 0, 1, dest, "s", datetime(2024, 1, 1), layout=layout)
+    assert sorted(r["uuid"] for r in spark.read.parquet(path).collect()) == ["d1", "d3", "d4", "d6"]
+    assert left(spark, root, layout) == [2, 5]
+    # What is finished stays as it is, also where a shard of the same name has come in since.
+    merged_copy(spark, f"{folder}/again", layout)
+    assert jobs.resume_publish(spark, dest, "s_row_wise_20240101_000000") == path
+    assert spark.read.parquet(path).count() == 4 and left(spark, root, layout) == [2, 5]
+    assert jobs.publish_and_retire(spark, root, 0, 1, dest, "empty", datetime(2024, 1, 1), layout=layout) is None
+
+
+@pytest.mark.parametrize("layout", ["hive", "plain"])
+@pytest.mark.parametrize("step", ["document_rows", "delete_files"])
+def test_publish_and_retire_after_a_crash(spark, folder, layout, step, monkeypatch):
+    """Lost before the dataset is written, and after it, before anything is deleted."""
+    root, dest, name = f"{folder}/in", f"{folder}/out", "s_row_wise_20240101_000000"
+    merged_copy(spark, root, layout)
+
+    def crash(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(jobs, step, crash)
+        with pytest.raises(OSError, match="lost"):
+            jobs.publish_and_retire(spark, root, 0, 1, dest, "s", datetime(2024, 1, 1), layout=layout)
+    assert left(spark, root, layout) == [1, 2, 3, 4, 5, 6]
+    # A shard that arrives meanwhile is neither published nor deleted.
+    if layout == "plain":
+        plain_shard(root, 0, "output", 9, {**merged(["d9"]), "shard": 9})
+    else:
+        sinks.write_payloads(spark.createDataFrame([([["d9"]], ["d9"], 1, 9, [])], MERGED), root, "output", 3, mode="append")
+    path = jobs.resume_publish(spark, dest, name)
+    assert sorted(r["uuid"] for r in spark.read.parquet(path).collect()) == ["d1", "d3", "d4", "d6"]
+    assert left(spark, root, layout) == [2, 5, 9]
+    assert jobs.resume_publish(spark, dest, "unknown") is None
+
+
+def test_half_written_micro_batches_are_not_seen(spark, folder, monkeypatch):
+    """A job that fails between its writes, replayed from its checkpoint."""
+    from sentloom.streaming import prepare as streaming
+
+    source = corpus_files(folder, [[3], [2, 9]])
+    out, checkpoint = f"{folder}/out", f"{folder}/checkpoint"
+
+    def crash(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(streaming, "shard_meta", crash)
+        with pytest.raises(Exception, match="lost"):
+            prepare_stream(spark, source, out, checkpoint, shard_size=4, max_files=1)
+    assert spark.read.parquet(f"{out}/sentences").count() == 3
+    assert filled_sentences(spark, out, finished=True).count() == 0 and streaming.file_progress(spark, out).count() == 0
+    prepare_stream(spark, source, out, checkpoint, shard_size=4, max_files=1)
+    rows = filled_sentences(spark, out, finished=True)
+    assert rows.count() == 14 and rows.select("shard", "pos").distinct().count() == 14
+    log = streaming.file_progress(spark, out).orderBy("file_no").collect()
+    assert [(r["file_no"], r["done_rows"], r["sentences"]) for r in log] == [(0, 1, 3), (1, 2, 11)]
+
+
+def test_resume_per_file(spark):
+    from sentloom.operators.sentences import skip_done_files
+
+    docs = spark.createDataFrame([(f, r) for f in range(4) for r in range(5)], "file_no long, row long")
+    log = spark.createDataFrame([(0, 2, 1), (0, 5, 2), (1, 3, 2), (1, 1, 1), (2, 2, 1)], "file_no long, done_rows long, batch_id long")
+    rest = {(r["file_no"], r["row"]) for r in skip_done_files(docs, log).collect()}
+    assert rest == {(1, 3), (1, 4), (2, 2), (2, 3), (2, 4), *((3, r) for r in range(5))}
+    # The first file that is not finished does its last row again.
+    assert {(r["file_no"], r["row"]) for r in skip_done_files(docs, log, compat=True).collect()} == rest | {(1, 2)}
+    assert skip_done_files(docs, log.where("false")).count() == 20
+
+
+def test_entry_leaves_out_operators_whose_library_is_absent():
+    import subprocess
+    import sys
+
+    code = (
+        "import sys, warnings; sys.modules['ahocorasick'] = None\n"
+        "with warnings.catch_warnings(record=True) as said:\n"
+        "    warnings.simplefilter('always')\n"
+        "    import __spark_entry__ as e\n"
+        "print(len(e.queries()) >= 97, not any(q.startswith('op') for q in e.queries()), len(said) <= 1)"
+    )
+    root = Path(__file__).parent.parent
+    run = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=False)
+    assert run.stdout.split()[-3:] == ["True"] * 3, run.stderr
