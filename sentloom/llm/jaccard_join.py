@@ -35,7 +35,7 @@ BAND_RATIO = 1.5
 #: Members of a list compared at once.
 CHUNK = 1024
 #: Buckets of a set's print for each difference that a pair may have, and the least number of buckets.
-PRINT, LEAST_PRINT = 2, 16
+PRINT, LEAST_PRINT = 4, 16
 #: Ids of documents whose sets are compared that are sent to the tasks; more are joined by a shuffle of the texts.
 SENT_IDS = 1_000_000
 #: Cost of verifying a pair, in index rows.
