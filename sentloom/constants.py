@@ -50,7 +50,8 @@ BUCKET_ROWS = 512
 # A lookup table is shipped to the tasks only up to these sizes; beyond them it is joined.
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-BROADCAST_FILES = 100_000
+# Two numbers of 8 bytes per file.
+BROADCAST_FILES = BROADCAST_BYTES // 16
 # Default bound of a vocabulary that a job builds itself.
 VOCAB_SIZE = 250_000
 # Most frequent entries shipped when the whole table is too large, and the longest key among them.

@@ -40,15 +40,22 @@ def attach_meta(documents: DataFrame, meta: DataFrame, strict: bool = True) -> D
 
     A document without metadata is an error when ``strict``, except in a shard that has no metadata at
     all, where the lookup is skipped. Otherwise its ``meta`` is null.
+
+    The flag of a shard, one row each, meets the documents where they are; the metadata meets them by shard
+    and id, so the metadata of a crowded shard is spread over all tasks.
     """
-    found = documents.join(last_meta(meta).withColumnRenamed("id", "uuid"), ["shard", "uuid"], "left")
+    if strict:
+        described = meta.groupBy("shard").agg(F.lit(True).alias("described"))
+        documents = documents.join(described, "shard", "left")
+    # Placed by both keys first; else the join would bring all metadata of a shard to the place of its documents.
+    placed = documents.repartition("shard", "uuid")
+    found = placed.join(last_meta(meta).withColumnRenamed("id", "uuid"), ["shard", "uuid"], "left")
     if not strict:
         return found
-    described = meta.groupBy("shard").agg(F.lit(True).alias("described"))
     message = F.concat(F.lit("no metadata for document "), F.col("uuid"), F.lit(" in shard "), F.col("shard"))
     missing = F.col("meta").isNull() & F.coalesce("described", F.lit(False))
     checked = F.when(missing, F.raise_error(message).cast(found.schema["meta"].dataType)).otherwise(F.col("meta"))
-    return found.join(described, "shard", "left").withColumn("meta", checked).drop("described")
+    return found.withColumn("meta", checked).drop("described")
 
 
 def _source_documents(sentences: DataFrame, meta: DataFrame, strict: bool) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sentloom.constants import FIRST_TOKEN_ID, HOT_KEY_BYTES, HOT_ROWS
 from sentloom.functions.text import whitespace_tokens
+from sentloom.operators.rows import ranked
 from sentloom.session import stage
 
 
@@ -26,8 +27,7 @@ def build_vocab(
     """``token, n, token_id``: the most frequent token first, ties by token, ids after the special ones.
 
     With ``max_size``, the number of tokens of each count, a small table, tells from which count on all fit; only
-    those and the tokens of the next count are sorted. The sorted rows are staged with their place in their
-    partition; the id is that place plus the size of the partitions before it. Only one row per partition or per
+    those and the tokens of the next count are sorted, over all tasks. Only one row per partition or per
     count is summed in one task.
     """
     counts = token_counts(sentences, column).where(F.col("n") >= min_count)
@@ -39,17 +39,8 @@ def build_vocab(
         # The lowest count of which some token is among the first max_size.
         lowest = reached.where(F.col("before") < max_size).agg(F.min("n")).first()[0]
         counts = counts.where(F.col("n") >= (lowest or 0))
-    ranked = counts.orderBy(F.desc("n"), "token")
-    # The id generator puts the partition number above bit 33 and the row in the partition below.
-    placed = stage(ranked.withColumn("slot", F.monotonically_increasing_id()), "vocab").withColumns(
-        {"part": F.shiftright("slot", 33), "place": F.col("slot").bitwiseAND((1 << 33) - 1)}
-    )
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = placed.groupBy("part").agg(F.count("*").alias("rows")).select(
-        "part", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before")
-    )
-    token_id = (F.col("before") + F.col("place") + FIRST_TOKEN_ID).cast("int")
-    vocab = placed.join(parts, "part").select("token", "n", token_id.alias("token_id"))
+    placed = ranked(counts, [F.desc("n"), F.col("token")], "vocab_rank")
+    vocab = placed.select("token", "n", (F.col("vocab_rank") + FIRST_TOKEN_ID).cast("int").alias("token_id"))
     return vocab if max_size is None else vocab.where(F.col("token_id") < FIRST_TOKEN_ID + max_size)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from sentloom.constants import MAX_PAD, MAX_TOKENS, VOCAB_SIZE
 from sentloom.plans.fixtures import BATCH_SIZE, DEVICES, NODES, SHARD_SIZE, SMALL_PAD, TOKENIZE_BATCH
-from sentloom.plans.queries import SRC_LANG, TGT_LANG
+from sentloom.plans.queries import MANY_FILES, SRC_LANG, TGT_LANG
 
 # What stays out of translation, stated on its own.
 ENTITY = (
@@ -204,6 +204,8 @@ def _padded(ids: str = "ids", pad: int = 1) -> str:
 
 ONES = "list_transform(ids, lambda x: 1)"
 MEASURED = "(4 + length(sentence) % 1000)||' '||(4 + length(sentence) - length(replace(sentence, ' ', '')))"
+CUT = f"count_if(len({_tokens('sentence')}) > {MAX_TOKENS})"
+LABELLED_SENTENCES = "labelled JOIN (SELECT shard, pos, sentence FROM shards) USING (shard, pos)"
 REFUSED = "contains(sentence, 'ñ')"
 
 ORACLES: dict[str, str] = {
@@ -528,6 +530,23 @@ ORACLES: dict[str, str] = {
         f"SELECT shard, shard % {NODES} AS node, pos, pos // {TOKENIZE_BATCH} AS batch_id, id, {_text('ids', 'input_ids')} "
         "FROM prepared_top", "prepared_top",
     ),
+    "s1_many_files": f'SELECT file_no, row_no AS "row", id, text FROM ({_docs(MANY_FILES)})',
+    "j1_crowded_shard": _sql(
+        "SELECT DISTINCT shard, island, islands.id AS uuid, CASE WHEN shard = 1 THEN 'later' ELSE dump END AS dump, url, file_path "
+        "FROM islands JOIN docs USING (id)", "islands", "docs",
+    ),
+    "a7_observed_run": _sql(
+        "SELECT 'translate' AS step, count(*) AS rows, count_if(status = 'ok') AS kept, count_if(status <> 'ok') AS set_aside, "
+        "count(DISTINCT (shard, batch_id)) AS batches, count(DISTINCT (shard, batch_id)) FILTER (status = 'ok') AS kept_batches, "
+        f"{CUT} AS truncated, CAST(NULL AS VARCHAR) AS error FROM {LABELLED_SENTENCES} UNION ALL "
+        f"SELECT 'decode', count(*), count(*), 0, NULL, NULL, {CUT}, NULL FROM {LABELLED_SENTENCES} WHERE status = 'ok'",
+        "labelled",
+    ),
+    "x3_resume": _sql(
+        f"SELECT t.id, sent_idx, {MEASURED.replace('sentence', 't.sentence')} AS input_ids FROM tagged t JOIN "
+        "(SELECT shard, pos, sent_idx FROM shards) USING (shard, pos)", "tagged", "shards",
+    ),
+    "x4_clean_source": _sql("SELECT shard, count(*) AS kept, count(*) AS drained FROM encoded GROUP BY shard", "encoded"),
     "f7_method": _sql("SELECT id, sent_idx, sentence FROM sent", "sent"),
     "c4_publish_and_retire": _sql(
         f"SELECT uuid, CASE WHEN shard % {NODES} <= 1 THEN 'published' ELSE 'kept' END AS state FROM pieces_out", "pieces_out"

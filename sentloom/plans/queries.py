@@ -6,6 +6,7 @@ import string
 from collections.abc import Callable
 from datetime import datetime
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,12 +37,13 @@ from sentloom.sources import shards as rd
 from sentloom.sources.schemas import TOKENIZED
 from sentloom.sources.sinks import committed_shards, publish_rows, retire_inputs, write_payloads, write_rows
 from sentloom.streaming.drain import drain, drain_payloads, drained
-from sentloom.streaming.prepare import file_progress, filled_sentences, filled_tokens
+from sentloom.streaming.prepare import file_progress, filled_sentences, filled_tokens, prepare_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 SRC_LANG, TGT_LANG = "eng_Latn", "hin_Deva"
+MANY_FILES = 64
 
 
 def query(function: Query) -> Query:
@@ -71,6 +73,16 @@ def s1_scan_corpus(spark, sf_dir):
     return co.read_corpus(spark, f"{root}/data/whole/*").select("id", "text", "dump", "url", "file_path")
 
 
+@query
+def s1_many_files(spark, sf_dir):
+    """A subset of many small files, numbered by the sorted names."""
+    root = new_path(spark, "files")
+    docs = corpus(spark, sf_dir, MANY_FILES).withColumn("part", nm.zero_padded("file_no"))
+    placed = docs.drop("file_no").repartition("part").sortWithinPartitions("part", "row")
+    placed.drop("row").write.partitionBy("part").parquet(root)
+    return co.read_corpus(spark, root).select("file_no", "row", "id", "text")
+
+
 @query
 def s2_numbered_files(spark, sf_dir):
     """Read from numbered files; the name is made from the number again."""
@@ -287,6 +299,19 @@ def j1_missing_meta(spark, sf_dir):
     return rg.attach_meta(islands, partial, strict=False).select("shard", "uuid", F.col("meta.url").alias("url"))
 
 
+@query
+def j1_crowded_shard(spark, sf_dir):
+    """Every document of the corpus has later metadata in the first shard, most of them without sentences there."""
+    fx = fixtures(spark, sf_dir)
+    crowd = corpus(spark, sf_dir).select(
+        F.lit(1).cast("long").alias("shard"), "id", (F.col("row") + 1_000_000).alias("ord"), se.doc_meta()
+    )
+    crowd = crowd.withColumn("meta", F.col("meta").withField("dump", F.lit("later")))
+    islands = rg.group_islands(rg.find_islands(fx.sentences)).drop("text")
+    listed = fx.meta.select(*crowd.columns).unionByName(crowd)
+    return rg.attach_meta(islands, listed).select("shard", "island", "uuid", *flat_meta())
+
+
 @query
 def j2_pending_shards(spark, sf_dir):
     fx = fixtures(spark, sf_dir)
@@ -395,6 +420,18 @@ def a7_run_report(spark, sf_dir):
     return ck.run_report(fixtures(spark, sf_dir).uneven)
 
 
+@query
+def a7_observed_run(spark, sf_dir):
+    """Counts of the steps of a run, taken while they write."""
+    fx, log = fixtures(spark, sf_dir), ck.RunLog(spark)
+    batched = ba.assign_batches(fx.tokens, BATCH_SIZE)
+    translated = tr.translate(batched, fx.lexicon, None, DEVICES)
+    written = log.run("translate", translated, lambda df: stage(df, "observed"), BATCH_SIZE)
+    decoded = tk.decode(ba.accepted(written), fx.vocab)
+    log.run("decode", decoded, lambda df: stage(df, "observed"))
+    return log.report().drop("started_at", "elapsed_s")
+
+
 @query
 def a8_total_shards(spark, sf_dir):
     shards = rd.list_shards(spark, fixtures(spark, sf_dir).tokenized_root)
@@ -834,6 +871,55 @@ def x5_stream_tokens(spark, sf_dir):
     return filled_tokens(spark, fixtures(spark, sf_dir).streamed_tokens_root, finished=True).select("id", "sent_idx", joined("input_ids"))
 
 
+class OnceLost:
+    """A tokenizer whose job is lost at its second micro-batch, once."""
+
+    def __init__(self, tokenizer: tk.Tokenizer):
+        self.tokenizer, self.calls = tokenizer, 0
+
+    def encode(self, sentences: DataFrame) -> DataFrame:
+        self.calls += 1
+        if self.calls == 2:
+            raise OSError("lost")
+        return self.tokenizer.encode(sentences)
+
+
+@query
+def x3_resume(spark, sf_dir):
+    """A streamed prepare that fails between its writes and goes on from its checkpoint: nothing twice, nothing lost."""
+    source, out, checkpoint = (new_path(spark, name) for name in ("corpus", "prepared", "checkpoint"))
+    corpus(spark, sf_dir).drop("file_no", "row").coalesce(3).write.parquet(source)
+    tokenizer = OnceLost(ca.CallableTokenizer(load_measuring))
+
+    def run() -> None:
+        prepare_stream(
+            spark, source, out, checkpoint, SHARD_SIZE, max_files=1, tokenizer=tokenizer, languages=(SRC_LANG, TGT_LANG),
+            batch_size=TOKENIZE_BATCH,
+        )
+
+    try:
+        run()
+    except StreamingQueryException as error:
+        if "lost" not in str(error):
+            raise
+        run()
+    return filled_tokens(spark, out, finished=True).select("id", "sent_idx", joined("input_ids"))
+
+
+@query
+def x4_clean_source(spark, sf_dir):
+    """Consumed files are archived once a later micro-batch is committed: each row is in the inbox or in the archive."""
+    fx = fixtures(spark, sf_dir)
+    source, archive, out, checkpoint = (new_path(spark, name) for name in ("inbox", "archive", "drained", "checkpoint"))
+    for arrived in ("shard % 2 = 0", "shard % 2 = 1"):
+        fx.tokens.where(arrived).repartition("shard").write.mode("append").parquet(source)
+        drain(spark, source, out, checkpoint, lambda batch: batch.select("shard", "pos"), fx.tokens.schema, max_files=1, clean="archive", archive=archive)
+    reader = spark.read.schema(fx.tokens.schema).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    kept = reader.parquet(source, archive).groupBy("shard").agg(F.count("*").alias("kept"))
+    done = drained(spark, out).groupBy("shard").agg(F.count("*").alias("drained"))
+    return kept.join(done, "shard", "full")
+
+
 # Jobs
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentloom.constants import BROADCAST_FILES
 from sentloom.functions.names import file_number
+from sentloom.operators.rows import ranked
 from sentloom.sources.schemas import CORPUS
 
 
@@ -35,15 +36,24 @@ def read_corpus(spark: SparkSession, path: str, streaming: bool = False, max_fil
         if max_files is not None:
             reader = reader.option("maxFilesPerTrigger", max_files)
         return _numbered(reader.parquet(path)).withColumn("file_path_read", F.col("_metadata.file_path"))
-    corpus = spark.read.schema(CORPUS).parquet(path)
-    scanned = _numbered(corpus).withColumn("scanned", F.col("_metadata.file_path"))
-    # One row per file, ordered in one task; the scan behind it reads no columns.
-    files = scanned.select("scanned").distinct()
-    files = files.withColumn("file_no", F.row_number().over(Window.orderBy("scanned")).cast("long") - 1)
-    # Broadcast while the number of files is small, so that the documents stay where they are.
-    if len(corpus.inputFiles()) <= BROADCAST_FILES:
-        files = F.broadcast(files)
-    return scanned.join(files, "scanned").drop("scanned")
+    scanned = _numbered(spark.read.schema(CORPUS).parquet(path)).withColumn("scanned", F.col("_metadata.file_path"))
+    return number_files(scanned, "scanned")
+
+
+def number_files(rows: DataFrame, path: str) -> DataFrame:
+    """``rows`` with ``file_no``, the place of their file in name order, in place of the column ``path``.
+
+    The names are sorted over all tasks and staged; the rows look the number up by a hash of the name, so the
+    table that is shipped has two numbers per file and the rows stay where they are up to ``BROADCAST_FILES``
+    files. Beyond that, or if two names had one hash, they are joined by name.
+    """
+    # One row per file; the scan behind it reads no columns.
+    files = ranked(rows.select(path).distinct(), path, "file_no")
+    counted = files.agg(F.count("*").alias("files"), F.countDistinct(F.xxhash64(path)).alias("hashes")).first()
+    if counted["files"] <= BROADCAST_FILES and counted["files"] == counted["hashes"]:
+        keyed = files.select(F.xxhash64(path).alias("file_hash"), "file_no")
+        return rows.withColumn("file_hash", F.xxhash64(path)).join(F.broadcast(keyed), "file_hash").drop("file_hash", path)
+    return rows.join(files, path).drop(path)
 
 
 def read_corpus_files(

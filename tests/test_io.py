@@ -68,6 +68,17 @@ def test_subset_gets_file_numbers(spark, folder):
     assert {(r["file_no"], r["row"], r["id"]) for r in rows} == {(0, 0, "0-0"), (0, 1, "0-1"), (1, 0, "1-0")}
 
 
+@pytest.mark.parametrize("bound", [0, 1000])
+def test_subset_of_many_files_beyond_the_bound(spark, folder, bound, monkeypatch):
+    monkeypatch.setattr(co, "BROADCAST_FILES", bound)
+    path = corpus_files(folder, [[1]] * 12 + [[2, 1]])
+    rows = co.read_corpus(spark, path)
+    assert {(r["file_no"], r["row"], r["id"]) for r in rows.collect()} == {
+        *((n, 0, f"{n}-0") for n in range(13)), (12, 1, "12-1")
+    }
+    assert ("BroadcastHashJoin" in rows._jdf.queryExecution().executedPlan().toString()) or bound == 0
+
+
 def test_names(spark):
     paths = ["b/s/3/tokenized/10.json", "b/tokenized/node=3/shard=9/part-00000-x.json", "b/s/3/output/9.json", "b/x.json"]
     df = spark.createDataFrame([(p,) for p in paths], "p string")

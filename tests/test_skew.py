@@ -1,10 +1,14 @@
 """A third of everything in one place: results stay whole."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from sentloom.operators.lookup import replace_elements
 from sentloom.operators.tokens import VocabTokenizer
 from sentloom.operators.vocab import build_vocab
+from sentloom.operators.regroup import attach_meta
+from sentloom.operators.rows import ranked
 from sentloom.plans import jobs
 from sentloom.session import stage
 
@@ -80,3 +84,58 @@ def test_tokenizer_is_interchangeable(spark):
     encoded = tokenizer.encode(sentences).withColumnRenamed("input_ids", "output_ids")
     assert tokenizer.decode(encoded).first()["sentence"] == "x y x"
     assert build_vocab(sentences, max_size=1).first()["token"] == "x"
+
+
+def test_crowded_shard_is_spread(spark):
+    """All metadata in one shard, a third of it for one id."""
+    listed = spark.range(30_000).select(
+        F.greatest(F.lit(1), F.col("id") - 40_000).alias("shard"),  # 1, which the plan cannot know
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("id"),
+        F.col("id").alias("ord"),
+        F.struct(F.col("id").alias("n")).alias("meta"),
+    )
+    documents = spark.createDataFrame([(1, 0, "hot"), (1, 1, "1"), (2, 0, "9"), (1, 2, "hot")], "shard long, island long, uuid string")
+    found = attach_meta(documents, listed)
+    assert {(r["shard"], r["island"], r["meta"] and r["meta"]["n"]) for r in found.collect()} == {
+        (1, 0, 29_997), (1, 1, 1), (1, 2, 29_997), (2, 0, None)
+    }
+    # No exchange by the shard alone but that of its flag; the metadata are dealt by shard and id.
+    dealt = re.findall(r"hashpartitioning\(([^)]*), \d+\)", found._jdf.queryExecution().executedPlan().toString())
+    keys = [re.sub(r"#\d+L?", "", k) for k in dealt]
+    assert "shard, uuid" in keys and "shard, id" in keys
+    assert keys.count("shard") <= 2
+    missing = documents.unionByName(spark.createDataFrame([(1, 3, "gone")], documents.schema))
+    assert attach_meta(missing, listed, strict=False).where("meta is null").count() == 2
+    try:
+        attach_meta(missing, listed).collect()
+    except Exception as error:  # raised in a task
+        assert "no metadata for document gone in shard 1" in str(error)
+    else:
+        raise AssertionError("a document without metadata passed")
+
+
+def test_ranks_over_all_tasks(spark):
+    rows = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("value"))
+    got = ranked(rows.repartition(7), "value", "rank").collect()
+    assert sorted((r["value"], r["rank"]) for r in got) == [(n, n) for n in range(5000)]
+    assert ranked(rows.where("false"), "value", "rank").count() == 0
+
+
+def test_run_log_counts_while_the_job_runs(spark, folder):
+    from sentloom.operators.checks import RunLog
+
+    log = RunLog(spark)
+    rows = spark.range(10).select(
+        "id", F.col("id").alias("pos"), F.when(F.col("id") < 4, "ok").when(F.col("id") < 8, "ragged").alias("status")
+    )
+    assert log.run("write", rows, lambda df: df.write.parquet(f"{folder}/out"), 4) is None
+    try:
+        log.run("lost", rows, lambda df: df.select(F.raise_error(F.lit("gone"))).collect())
+    except Exception as error:
+        assert "gone" in str(error)
+    log.run("nothing", rows.where("false"), lambda df: df.collect(), 4)
+    first, lost, nothing = log.report().collect()
+    assert tuple(first)[:7] == ("write", 10, 4, 6, 3, 1, None) and first["elapsed_s"] > 0 and first["error"] is None
+    assert lost["rows"] is None and "gone" in lost["error"] and lost["elapsed_s"] > 0
+    assert tuple(nothing)[:6] == ("nothing", 0, 0, 0, 0, 0)
+    assert spark.read.parquet(f"{folder}/out").count() == 10
