@@ -36,8 +36,10 @@ from sentloom.llm.worker import kept
 BLANK = 0x2581
 #: Code points of texts whose words are handled as arrays at once.
 BLOCK = 2_000_000
-#: Words after a branch that are looked at first, and the log of the share below which a region is never opened.
+#: Words after a branch that are looked at first, and the log of the share below which those behind them can wait.
 LEADING, LEAST_SHARE = 96, -60.0
+#: Above this log-probability of a segmentation, that of the others is summed instead of taken as the rest.
+SURE = -1e-6
 _BASE = 0x9E3779B97F4A7C15
 _SLOTS = 22
 
@@ -189,6 +191,7 @@ class Lattices:
         self.reach = sums[1:] - sums[self.edge[start]]
         final = np.concatenate([start[1:] != start[:-1], [True]]) if len(start) else np.zeros(0, bool)
         self.reach[final] = 2.0
+        self.rests: dict[int, float] = {}
 
     def draw(self, word: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each of ``word`` a segmentation: edges word by word, how many, and the log-probability."""
@@ -213,25 +216,54 @@ class Lattices:
             edges[begin[who] + k] = e
         return edges, begin, log
 
+    def remaining(self, word: int, excluded: list[np.ndarray]) -> tuple[list[dict[int, int]], list[np.ndarray], np.ndarray]:
+        """The segmentations of a word but ``excluded``, as a tree of the beginnings of these: the branches of each
+        beginning (-1: an excluded one ends), the log-probabilities left to the edges behind it, and their sums.
+
+        Shares are added from the ends, never taken away from one another, so the smallest is exact.
+        """
+        at, below = [self.first[word]], [{}]
+        for path in excluded:
+            t = 0
+            for e in path.tolist():
+                if e not in below[t]:
+                    below[t][e] = -1 if self.last[e] else len(at)
+                    if not self.last[e]:
+                        at.append(self.next[e])
+                        below.append({})
+                t = below[t][e]
+        weights, total = [np.zeros(0)] * len(at), np.full(len(at), -np.inf)
+        for t in range(len(at) - 1, -1, -1):
+            begin = self.edge[at[t]]
+            weights[t] = self.log[begin : self.edge[at[t] + 1]].copy()
+            for e, child in below[t].items():
+                weights[t][e - begin] += total[child] if child >= 0 else -np.inf
+            total[t] = np.logaddexp.reduce(weights[t])
+        return below, weights, total
+
+    def rest(self, word: int, path: np.ndarray) -> float:
+        """Log-probability of the other segmentations of a word where ``path`` has nearly all of it."""
+        if word not in self.rests:
+            self.rests[word] = float(self.remaining(word, [path])[2][0])
+        return self.rests[word]
+
     def draw_other(self, word: int, excluded: list[np.ndarray], h: np.ndarray) -> tuple[np.ndarray, float] | None:
         """A segmentation of one word that is none of ``excluded``, or None if there is no other."""
-        node, path, log, step = self.first[word], [], 0.0, 0
-        others = [(e.tolist(), float(np.exp(self.log[e].sum()))) for e in excluded]
+        below, weights, total = self.remaining(word, excluded)
+        if total[0] == -np.inf:
+            return None
+        node, path, log, step, t = self.first[word], [], 0.0, 0, 0
         while True:
-            edges = np.arange(self.edge[node], self.edge[node + 1])
-            p = np.exp(self.log[edges])
-            weight = p - [sum(q for e, q in others if e[0] == x) for x in edges]
-            weight[weight < 1e-12 * p] = 0.0
-            if not weight.sum() > 0:
-                return None
-            u = float(_uniform(h, step)[0]) * weight.sum()
-            k = int(min(np.searchsorted(np.cumsum(weight), u), np.flatnonzero(weight)[-1]))
-            x = int(edges[k])
+            begin = self.edge[node]
+            w = self.log[begin : self.edge[node + 1]] if t is None else weights[t]
+            p = np.exp(w - w.max())
+            u = float(_uniform(h, step)[0]) * p.sum()
+            x = int(begin + min(np.searchsorted(np.cumsum(p), u), np.flatnonzero(p)[-1]))
             path.append(x)
             log += float(self.log[x])
             if self.last[x]:
                 return np.array(path), log
-            others = [(e[1:], q / p[k]) for e, q in others if e[0] == x]
+            t = None if t is None else below[t].get(x)
             node, step = self.next[x], step + 1
 
 
@@ -259,6 +291,18 @@ def sample_document(lattices: Lattices, word: np.ndarray, draws: list[tuple], st
         edges, begin, _ = draws[path.draw[i]]
         return edges[begin[i] : begin[i + 1]]
 
+    def masses(path: _Path, ahead: np.ndarray, first: int, stop: int) -> np.ndarray:
+        """Log-probability of the segmentations that first differ from ``path`` at each of these words."""
+        log = path.log[first:stop]
+        with np.errstate(divide="ignore"):
+            rest = np.log(-np.expm1(np.minimum(log, 0.0)))
+        # One less nearly one has no digits left; only one segmentation of a word can have so large a share.
+        near = np.flatnonzero(log > SURE)
+        if len(near):
+            which, one, back = np.unique(word[first + near], return_index=True, return_inverse=True)
+            rest[near] = np.array([lattices.rest(int(w), edges_of(path, first + int(near[i]))) for w, i in zip(which, one, strict=True)])[back]
+        return ahead[first:stop] + rest
+
     top = float(_gumbel(np.zeros(1), np.inf, _uniform(state, -1))[0])
     # A region: perturbed value, path it leaves, word where it leaves, edges excluded there.
     regions: list[tuple[float, _Path | None, int, list[np.ndarray]]] = [(top, None, -1, [])]
@@ -280,23 +324,22 @@ def sample_document(lattices: Lattices, word: np.ndarray, draws: list[tuple], st
             log[at] = other[1]
             path = _Path(draw, {i: x for i, x in parent.own.items() if i < at} | {at: other}, log)
         out.append((path, value))
-        # Regions below this share of all segmentations are never opened; they are left out.
+        # Regions behind so unlikely a beginning are only looked at where the others may not give k segmentations.
         ahead = np.concatenate([[0.0], np.cumsum(path.log[: at + 1 + LEADING])])
         first, stop = at + 1, min(n, at + 1 + LEADING)
-        if stop < n and ahead[stop] > LEAST_SHARE:
+        mass = masses(path, ahead, first, stop)
+        if stop < n and (ahead[stop] > LEAST_SHARE or len(regions) + int((mass > -np.inf).sum()) <= k - len(out)):
             ahead, stop = np.concatenate([[0.0], np.cumsum(path.log)]), n
-        rest = -np.expm1(path.log[first:stop])
-        with np.errstate(divide="ignore"):
-            mass = ahead[first:stop] + np.log(np.where(rest > 1e-12, rest, 0.0))
+            mass = masses(path, ahead, first, stop)
         perturbed = _gumbel(mass, value, _uniform(state, 2000 + opened, np.arange(first, stop)))
         for i in np.argsort(-perturbed)[: k + 1 - turn].tolist():
             if mass[i] > -np.inf:
                 regions.append((float(perturbed[i]), path, first + i, [edges_of(path, first + i)]))
         if parent is not None:
             gone = [*excluded, path.own[at][0]]
-            rest = 1 - sum(float(np.exp(lattices.log[e].sum())) for e in gone)
-            if rest > 1e-12:
-                mass = np.array([ahead[at] + np.log(rest)])
+            rest = lattices.remaining(int(word[at]), gone)[2][0]
+            if rest > -np.inf:
+                mass = np.array([ahead[at] + rest])
                 u = _uniform(state, 3000 + opened, at)
                 regions.append((float(_gumbel(mass, value, u)[0]), path, at, gone))
     following = max((r[0] for r in regions), default=-np.inf)

@@ -124,6 +124,22 @@ def test_samples_follow_the_lattice(text):
         assert abs(first[path] / n - p) < 5 * math.sqrt(p * (1 - p) / n) + 1e-3
 
 
+@pytest.mark.parametrize(("text", "k"), [("the", 13), ("house", 29), ("the the", 70), ("☃ the ☃", 20), ("☃", 3), ("international", 405), ("the " * 130 + "a", 600)])
+def test_no_segmentation_is_left_out(text, k):
+    """At the default weights, where most segmentations of a common word have hardly any chance."""
+    from sentencepiece import SentencePieceProcessor
+
+    words = Vocabulary(PIECE_BPE, 1.0)
+    got = [(tuple(ids.tolist()), math.exp(log)) for _, _, ids, log, *_ in sample_texts([text], [7], words, k, 1)]
+    assert len({p for p, _ in got}) == len(got)
+    if len(text) > 50:
+        assert len(got) == k
+        return
+    chance = segmentations(text, words, SentencePieceProcessor(model_file=PIECE_BPE))
+    assert len(got) == min(k, len(chance))
+    assert all(math.isclose(p, chance[path], rel_tol=1e-9) for path, p in got)
+
+
 def test_segmentations_round_trip_and_repeat(spark, odd_documents):
     docs = odd_documents.repartition(3)
     got = sample_segmentations(docs, PIECE_BPE, k=2)
