@@ -40,7 +40,7 @@ def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sample_segmentations(_table(spark, sf_dir, "documents"), PIECE_BPE, k=2, keep_ids=False)
+    return sample_segmentations(_table(spark, sf_dir, "documents"), PIECE_BPE, k=2)
 
 
 def op4_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
