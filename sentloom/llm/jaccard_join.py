@@ -9,7 +9,8 @@ extra segments pay for leaving empty ones out of the index (``allocate``). Candi
 
 Equal sets are one node, whatever the number of their documents. Within a list of the index the members are compared
 with the one that shares most lists; only members that this leaves in different components are compared with each other, so groups of
-near copies never expand into all pairs: chunk by chunk, their bucket prints rule out those that differ too much. Nodes are 64-bit hashes of shingle hashes of 64 bits.
+near copies never expand into all pairs: chunk by chunk, their bucket prints rule out those that differ too much, and a
+pair that several lists hold comes from the first of them alone. Nodes are 64-bit hashes of shingle hashes of 64 bits.
 
 Defined results: a null text, an empty one and one without words have an empty set, no link and their own ``doc_id``
 as component; repeated rows are copies; a null ``doc_id`` is kept, and takes part as the largest one; an empty table
@@ -201,7 +202,8 @@ def set_prints(shingles: np.ndarray, firsts: np.ndarray, buckets: np.ndarray) ->
 def close_pairs(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
     """Pairs of different components within the sorted groups ``sig, i, j`` whose prints leave the threshold open.
 
-    A group has at most two chunks of a list: its first one alone, or each member of side 0 with each of side 1.
+    A group has at most two chunks of a list: its first one alone, or each member of side 0 with each of side 1. Of the
+    lists that two members share, the first one gives the pair: ``lower`` holds the lists of a member before this one.
     """
 
     def pairs(rows: pa.Table) -> pa.RecordBatch:
@@ -209,6 +211,10 @@ def close_pairs(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterat
         shown = np.frombuffer(b"".join(rows["print"].to_pylist()), np.uint8).reshape(len(node), -1)
         left = np.flatnonzero(side == 0)
         right = np.flatnonzero(side == 1) if side.any() else left
+        lower = pc.list_flatten(rows["lower"]).to_numpy()
+        lists, code = np.unique(lower, return_inverse=True)
+        starts = np.concatenate([[0], np.cumsum(pc.list_value_length(rows["lower"]).to_numpy())])
+        mine = np.zeros(len(lists), bool)
         out_a, out_b = [], []
         for x in left.tolist():
             # Within one chunk each pair once.
@@ -220,6 +226,12 @@ def close_pairs(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterat
             if len(y):
                 other = shown[y] ^ shown[x]
                 y = y[np.count_nonzero(other & 0xF0, axis=1) + np.count_nonzero(other & 0x0F, axis=1) <= allowed]
+            if len(y):
+                own = code[starts[x] : starts[x + 1]]
+                mine[own] = True
+                met = np.concatenate([[0], np.cumsum(mine[code])])
+                mine[own] = False
+                y = y[met[starts[y + 1]] == met[starts[y]]]
                 out_a.append(np.full(len(y), node[x]))
                 out_b.append(node[y])
         a = np.concatenate([np.zeros(0, np.int64), *out_a])
@@ -481,22 +493,25 @@ def _components(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     )
 
     chunks = F.ceil(F.col("n") / CHUNK).cast("int")
+    still = stage(placed.join(apart, "sig", "left_semi"), "open-lists")
+    # A member has at most as many lists as its set has entries in the index.
+    lists_of = still.groupBy("node").agg(F.array_sort(F.collect_list("sig")).alias("lists"))
+    shown = stage(sets.select("node", "own", "below").join(lists_of, "node"), "list-prints")
     compared = (
-        placed.join(apart, "sig", "left_semi")
-        .withColumn("mine", F.pmod(F.hash("node"), chunks))
+        still.withColumn("mine", F.pmod(F.hash("node"), chunks))
         # The members of a list lie in its band, that of its least member, or in the one above.
         .withColumn("print_of", F.when(band_of("size") == band_of("least"), 0).otherwise(1))
         .select("sig", "node", "size", "component", "print_of", "mine", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("other"))
-        .join(sets.select("node", "own", "below"), "node")
+        .join(shown, "node")
         .select(
             "sig", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
             F.when(F.col("mine") > F.col("other"), 1).otherwise(0).alias("side"), "node", "size", "component",
             F.when(F.col("print_of") == 0, F.col("own")).otherwise(F.col("below")).alias("print"),
+            F.slice("lists", F.lit(1), F.array_position("lists", F.col("sig")).cast("int") - 1).alias("lower"),
         )
         .repartition("sig", "i", "j")
         .sortWithinPartitions("sig", "i", "j", "side")
         .mapInArrow(lambda batches: close_pairs(batches, num, den), "a long, b long")
-        .distinct()
     )
     more = stage(links_of(stage(compared, "pairs"), sets, num, den), "links")
     if not more.isEmpty():

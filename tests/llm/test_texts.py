@@ -6,9 +6,11 @@ import random
 import re
 import time
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from sentloom.llm.jaccard_join import allocate, jaccard_components
+from sentloom.llm.jaccard_join import allocate, close_pairs, jaccard_components
 from sentloom.llm.license_scan import LEAST, NOTICES, TEMPLATES, Templates, Texts, license_texts, scan_licenses, state_of, words_of
 from sentloom.llm.main_text import extract, main_text, maximum_flow, minimum_cut
 from sentloom.llm.secret_scan import RULES, scan_secrets, secret_spans, trigram_query, without_secrets
@@ -345,3 +347,22 @@ def test_licenses_equal_an_unpruned_search():
         assert score == pytest.approx(want if want >= LEAST else 0.0, abs=1e-9)
         stated += name is not None
     assert 30 < stated < 150
+
+
+def test_pairs_of_overlapping_lists_come_once():
+    """Members share several lists; each pair of different components that prints leave open comes from one of them."""
+    rng = np.random.default_rng(5)
+    members = {sig: sorted(rng.choice(12, size=rng.integers(2, 9), replace=False).tolist()) for sig in rng.integers(-9999, 9999, 30).tolist()}
+    lists = {v: sorted(s for s, vs in members.items() if v in vs) for v in range(12)}
+    rows = []
+    for sig in sorted(members):
+        for i in range(2):
+            for j in range(i, 2):
+                group = [(v, int(v % 2 == j and i != j)) for v in members[sig] if v % 2 in (i, j)]
+                for v, side in sorted(group, key=lambda x: x[1]):
+                    rows.append({"sig": sig, "i": i, "j": j, "side": side, "node": v, "size": 10, "component": v // 3, "print": bytes([0x11 * v] * 4), "lower": [s for s in lists[v] if s < sig]})
+    schema = pa.schema([("sig", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("side", pa.int32()), ("node", pa.int64()), ("size", pa.int64()), ("component", pa.int64()), ("print", pa.binary()), ("lower", pa.list_(pa.int64()))])
+    batches = pa.Table.from_pylist(rows, schema).to_batches(max_chunksize=7)
+    got = [pair for batch in close_pairs(iter(batches), 10, 90) for pair in zip(batch["a"].to_pylist(), batch["b"].to_pylist(), strict=True)]
+    expected = {(a, b) for vs in members.values() for a in vs for b in vs if a < b and a // 3 != b // 3}
+    assert sorted(got) == sorted(expected)
