@@ -139,3 +139,21 @@ def test_run_log_counts_while_the_job_runs(spark, folder):
     assert lost["rows"] is None and "gone" in lost["error"] and lost["elapsed_s"] > 0
     assert tuple(nothing)[:6] == ("nothing", 0, 0, 0, 0, 0)
     assert spark.read.parquet(f"{folder}/out").count() == 10
+
+
+def test_large_lookup_ships_no_table_of_unknown_size(spark):
+    rows = spark.range(10_000).select(
+        "id",
+        F.when(F.col("id") % 7 != 0, F.transform(F.sequence(F.lit(0), F.col("id") % 5), lambda i: F.concat(F.lit("w"), (F.col("id") * 13 + i) % 3000))).alias("words"),
+    )
+    table = spark.range(2500).select(F.concat(F.lit("w"), "id").alias("k"), F.col("id").cast("int").alias("v"))
+    ways = []
+    for ship, ship_found in ((True, None), (False, True), (False, False)):
+        out = replace_elements(
+            rows, "words", "ids", table, "k", "v", default=-1, hot=F.col("v") < 10, ship=ship, ship_found=ship_found, keep_source=False
+        )
+        assert out.columns == ["id", "ids"]
+        ways.append(sorted((r["id"], r["ids"]) for r in out.collect()))
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    assert ways[0] == ways[1] == ways[2] and len(ways[0]) == 10_000
+    assert ways[0][1] == (1, [13, 14]) and ways[0][7] == (7, None) and -1 in ways[0][199][1] + ways[0][198][1]
