@@ -86,30 +86,33 @@ class CallableTokenizer:
         self.load_encode, self.load_decode = load_encode, load_decode
         self.batch_size, self.deadline_s, self.max_length, self.on_error = batch_size, deadline_s, max_length, on_error
 
-    def _batches(self, stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in stream:
-            for at in range(0, part.num_rows, self.batch_size):
-                yield part.slice(at, self.batch_size)
+    def _isolated(self, call: Encode | Decode, items: list, convert: Callable[[object], object]) -> tuple[list, list, list]:
+        """:func:`isolated` in calls of ``batch_size`` items."""
+        parts = [
+            isolated(call, items[at : at + self.batch_size], convert, self.deadline_s, self.on_error)
+            for at in range(0, len(items), self.batch_size)
+        ]
+        return tuple([x for part in parts for x in part[i]] for i in range(3))
 
     def encode(self, df: DataFrame) -> DataFrame:
         """Replace ``sentence`` by ``input_ids``, ``attention_mask``, ``truncated``, ``token_status``, ``token_error`` and
         ``untokenized``. A null sentence is an empty one."""
         passed = [f for f in df.schema.fields if f.name != "sentence"]
         names = [f.name for f in passed]
-        load, deadline_s, on_error, longest = self.load_encode, self.deadline_s, self.on_error, self.max_length
+        load, longest, apart = self.load_encode, self.max_length, self._isolated
 
         def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             call = None
-            for batch in self._batches(stream):
+            for batch in stream:
                 call = call or load()
                 texts = [t or "" for t in batch["sentence"].to_pylist()]
-                ids, status, errors = isolated(call, texts, _ids, deadline_s, on_error)
+                ids, status, errors = apart(call, texts, _ids)
                 kept = [x if x is None or longest is None else x[:longest] for x in ids]
                 columns = {
                     "input_ids": pa.array(kept, OUTPUT_TYPE),
                     "attention_mask": pa.array([None if x is None else np.ones(len(x), np.int32) for x in kept], OUTPUT_TYPE),
-                    "truncated": pa.array([x is not None and longest is not None and len(x) > longest for x in ids]),
-                    "token_status": pa.array(status),
+                    "truncated": pa.array([x is not None and longest is not None and len(x) > longest for x in ids], pa.bool_()),
+                    "token_status": pa.array(status, pa.string()),
                     "token_error": pa.array(errors, pa.string()),
                     "untokenized": pa.array([t if x is None else None for t, x in zip(texts, ids, strict=True)], pa.string()),
                 }
@@ -128,16 +131,16 @@ class CallableTokenizer:
             raise ValueError("this tokenizer has no load_decode")
         passed = [f for f in df.schema.fields if f.name not in ("output_ids", "sentence")]
         names = [f.name for f in passed]
-        load, deadline_s, on_error = self.load_decode, self.deadline_s, self.on_error
+        load, apart = self.load_decode, self._isolated
 
         def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             call = None
-            for batch in self._batches(stream):
+            for batch in stream:
                 call = call or load()
                 ids = batch["output_ids"].to_pylist()
                 there = [i for i, x in enumerate(ids) if x is not None]
                 texts: list[str | None] = [None] * len(ids)
-                for i, text in zip(there, isolated(call, [ids[i] for i in there], _text, deadline_s, on_error)[0], strict=True):
+                for i, text in zip(there, apart(call, [ids[i] for i in there], _text)[0], strict=True):
                     texts[i] = text
                 yield pa.record_batch([*(batch[n] for n in names), pa.array(texts, pa.string())], names=[*names, "sentence"])
 

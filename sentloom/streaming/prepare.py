@@ -74,7 +74,11 @@ def prepare_stream(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         reached = _reached(spark, out, batch_id)
-        numbered = batch.join(_file_numbers(batch, reached["file_no"]), "file_path_read").drop("file_path_read")
+        # A row per file of this micro-batch; by a shuffle on the path all rows of a file would meet in one task.
+        numbers = F.broadcast(_file_numbers(batch, reached["file_no"]))
+        # Dealt anew, as a file may come in few row groups, each of which one task would split.
+        tasks = max(spark.sparkContext.defaultParallelism * 4, batch.rdd.getNumPartitions())
+        numbered = batch.repartition(tasks).join(numbers, "file_path_read").drop("file_path_read")
         split = stage(split_documents(numbered, dedup=dedup), "split")
         located = locate(split, shard_size, earlier=(reached["sentences"], reached["row"]))
         key = f"batch_id={batch_id}"
@@ -85,9 +89,10 @@ def prepare_stream(
             assign_batches(tokenizer.encode(tagged), batch_size).write.mode("overwrite").parquet(f"{out}/tokens/stream_{key}")
         shard_meta(located).write.mode("overwrite").parquet(f"{out}/meta/{key}")
         # Files are numbered as they arrive, so a file is in one micro-batch only.
-        split.join(_file_numbers(batch, reached["file_no"]), "file_no").groupBy("file_no", F.col("file_path_read").alias("file_path")).agg(
-            F.count("*").alias("done_rows"), F.sum("n_sentences").alias("sentences")
-        ).write.mode("overwrite").parquet(f"{out}/files/{key}")
+        done = split.groupBy("file_no").agg(F.count("*").alias("done_rows"), F.sum("n_sentences").alias("sentences"))
+        done.join(numbers, "file_no").select("file_no", F.col("file_path_read").alias("file_path"), "done_rows", "sentences").write.mode(
+            "overwrite"
+        ).parquet(f"{out}/files/{key}")
         # Last, so that the counts only cover what is written.
         counts = split.agg(
             F.countDistinct("file_no").alias("files"),

@@ -157,3 +157,25 @@ def test_large_lookup_ships_no_table_of_unknown_size(spark):
     assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
     assert ways[0] == ways[1] == ways[2] and len(ways[0]) == 10_000
     assert ways[0][1] == (1, [13, 14]) and ways[0][7] == (7, None) and -1 in ways[0][199][1] + ways[0][198][1]
+
+
+def test_one_streamed_file_is_split_by_many_tasks(spark, folder, monkeypatch):
+    from sentloom.streaming import prepare
+
+    docs = spark.range(400).select(
+        F.col("id").cast("string").alias("id"), F.concat(F.lit("One is here. Two is "), "id", F.lit(" there.")).alias("text"),
+        *[F.lit(c).alias(c) for c in ("dump", "url", "file_path")],
+    )
+    docs.coalesce(1).write.parquet(f"{folder}/in")
+    tasks, stage = [], prepare.stage
+
+    def counted(df, name, path=None):
+        staged = stage(df.withColumn("task", F.spark_partition_id()), name, path)
+        tasks.append(staged.select("task").distinct().count())
+        return staged.drop("task")
+
+    monkeypatch.setattr(prepare, "stage", counted)
+    prepare.prepare_stream(spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint", shard_size=100)
+    assert tasks == [32]
+    assert prepare.filled_sentences(spark, f"{folder}/out", finished=True).count() == 800
+    assert [tuple(r)[1:] for r in prepare.file_progress(spark, f"{folder}/out").select("batch_id", "file_no", "done_rows", "sentences").collect()] == [(0, 400, 800)]
