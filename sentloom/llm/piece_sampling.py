@@ -42,17 +42,24 @@ LEADING, LEAST_SHARE = 96, -60.0
 SURE = -1e-6
 _BASE = 0x9E3779B97F4A7C15
 _SLOTS = 22
+_STEP = np.uint64(_BASE)
+_SHIFTS = np.uint64(30), np.uint64(27), np.uint64(31)
+_FACTORS = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> _SHIFTS[0])
+    x *= _FACTORS[0]
+    x ^= x >> _SHIFTS[1]
+    x *= _FACTORS[1]
+    x ^= x >> _SHIFTS[2]
+    return x
 
 
 def _keyed(h: np.ndarray, *keys) -> np.ndarray:
     for k in keys:
-        h = _mix(h * np.uint64(_BASE) + np.atleast_1d(np.asarray(k)).astype(np.int64).view(np.uint64))
+        k = np.uint64(k & 0xFFFFFFFFFFFFFFFF) if isinstance(k, int) else np.atleast_1d(np.asarray(k)).astype(np.int64).view(np.uint64)
+        h = _mix(h * _STEP + k)
     return h
 
 
@@ -149,17 +156,24 @@ class Lattices:
             fits = at + length <= stops_at
             at, stops_at = at[fits], stops_at[fits]
             h = _mix((sums[at + length] - sums[at]) * back[at] + np.uint64(length))
-            piece = words.find(h)
-            known = piece >= 0
+            # A piece is a beginning of itself.
+            goes_on = words.begun[(h & np.uint64((1 << _SLOTS) - 1)).astype(np.int64)]
             if length == 1:
                 code = codes[at].astype(np.int64)
-                byte = np.where(code < 0x80, words.bytes[code & 0x7F], -1 - code)
-                piece, known = np.where(known, piece, byte), np.ones(len(at), bool)
+                piece = np.where(code < 0x80, words.bytes[code & 0x7F], -1 - code)
+                found = words.find(h[goes_on])
+                piece[goes_on] = np.where(found >= 0, found, piece[goes_on])
+                starts.append(at)
+                stops.append(at + 1)
+                pieces.append(piece)
+                at, stops_at = at[goes_on], stops_at[goes_on]
+                continue
+            at, stops_at = at[goes_on], stops_at[goes_on]
+            piece = words.find(h[goes_on])
+            known = piece >= 0
             starts.append(at[known])
             stops.append(at[known] + length)
             pieces.append(piece[known])
-            goes_on = words.begun[(h & np.uint64((1 << _SLOTS) - 1)).astype(np.int64)]
-            at, stops_at = at[goes_on], stops_at[goes_on]
         starts, stops, pieces = starts[::-1], stops[::-1], pieces[::-1]
         start, stop, piece = (np.concatenate(x) for x in (starts, stops, pieces))
         # Runs in order, so a stable sort merges them; long pieces, mostly the likely ones, come first.
@@ -196,8 +210,17 @@ class Lattices:
     def draw(self, word: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each of ``word`` a segmentation: edges word by word, how many, and the log-probability."""
         n = len(word)
-        at, active, step = self.first[word], np.arange(n), 0
-        count, log, taken = np.zeros(n, np.int64), np.zeros(n), []
+        # Every word has an edge, and most have no more.
+        at, u = self.first[word], _uniform(h, 0)
+        e = self.edge[at]
+        more = np.flatnonzero(u > self.reach[e])
+        while len(more):
+            e[more] += 1
+            more = more[u[more] > self.reach[e[more]]]
+        heads = e
+        count, log, taken = np.ones(n, np.int64), self.log[e], []
+        active = np.flatnonzero(~self.last[e])
+        at, step = self.next[e[active]], 1
         while len(active):
             u = _uniform(h[active], step)
             e = self.edge[at]
@@ -212,7 +235,8 @@ class Lattices:
             active, at, step = active[on], self.next[e[on]], step + 1
         begin = np.concatenate([[0], np.cumsum(count)])
         edges = np.zeros(begin[-1], np.int64)
-        for k, (who, e) in enumerate(taken):
+        edges[begin[:-1]] = heads
+        for k, (who, e) in enumerate(taken, 1):
             edges[begin[who] + k] = e
         return edges, begin, log
 
@@ -329,10 +353,12 @@ def sample_document(lattices: Lattices, word: np.ndarray, draws: list[tuple], st
         first, stop = at + 1, min(n, at + 1 + LEADING)
         mass = masses(path, ahead, first, stop)
         if stop < n and (ahead[stop] > LEAST_SHARE or len(regions) + int((mass > -np.inf).sum()) <= k - len(out)):
-            ahead, stop = np.concatenate([[0.0], np.cumsum(path.log)]), n
-            mass = masses(path, ahead, first, stop)
+            ahead = np.concatenate([[0.0], np.cumsum(path.log)])
+            mass, stop = np.concatenate([mass, masses(path, ahead, stop, n)]), n
         perturbed = _gumbel(mass, value, _uniform(state, 2000 + opened, np.arange(first, stop)))
-        for i in np.argsort(-perturbed)[: k + 1 - turn].tolist():
+        most = k + 1 - turn
+        leading = np.argpartition(-perturbed, most - 1)[:most] if len(perturbed) > most else np.arange(len(perturbed))
+        for i in leading[np.argsort(-perturbed[leading])].tolist():
             if mass[i] > -np.inf:
                 regions.append((float(perturbed[i]), path, first + i, [edges_of(path, first + i)]))
         if parent is not None:
@@ -432,7 +458,7 @@ def sample_segmentations(docs: DataFrame, model: str, *, k: int = 2, alpha: floa
         words = _vocabulary(model, alpha)
         for batch in batches:
             names = batch["doc_id"].to_pylist()
-            texts = [t.as_py() or "" for t in batch["text"]]
+            texts = [t or "" for t in batch["text"].to_pylist()]
             rows: list[tuple] = []
             for at, rank, ids, log, value, included in sample_texts(texts, [-1 if n is None else n for n in names], words, k, seed):
                 raw = ids.tobytes()
