@@ -5,19 +5,27 @@ pieces one after another. A worker keeps the ids of the pieces it has met; texts
 blanks and line feeds, or with the string of an added token, are encoded in one call instead. ``encode_bytes`` therefore
 returns exactly what ``Tokenizer.encode(text, add_special_tokens=False)`` returns; as there, the string of an added token
 in a text is that token.
+
+``encode_all`` gives the same for many texts: it cuts a block of them into pieces as arrays and looks each different
+piece of the block up once.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer, pre_tokenizers
 
 from sentloom.llm.worker import kept
 
 #: Pieces kept by a worker in each of two generations. It bounds memory and never changes a result.
 MEMORY = 200_000
+#: Characters of the texts that are cut at once.
+BLOCK = 2_000_000
 
 #: White space and separators other than the blank and the line feed.
 _RARE = re.compile(r"[\t\v\f\r\x1c-\x1f\x85\xa0 ᠎ -‏    ⁠　﻿]")
@@ -26,6 +34,9 @@ _BLANK_JOINED = re.compile(r" ?[^ \n]+|[ \n]+(?![^ \n])|[ \n]")
 #: A word of letters whose lower case and composition are plain, and the signs behind it.
 _PLAIN = re.compile(r"( ?)([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-&(-/:-@\[-`{-~]*)")
 
+#: The same in the syntax of Arrow: the word, with the blank before it, and the signs.
+_PARTS = r"^(?P<word> ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)(?P<signs>[!-&(-/:-@\[-`{-~]*)$"
+
 
 class _Ids(dict):
     """Piece -> its ids as little-endian unsigned 32-bit integers; the pieces not met for long are forgotten."""
@@ -80,10 +91,14 @@ class Encoder:
         )
         self.ids = _Ids(self.tokenizer, self.blank_joins)
 
+    def whole(self, text: str) -> bool:
+        """Whether a text has to be encoded in one call."""
+        return _RARE.search(text) is not None or any(a in text for a in self.added)
+
     def encode_bytes(self, text: str) -> bytes:
         if not text:
             return b""
-        if _RARE.search(text) or any(a in text for a in self.added):
+        if self.whole(text):
             return self.ids.encode(text)
         if self.blank_joins:
             pieces = _BLANK_JOINED.findall(text)
@@ -91,6 +106,68 @@ class Encoder:
             pieces = text.replace("\n", " ").split(" ")
         return b"".join(map(self.ids.__getitem__, pieces))
 
+    def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """``encode_bytes`` of each text."""
+        block, size = [], 0
+        for text in texts:
+            block.append(text)
+            size += len(text)
+            if size >= BLOCK:
+                yield from self._encode_block(block)
+                block, size = [], 0
+        yield from self._encode_block(block)
+
+    def _encode_block(self, texts: list[str]) -> Iterator[bytes]:
+        apart = {i for i, text in enumerate(texts) if self.whole(text)}
+        raw = [b"" if i in apart else text.encode() for i, text in enumerate(texts)]
+        bounds = np.cumsum([0, *map(len, raw)])
+        codes = np.frombuffer(b"".join(raw), np.uint8)
+        pieces, first = self._pieces(codes, bounds)
+        encoded = pieces.dictionary_encode()
+        parts = pc.extract_regex(encoded.dictionary, _PARTS)
+        word = pc.if_else(parts.is_valid(), parts.field("word"), encoded.dictionary)
+        signs = pc.if_else(parts.is_valid(), parts.field("signs"), pa.scalar("", pa.large_string()))
+        ids = pc.binary_join_element_wise(self._look_up(word), self._look_up(signs), pa.scalar(b"", pa.large_binary()))
+        ids = ids.take(encoded.indices)
+        _, offsets, data = ids.buffers()
+        ends = np.frombuffer(offsets, np.int64, len(ids) + 1)[first].tolist() if len(ids) else [0] * (len(texts) + 1)
+        data = memoryview(data or b"")
+        for i, text in enumerate(texts):
+            yield self.ids.encode(text) if i in apart else bytes(data[ends[i] : ends[i + 1]])
+
+    def _look_up(self, pieces: pa.Array) -> pa.Array:
+        """The ids of each piece; different pieces are looked up once."""
+        encoded = pieces.dictionary_encode()
+        different = encoded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        return pa.array([self.ids[p] for p in different], pa.large_binary()).take(encoded.indices)
+
+    def _pieces(self, codes: np.ndarray, bounds: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """The pieces of texts that lie one after another in UTF-8, and the number of pieces before each text."""
+        space = (codes == 0x20) | (codes == 0x0A)
+        edge = np.zeros(len(codes) + 1, bool)
+        edge[bounds] = True
+        # Whether the neighbours in the same text are white space.
+        before, after = np.zeros(len(codes), bool), np.ones(len(codes), bool)
+        before[1:], after[:-1] = space[:-1], space[1:]
+        before[edge[:-1]] = False
+        after[edge[1:]] = True
+        if self.blank_joins:
+            # White space at its first place and, with a word behind it, at its last; words, but behind a blank.
+            begins = space & (~before | ~after)
+            joined = np.zeros(len(codes), bool)
+            joined[1:] = codes[:-1] == 0x20
+            begins |= ~space & before & ~joined
+        else:
+            begins = ~space & before
+        begins |= edge[:-1] if self.blank_joins else edge[:-1] & ~space
+        first = np.concatenate([[0], np.cumsum(begins)])[bounds]
+        starts = np.flatnonzero(begins)
+        if not self.blank_joins:
+            starts = (np.cumsum(~space) - 1)[starts]
+            codes = codes[~space]
+        offsets = np.concatenate([starts, [len(codes)]]).astype(np.int64)
+        return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(codes)), first
+
 
 def encoder(path: str) -> Encoder:
     """One encoder per worker and file."""

@@ -123,7 +123,7 @@ def write_token_codes(
     end = struct.pack("<I", end_id)
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, task, place = encoder(tokenizer).encode_bytes, TaskContext.get().partitionId(), 0
+        encode, task, place = encoder(tokenizer).encode_all, TaskContext.get().partitionId(), 0
         names: list[int | None] = []
         bounds, ids = [0], []
 
@@ -132,9 +132,10 @@ def write_token_codes(
             return pa.record_batch({"content": [CodeFile.pack(task, place, names, bounds, whole)]})
 
         for batch in batches:
-            for name, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
+            texts = (text.as_py() or "" for text in batch["text"])
+            for name, encoded in zip(batch["doc_id"].to_pylist(), encode(texts), strict=True):
                 names.append(name)
-                ids.append(encode(text.as_py() or "") + end)
+                ids.append(encoded + end)
                 bounds.append(bounds[-1] + len(ids[-1]) // 4)
                 if bounds[-1] >= segment_tokens:
                     yield close()

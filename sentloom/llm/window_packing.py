@@ -127,11 +127,12 @@ def pack(
     end = struct.pack("<I", end_id)
 
     def pack_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, encode = TaskContext.get().partitionId(), encoder(tokenizer).encode_bytes
+        task, encode = TaskContext.get().partitionId(), encoder(tokenizer).encode_all
         packer = Packer(size, open_windows, min_piece, _first_id(0, task), keep_ids)
         for batch in batches:
-            for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-                ids = encode(text.as_py() or "") + end
+            texts = (text.as_py() or "" for text in batch["text"])
+            for doc, encoded in zip(batch["doc_id"].to_pylist(), encode(texts), strict=True):
+                ids = encoded + end
                 packer.add(doc, 0, ids, len(ids) // 4)
                 if len(packer.rows) >= 10_000:
                     yield pa.record_batch(packer.take(task), schema=FIELDS)

@@ -1,6 +1,7 @@
 """Token code files, packing and sampled segmentations against the tokenizers themselves."""
 
 import collections
+import functools
 import math
 import zlib
 
@@ -9,7 +10,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from sentloom.llm.encoding import encoder
+from sentloom.llm.encoding import Encoder, encoder
 from sentloom.llm.piece_sampling import Vocabulary, decode_ids, decode_pieces, sample_segmentations, sample_texts
 from sentloom.llm.queries import BYTE_BPE, PIECE_BPE, WORD_BPE
 from sentloom.llm.token_codes import CodeFile, encode_levels, read_token_codes, token_codes, write_token_codes
@@ -20,6 +21,15 @@ def ids_of(path, text):
     return Tokenizer.from_file(path).encode(text or "", add_special_tokens=False).ids
 
 
+@functools.cache
+def known(path):
+    return Tokenizer.from_file(path)
+
+
+def ids_of_known(path, text):
+    return known(path).encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("path", [WORD_BPE, BYTE_BPE])
 def test_memoised_encoding_is_the_tokenizers(path):
     texts = ["", " ", "\n\n a", "don't  it's 'll", "a\tb c", "<|endoftext|> x", "x <|endoftext|> y<|startoftext|>", "<|ENDOFTEXT|> <|endoftext |>", "é é Å", "x y​z", "ab,***  12a3\r\n", "İS ΣΑΣ ß"]
@@ -27,6 +37,22 @@ def test_memoised_encoding_is_the_tokenizers(path):
         assert np.frombuffer(encoder(path).encode_bytes(text), "<u4").tolist() == ids_of(path, text), text
 
 
+@pytest.mark.parametrize("path", [WORD_BPE, BYTE_BPE])
+def test_blocks_of_texts_are_encoded_as_the_tokenizer_does(path, monkeypatch):
+    """Texts of every mix of blanks, breaks, words and signs; a word is looked up once, whatever signs follow it."""
+    parts = [" ", "\n", "a", "é", "b.", "漢", "x", "y,", "9", "'s", "A", "\t", "<|endoftext|>"]
+    rng = np.random.default_rng(2)
+    texts = ["".join(parts[i] for i in rng.integers(0, len(parts) if n % 9 == 0 else 11, rng.integers(0, 12))) for n in range(3000)]
+    for block in (20, 100_000):
+        monkeypatch.setattr("sentloom.llm.encoding.BLOCK", block)
+        for text, ids in zip(texts, Encoder(path).encode_all(texts), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == ids_of_known(path, text), text
+    fresh = Encoder(path)
+    assert list(fresh.encode_all([])) == []
+    assert len(list(fresh.encode_all(["word, word. word! word"] * 100))) == 100
+    assert set(fresh.ids) <= {"", "word", " word", ",", ".", "!"}
+
+
 def test_random_access_needs_no_decode():
     rng = np.random.default_rng(1)
     ids = np.concatenate([rng.integers(0, 300, 3000), rng.integers(0, 2**32, 500), [0, 2**32 - 1]])
