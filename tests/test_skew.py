@@ -179,3 +179,36 @@ def test_one_streamed_file_is_split_by_many_tasks(spark, folder, monkeypatch):
     assert tasks == [32]
     assert prepare.filled_sentences(spark, f"{folder}/out", finished=True).count() == 800
     assert [tuple(r)[1:] for r in prepare.file_progress(spark, f"{folder}/out").select("batch_id", "file_no", "done_rows", "sentences").collect()] == [(0, 400, 800)]
+
+
+def test_rows_that_miss_something_move_with_the_missing_elements_alone(spark, monkeypatch):
+    """Their places are the nulls of the values; an element that is null itself stays so."""
+    from sentloom.operators import lookup
+
+    staged = {}
+
+    def kept(df, name, path=None):
+        staged[name] = stage(df, name, path)
+        return staged[name]
+
+    monkeypatch.setattr(lookup, "stage", kept)
+    table = spark.createDataFrame([(f"w{i}", i) for i in range(20)], "k string, v int")
+    words = [["w1", None, "w15", "none", "w15"], None, [], [None], ["w2"], ["w19", "w3"]]
+    rows = spark.createDataFrame(list(enumerate(words)), "pos int, words array<string>").coalesce(1)
+    want = [[1, None, 15, -1, 15], None, [], [None], [2], [19, 3]]
+    for ship_found in (None, True, False):
+        out = replace_elements(rows, "words", "ids", table, "k", "v", default=-1, hot=F.col("v") < 10, ship=False, ship_found=ship_found)
+        assert [r["ids"] for r in out.orderBy("pos").collect()] == want
+    misses = [r[lookup.MISSES] for r in staged["lookup"].orderBy("pos").collect()]
+    assert misses == [[None, "w15", "none", "w15"], [], [], [None], [], ["w19"]]
+
+
+def test_the_entries_found_are_counted_only_where_an_estimate_is_near_the_bound(spark, monkeypatch):
+    from sentloom.operators import lookup
+
+    counted = []
+    monkeypatch.setattr(lookup, "fits_broadcast", lambda *args: counted.append(1) or True)
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 100)
+    found = spark.range(1000).select(F.col("id").alias("chunk"), F.col("id").cast("string").alias("key"), F.col("id").alias("value"))
+    assert not lookup._few(found) and not counted
+    assert lookup._few(found.where("chunk < 50")) and counted == [1]
