@@ -55,7 +55,8 @@ def nest_tokens(batched: DataFrame, meta: DataFrame, watermarks: DataFrame, part
         ).alias(field)
 
     batches = (
-        batched.repartition("shard")
+        batched.select("shard", "batch_id", "pos", "id", "input_ids", "attention_mask", "entities")
+        .repartition("shard")
         .groupBy("shard", "batch_id")
         .agg(F.collect_list(F.struct("pos", "id", "input_ids", "attention_mask", "entities")).alias("rows"))
         .withColumn("rows", _sort_by("rows", "pos"))

@@ -19,13 +19,14 @@ def write_rows(df: DataFrame, path: str, total_nodes: int, mode: str = "errorife
     This is the form the jobs read back: columns and nodes are pruned, and no file is nested.
     """
     routed = df.withColumn("node", node_of("shard", total_nodes))
-    routed.repartition("shard").sortWithinPartitions("node", "shard").write.mode(mode).partitionBy("node").parquet(path)
+    placed = routed.repartition("shard").sortWithinPartitions("node", "shard")
+    placed.write.mode(mode).option("compression", "zstd").partitionBy("node").parquet(path)
 
 
 def write_payloads(df: DataFrame, root: str, kind: str, total_nodes: int, mode: str = "errorifexists") -> None:
-    """Nested shards as JSON, one directory per node and shard. A row is a whole shard and stays where it is."""
+    """Nested shards as compressed JSON, one directory per node and shard. A row is a whole shard and stays where it is."""
     routed = df.withColumn("node", node_of("shard", total_nodes))
-    routed.write.mode(mode).partitionBy("node", "shard").json(f"{root}/{kind}")
+    routed.write.mode(mode).option("compression", "gzip").partitionBy("node", "shard").json(f"{root}/{kind}")
 
 
 def publish_rows(

@@ -16,7 +16,7 @@ from sentloom.sources import corpus as co
 from sentloom.sources import payloads as pl
 from sentloom.sources import shards as rd
 from sentloom.sources import sinks
-from sentloom.sources.schemas import MERGED
+from sentloom.sources.schemas import MERGED, TOKENIZED
 from sentloom.operators.tokens import flatten_tokens
 from sentloom.streaming.drain import drain, drained
 from sentloom.streaming.prepare import filled_sentences, prepare_stream
@@ -359,3 +359,17 @@ def test_entry_leaves_out_operators_whose_library_is_absent():
     root = Path(__file__).parent.parent
     run = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=False)
     assert run.stdout.split()[-3:] == ["True"] * 3, run.stderr
+
+
+def test_payloads_and_staged_tables_are_compressed(spark, folder):
+    """Padded ids and masks are long and alike; a shard is one small file whose name still tells its number."""
+    ids = [[1] * 200 + [7, 8, 9]] * 64
+    inputs = [{"batch": {"input_ids": ids, "attention_mask": ids}, "placeholder_entity_maps": [{"a": "b"}] * 64}]
+    rows = spark.createDataFrame([{"tokenized_inputs": inputs, "ids": [["a"] * 64], "row": 3, "shard": 5, "meta_data": []}], TOKENIZED)
+    sinks.write_payloads(rows, folder, "tokenized", 2)
+    (file,) = Path(folder).glob("tokenized/node=1/shard=5/part-*")
+    assert file.name.endswith(".json.gz") and file.stat().st_size < 5_000
+    (read,) = rd.read_tokens(spark, folder).collect()
+    assert read["shard"] == 5 and [list(i) for i in read["tokenized_inputs"][0]["batch"]["input_ids"]] == ids
+    assert [tuple(r) for r in rd.list_shards(spark, folder).collect()] == [(1, 5)]
+    assert all(".zstd." in f.name for f in Path(stage(rows, "t", f"{folder}/t").inputFiles()[0].removeprefix("file:")).parent.glob("part-*"))
