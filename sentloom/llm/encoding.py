@@ -160,10 +160,10 @@ class Encoder:
         else:
             begins = ~space & before
         begins |= edge[:-1] if self.blank_joins else edge[:-1] & ~space
-        first = np.concatenate([[0], np.cumsum(begins)])[bounds]
         starts = np.flatnonzero(begins)
+        first = np.searchsorted(starts, bounds)
         if not self.blank_joins:
-            starts = (np.cumsum(~space) - 1)[starts]
+            starts = starts - np.searchsorted(np.flatnonzero(space), starts)
             codes = codes[~space]
         offsets = np.concatenate([starts, [len(codes)]]).astype(np.int64)
         return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(codes)), first
