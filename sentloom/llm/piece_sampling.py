@@ -27,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
@@ -34,8 +35,8 @@ from sentencepiece import SentencePieceProcessor
 from sentloom.llm.worker import kept
 
 BLANK = 0x2581
-#: Code points of texts whose words are handled as arrays at once.
-BLOCK = 2_000_000
+#: Code points of texts whose words are handled as arrays at once. The arrays take some 130 bytes for each.
+BLOCK = 1_000_000
 #: Words after a branch that are looked at first, and the log of the share below which those behind them can wait.
 LEADING, LEAST_SHARE = 96, -60.0
 #: Above this log-probability of a segmentation, that of the others is summed instead of taken as the rest.
@@ -174,8 +175,10 @@ class Lattices:
             starts.append(at[known])
             stops.append(at[known] + length)
             pieces.append(piece[known])
-        starts, stops, pieces = starts[::-1], stops[::-1], pieces[::-1]
-        start, stop, piece = (np.concatenate(x) for x in (starts, stops, pieces))
+        # What the search needs is let go before the edges are put in order.
+        del sums, back, at, stops_at, h, goes_on, fits
+        start, stop, piece = (np.concatenate(x[::-1]) for x in (starts, stops, pieces))
+        del starts, stops, pieces
         # Runs in order, so a stable sort merges them; long pieces, mostly the likely ones, come first.
         order = np.argsort(start, kind="stable")
         start, stop, piece = start[order], stop[order], piece[order]
@@ -419,6 +422,7 @@ def sample_texts(texts: list[str], rows: list[int], words: Vocabulary, k: int, s
         sizes = size_of[one]
         begin = np.cumsum(sizes) - sizes
         codes = codes[np.repeat(first[one] - begin, sizes) + np.arange(sizes.sum())]
+        del whole, blank, begins, sums, back, size_of
         lattices = Lattices(codes, begin, sizes, words)
         firsts = np.searchsorted(first, bounds)
         of = np.repeat(np.arange(end - at), np.diff(firsts))
@@ -447,6 +451,17 @@ def sample_texts(texts: list[str], rows: list[int], words: Vocabulary, k: int, s
         at = end
 
 
+def _blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """``batch`` cut into slices of about ``BLOCK`` bytes of text, so that only one of them is there as Python strings."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        before = int(ends[at - 1]) if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, before + BLOCK, "right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def sample_segmentations(docs: DataFrame, model: str, *, k: int = 2, alpha: float = 1.0, seed: int = 1, keep_ids: bool = True) -> DataFrame:
     """Up to ``k`` distinct segmentations of each row of ``docs(doc_id, text)``, in the order of their perturbed values.
 
@@ -457,16 +472,17 @@ def sample_segmentations(docs: DataFrame, model: str, *, k: int = 2, alpha: floa
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _vocabulary(model, alpha)
         for batch in batches:
-            names = batch["doc_id"].to_pylist()
-            texts = [t or "" for t in batch["text"].to_pylist()]
             rows: list[tuple] = []
-            for at, rank, ids, log, value, included in sample_texts(texts, [-1 if n is None else n for n in names], words, k, seed):
-                raw = ids.tobytes()
-                text = zlib.crc32(decode_bytes(ids, words))
-                rows.append((names[at], rank, len(ids), zlib.crc32(raw), log, value, included, text, raw if keep_ids else None))
-                if len(rows) >= 2000:
-                    yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types_, strict=True)], names=columns)
-                    rows = []
+            for part in _blocks(batch):
+                names = part["doc_id"].to_pylist()
+                texts = [t or "" for t in part["text"].to_pylist()]
+                for at, rank, ids, log, value, included in sample_texts(texts, [-1 if n is None else n for n in names], words, k, seed):
+                    raw = ids.tobytes()
+                    text = zlib.crc32(decode_bytes(ids, words))
+                    rows.append((names[at], rank, len(ids), zlib.crc32(raw), log, value, included, text, raw if keep_ids else None))
+                    if len(rows) >= 500:
+                        yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types_, strict=True)], names=columns)
+                        rows = []
             if rows:
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types_, strict=True)], names=columns)
 

@@ -7,11 +7,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from sentloom.llm.encoding import Encoder, encoder
-from sentloom.llm.piece_sampling import Vocabulary, decode_ids, decode_pieces, sample_segmentations, sample_texts
+from sentloom.llm.piece_sampling import Vocabulary, _blocks, decode_ids, decode_pieces, sample_segmentations, sample_texts
 from sentloom.llm.queries import BYTE_BPE, PIECE_BPE, WORD_BPE
 from sentloom.llm.token_codes import CodeFile, encode_levels, read_token_codes, token_codes, write_token_codes
 from sentloom.llm.window_packing import pack, sequences
@@ -177,5 +178,20 @@ def test_segmentations_round_trip_and_repeat(spark, odd_documents):
     assert decoded == texts
 
 
+def test_texts_of_a_batch_are_taken_in_blocks():
+    """Of a batch, few texts are there as strings and arrays at once; none is left out, and the samples are the same."""
+    words = Vocabulary(PIECE_BPE, 1.0)
+    texts = [None if i % 50 == 0 else "some words of a text " * 200 + str(i) for i in range(1, 601)] + ["long " * 300_000, "", "é"]
+    batch = pa.record_batch({"doc_id": pa.array(range(603), pa.int64()), "text": pa.array(texts)})
+    parts = list(_blocks(batch))
+    assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch]))
+    assert all(sum(len((t or "").encode()) for t in p["text"].to_pylist()) <= 1_000_000 or p.num_rows == 1 for p in parts)
+    assert list(_blocks(batch.slice(0, 0))) == []
+    few = [t or "" for t in texts[:20]]
+    whole = [(at, rank, ids.tolist(), log) for at, rank, ids, log, *_ in sample_texts(few, list(range(20)), words, 2, 1)]
+    apart = [(i, rank, ids.tolist(), log) for i, t in enumerate(few) for _, rank, ids, log, *_ in sample_texts([t], [i], words, 2, 1)]
+    assert whole == apart
+
+
 def test_tokenizer_files_exist():
     assert all(public_tokenizers.path(x) for x in ("word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"))
