@@ -43,6 +43,16 @@ def corpus(spark: SparkSession, sf_dir: str, files: int = 1) -> DataFrame:
     return documents_as_corpus(spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select(*columns)), files)
 
 
+def arrive(tokens: DataFrame, source: str) -> None:
+    """Add token rows to the inbox ``source``, in files that hold whole shards.
+
+    There are as many files as tasks run at once, whatever their size: a drain takes a fixed number of files per micro-batch,
+    and each micro-batch has a cost of its own.
+    """
+    files = tokens.sparkSession.sparkContext.defaultParallelism
+    tokens.repartition(files, "shard").write.mode("append").parquet(source)
+
+
 def lexicon_of(vocab: DataFrame) -> DataFrame:
     """A lexicon over a vocabulary: two thirds of the tokens become their neighbour in rank."""
     token_id = F.col("token_id")

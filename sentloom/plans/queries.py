@@ -27,7 +27,7 @@ from sentloom.operators.lookup import replace_elements
 from sentloom.operators.rows import zip_shortest
 from sentloom.plans import jobs, work
 from sentloom.plans.fixtures import (
-    BATCH_SIZE, DEVICES, FILES, NODES, SHARD_SIZE, SMALL_PAD, TOKENIZE_BATCH, corpus, fixtures, lexicon_of,
+    BATCH_SIZE, DEVICES, FILES, NODES, SHARD_SIZE, SMALL_PAD, TOKENIZE_BATCH, arrive, corpus, fixtures, lexicon_of,
     load_faltering, load_measuring, load_refusing, load_reversing, load_spelling,
 )
 from sentloom.session import new_path, stage
@@ -840,7 +840,7 @@ def x1_drain(spark, sf_dir):
         return jobs.translate_shards(batch, lexicon, BATCH_SIZE, None)
 
     for arrived in ("shard % 2 = 0", "shard % 2 = 1"):
-        fx.tokens.where(arrived).repartition("shard").write.mode("append").parquet(source)
+        arrive(fx.tokens.where(arrived), source)
         drain(spark, source, out, checkpoint, job, fx.tokens.schema, max_files=2)
     return drained(spark, out).select("shard", "pos", "status", joined("output_ids"))
 
@@ -912,7 +912,7 @@ def x4_clean_source(spark, sf_dir):
     fx = fixtures(spark, sf_dir)
     source, archive, out, checkpoint = (new_path(spark, name) for name in ("inbox", "archive", "drained", "checkpoint"))
     for arrived in ("shard % 2 = 0", "shard % 2 = 1"):
-        fx.tokens.where(arrived).repartition("shard").write.mode("append").parquet(source)
+        arrive(fx.tokens.where(arrived), source)
         drain(spark, source, out, checkpoint, lambda batch: batch.select("shard", "pos"), fx.tokens.schema, max_files=1, clean="archive", archive=archive)
     reader = spark.read.schema(fx.tokens.schema).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
     kept = reader.parquet(source, archive).groupBy("shard").agg(F.count("*").alias("kept"))

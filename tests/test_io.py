@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sentloom.functions import names as nm
 from sentloom.operators.rows import zip_longest, zip_shortest
 from sentloom.plans import jobs, work
+from sentloom.plans.fixtures import arrive
 from sentloom.session import shared_dir, stage
 from sentloom.sources import corpus as co
 from sentloom.sources import payloads as pl
@@ -189,6 +190,24 @@ def test_drain_sees_newcomers_once(spark, folder):
     assert sorted((r["shard"], r["n"]) for r in drained(spark, out).collect()) == [(0, 4), (1, 4), (2, 4)]
 
 
+def test_an_inbox_has_no_more_files_for_more_rows(spark, folder):
+    """Files of whole shards, as many as tasks run at once, however many partitions a shuffle has."""
+    name = "spark.sql.shuffle.partitions"
+    rows = spark.range(6000).select((F.col("id") % 300).alias("shard"), "id")
+    before = spark.conf.get(name)
+    spark.conf.set(name, "100")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        arrive(rows, f"{folder}/in")
+    finally:
+        spark.conf.set(name, before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    got = spark.read.parquet(f"{folder}/in").withColumn("file", F.input_file_name())
+    assert got.count() == 6000 and got.select("id").distinct().count() == 6000
+    assert got.select("file").distinct().count() <= spark.sparkContext.defaultParallelism
+    assert got.groupBy("shard").agg(F.countDistinct("file").alias("files")).where("files > 1").isEmpty()
+
+
 def test_streamed_shards_span_batches(spark, folder):
     source = corpus_files(folder, [[3, 0], [2, 9]])
     out, checkpoint = f"{folder}/out", f"{folder}/checkpoint"
