@@ -25,7 +25,7 @@ from sentloom.llm.worker import kept
 #: Pieces kept by a worker in each of two generations. It bounds memory and never changes a result.
 MEMORY = 200_000
 #: Characters of the texts that are cut at once.
-BLOCK = 2_000_000
+BLOCK = 1_000_000
 
 #: White space and separators other than the blank and the line feed.
 _RARE = re.compile(r"[\t\v\f\r\x1c-\x1f\x85\xa0 ᠎ -‏    ⁠　﻿]")

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentloom.llm.worker import kept, small_batches
+from sentloom.llm.worker import kept, lean, small_batches
 from sentloom.session import stage
 
 BAND_RATIO = 1.5
@@ -342,7 +342,7 @@ def _components(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
                     }
                 )
 
-    measured = stage(docs.mapInArrow(measure, "doc_id long, key long, n_shingles long, node long"), "shingle-counts")
+    measured = stage(docs.mapInArrow(lean(measure), "doc_id long, key long, n_shingles long, node long"), "shingle-counts")
     largest = measured.agg(F.max("n_shingles")).first()[0] or 0
     ranges = bands(largest)
     lows = [low for low, _ in ranges]
@@ -418,10 +418,10 @@ def _components(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
             yield pa.record_batch([pa.array(x[rows]) for x in (s, v, c)], names=["sig", "node", "size"])
 
     shared = stage(
-        docs.mapInArrow(index, "sig long, node long, size long")
+        docs.mapInArrow(lean(index), "sig long, node long, size long")
         .repartition("sig")
         .sortWithinPartitions("sig", "node")
-        .mapInArrow(lists, "sig long, node long, size long"),
+        .mapInArrow(lean(lists), "sig long, node long, size long"),
         "shared-lists",
     )
     let_go(spark)
@@ -452,7 +452,7 @@ def _components(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     if origins.count() <= SENT_IDS:
         origins = F.broadcast(origins)
     taken = docs.join(origins, F.col("doc_id").eqNullSafe(F.col("origin")), "left_semi")
-    sets = stage(taken.mapInArrow(list_sets, "node long, shingles array<long>, own binary, below binary"), "shingle-sets")
+    sets = stage(taken.mapInArrow(lean(list_sets), "node long, shingles array<long>, own binary, below binary"), "shingle-sets")
 
     # The member that shares most lists with others stands in the middle of its near copies.
     weights = members.groupBy("node").agg(F.sum("n").alias("weight"))
@@ -477,7 +477,7 @@ def _components(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
         shown = sets.select(F.col("node").alias(side), "own", "below")
         first = first.join(shown, side).withColumn(f"{side}_print", print_of).drop("own", "below")
     # The prints leave few pairs, which are sent to the sets instead of the sets being shuffled.
-    near = stage(first.mapInArrow(lambda batches: not_far_apart(batches, num, den), "a long, b long"), "pairs")
+    near = stage(first.mapInArrow(lean(lambda batches: not_far_apart(batches, num, den)), "a long, b long"), "pairs")
     links = stage(links_of(near, sets, num, den), "links")
     let_go(spark)
     joined = connect(links)
@@ -511,7 +511,7 @@ def _components(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
         )
         .repartition("sig", "i", "j")
         .sortWithinPartitions("sig", "i", "j", "side")
-        .mapInArrow(lambda batches: close_pairs(batches, num, den), "a long, b long")
+        .mapInArrow(lean(lambda batches: close_pairs(batches, num, den)), "a long, b long")
     )
     more = stage(links_of(stage(compared, "pairs"), sets, num, den), "links")
     if not more.isEmpty():

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from sentloom.llm.worker import kept
+from sentloom.llm.worker import kept, lean
 
 # Letters that look like Latin ones.
 LOOKALIKES = dict(
@@ -295,4 +295,4 @@ def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
             ]
             yield batch.filter(pa.array(good, pa.bool_()))
 
-    return docs.mapInArrow(keep, fields)
+    return docs.mapInArrow(lean(keep), fields)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sentloom.llm.encoding import encoder
-from sentloom.llm.worker import small_batches
+from sentloom.llm.worker import lean, small_batches
 from sentloom.session import stage
 
 FAN_IN = 16
@@ -155,7 +155,7 @@ def pack(
 
     documents = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     with small_batches(docs.sparkSession):
-        made = stage(documents.mapInArrow(pack_task, SCHEMA), "packed")
+        made = stage(documents.mapInArrow(lean(pack_task), SCHEMA), "packed")
     closed, level = made.filter("NOT open"), 0
     groups = made.agg(F.max("task")).first()[0]
     groups = 0 if groups is None else groups + 1
