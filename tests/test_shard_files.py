@@ -112,3 +112,15 @@ def test_folders_are_listed_many_to_a_task(spark, folder):
     tracker = context.statusTracker()
     stages = [s for j in tracker.getJobIdsForGroup(folder) for s in tracker.getJobInfo(j).stageIds]
     assert max(tracker.getStageInfo(s).numTasks for s in stages) <= max(32, 4 * context.defaultParallelism)
+
+
+def test_tasks_retire_the_shards(spark, folder, monkeypatch):
+    sinks.write_payloads(spark.range(30).select(F.col("id").alias("shard"), F.lit(1).alias("row")), folder, "tokenized", 3)
+    committed = spark.range(5, 40).select(F.pmod("id", F.lit(3)).alias("node"), F.col("id").alias("shard"))
+    odd = spark.createDataFrame([(None, 2), (1, None), (0, 1)], "node long, shard long")
+    # A shard after the other through the driver takes milliseconds each.
+    monkeypatch.setattr(type(committed), "toLocalIterator", None)
+    assert sinks.retire_inputs(spark, folder, "tokenized", committed.unionByName(committed).unionByName(odd)) == 25
+    assert [r["shard"] for r in rd.list_shards(spark, folder).collect()] == [0, 1, 2, 3, 4]
+    assert sinks.retire_inputs(spark, folder, "tokenized", committed) == 0
+    assert sinks.retire_inputs(spark, folder, "tokenized", committed.where("false")) == 0
